@@ -287,13 +287,13 @@ def param_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("paged_extract", oracle="""
-SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipdate
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipdate
 FROM lineitem WHERE l_shipdate > TIMESTAMP '1996-01-01 00:00:00'
-ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 1000
+ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000
 """)
 def paged_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One top-k page after the checkpoint, keyed by a unique tie-break."""
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") > F.lit("1996-01-01").cast("timestamp_ntz"))
-    page = paged_extract(li, ["l_shipdate", "l_orderkey", "l_linenumber"], 1000)
-    return page.select("l_orderkey", "l_linenumber",
+    page = paged_extract(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 1000)
+    return page.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipdate"))
