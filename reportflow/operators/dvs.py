@@ -59,7 +59,10 @@ def _key_ok(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
-def _report_id_col(report_id: str | None) -> Column:
+def _report_id_col(report_id: str | Column | None) -> Column:
+    """The report id: a literal for one report, or a column when rows of many reports share a plan."""
+    if isinstance(report_id, Column):
+        return report_id.cast("string")
     return F.lit(report_id).cast("string")
 
 
@@ -74,7 +77,7 @@ def keyed_rows(rows: DataFrame, group_by: GroupBySpec, null_key: str = "reject")
 
 def values_long(rows: DataFrame, group_by: GroupBySpec | None,
                 mappings: Sequence[DataValueMapping] | None,
-                order_by: Sequence[str] | None = None, report_id: str | None = None,
+                order_by: Sequence[str] | None = None, report_id: str | Column | None = None,
                 null_key: str = "reject", legacy_coc: bool = False) -> DataFrame:
     """Mapped path (A3) in long form; falls back to the default path without a config."""
     if group_by is None or not mappings:
@@ -95,13 +98,14 @@ def values_long(rows: DataFrame, group_by: GroupBySpec | None,
     ds = column_or_const(rows, group_by.dataSet, null_key)
     pe = column_or_const(rows, group_by.period, null_key)
     ou = column_or_const(rows, group_by.orgUnit, null_key)
-    proj = [ds.alias("dataSet"), pe.alias("period"), ou.alias("orgUnit")]
+    proj = [_report_id_col(report_id).alias("report_id"), ds.alias("dataSet"), pe.alias("period"),
+            ou.alias("orgUnit")]
     if order is not None:
         proj.append(order.alias("row_order"))
     proj.append(F.filter(F.array(*leaves), lambda x: x.isNotNull()).alias("_leaves"))
     out = (src.select(*proj)
            .filter(_key_ok(F.col("dataSet")) & _key_ok(F.col("period")) & _key_ok(F.col("orgUnit")))
-           .select(_report_id_col(report_id).alias("report_id"), *KEYS,
+           .select("report_id", *KEYS,
                    *(["row_order"] if order is not None else []),
                    F.explode("_leaves").alias("_leaf"))
            .select("report_id", *KEYS, "_leaf.dataElement", "_leaf.value",

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow.operators.delivery import upsert_latest
-from reportflow.operators.dvs import report_values_long
+from reportflow.operators.dvs import report_values_long, values_long
 from reportflow.operators.state import fold_sync_state, run_event, sync_watermarks
 from reportflow.plans import testdata as td
 from reportflow.plans.q_reports import DUCK_ROLLUP
 from reportflow.plans.registry import query
 from reportflow.plans.report_run import report_rows
+from reportflow.plans.shared import run_shared_report
 from reportflow.sources.tables import table
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -164,3 +165,27 @@ def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = upsert_latest(full, delta)
     return out.select("dataSet", "period", "orgUnit", "dataElement", "categoryOptionCombo", "report_id",
                       "value", "mapping_idx", F.date_format("load_ts", "yyyy-MM-dd").alias("load_day"))
+
+
+@query("shared_rollup", oracle="""
+WITH w AS (SELECT n_name AS facility, 'rpt-' || n_name AS report_id,
+                  TIMESTAMP '1996-01-01 00:00:00' + to_months(n_nationkey) AS checkpoint FROM nation),
+r AS (
+  SELECT w.report_id, 'DsLineReturns' AS data_set, strftime(l.l_shipdate, '%Y%m') AS period, n.n_name AS org_unit,
+         COUNT(*) AS performed, COUNT(CASE WHEN l.l_quantity > 25.0 THEN 1 END) AS positive
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN w ON n.n_name = w.facility
+  WHERE l.l_shipdate > w.checkpoint AND l.l_returnflag = 'R'
+  GROUP BY 1, 3, 4)
+SELECT report_id, data_set AS dataSet, period, org_unit AS orgUnit, 'ElReturned' AS dataElement,
+       CAST(performed AS VARCHAR) AS value, 'CocLine' AS categoryOptionCombo, 0 AS mapping_idx FROM r
+UNION ALL
+SELECT report_id, data_set, period, org_unit, 'ElReturnedLarge', CAST(positive AS VARCHAR), 'CocLine', 1 FROM r
+""")
+def shared_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """7.3: every nation's report from one scan, each with its own checkpoint."""
+    td.sources(spark, sf_dir)
+    rows = run_shared_report(spark, td.SHARED_ROLLUP_SQL, spark.sql(td.NATION_WATERMARKS_SQL))
+    r = td.ROLLUP_REPORT
+    return values_long(rows, r.groupBy, r.dataValueMappings, report_id=F.col("report_id"))

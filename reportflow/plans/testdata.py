@@ -145,3 +145,30 @@ def customer_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lit("OU"), F.col("c_custkey").cast("string")).alias("orgUnit")).alias("groupBy"),
         maps.alias("dataValueMappings"),
         F.col("c_custkey").cast("int").alias("pos"))
+
+# One template for every nation's report: the facility literal became a join.
+SHARED_ROLLUP_SQL = """
+SELECT
+  w.report_id,
+  'DsLineReturns' AS data_set,
+  date_format(l.l_shipdate, 'yyyyMM') AS period,
+  n.n_name AS org_unit,
+  COUNT(*) AS performed,
+  COUNT(CASE WHEN l.l_quantity > 25.0 THEN 1 END) AS positive
+FROM lineitem l
+JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN report_watermarks w ON n.n_name = w.facility
+WHERE l.l_shipdate > :lastSyncTimestamp
+  AND l.l_shipdate > w.checkpoint
+  AND l.l_returnflag = 'R'
+GROUP BY w.report_id, date_format(l.l_shipdate, 'yyyyMM'), n.n_name
+"""
+
+# Per-nation checkpoints: 1996-01 plus the nation key in months.
+NATION_WATERMARKS_SQL = """
+SELECT n_name AS facility, concat('rpt-', n_name) AS report_id,
+       TIMESTAMP_NTZ'1996-01-01 00:00:00' + make_ym_interval(0, n_nationkey) AS checkpoint
+FROM nation
+"""
