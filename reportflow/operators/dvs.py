@@ -173,13 +173,16 @@ def _chunk_column(long: DataFrame, key: list[str], max_values: int) -> DataFrame
     n_hot = counts.count()
     if n_hot == 0:
         return long.withColumn("chunk", F.lit(0))
-    side = F.broadcast(counts) if n_hot <= MAX_BROADCAST_HOT_SETS else counts
+    side = counts.select(*[F.col(k).alias("_h_" + k) for k in key], "_n")
+    side = F.broadcast(side) if n_hot <= MAX_BROADCAST_HOT_SETS else side
+    # Null-safe: a set key part may be null (e.g. no report id on the default path).
+    cond = [long[k].eqNullSafe(side["_h_" + k]) for k in key]
     buckets = F.ceil(F.col("_n") / F.lit(max_values))
     leaf_hash = F.xxhash64(*[F.col(c) for c in long.columns if c not in key])
-    return (long.join(side, key, "left")
+    return (long.join(side, cond, "left")
             .withColumn("chunk", F.when(F.col("_n").isNull(), F.lit(0))
                         .otherwise(F.pmod(leaf_hash, buckets).cast("int")))
-            .drop("_n"))
+            .drop("_n", *["_h_" + k for k in key]))
 
 
 def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
