@@ -14,7 +14,12 @@ from reportflow.plans import testdata as td
 from reportflow.plans.q_reports import DUCK_ROLLUP
 from reportflow.plans.registry import query
 from reportflow.plans.report_run import report_rows
+from reportflow.plans.pipeline import run_reports
+from reportflow.plans.q_reports import DUCK_EVENT_LEAVES
 from reportflow.plans.shared import run_shared_report
+from reportflow.sources.reports import Report
+from reportflow.sources.state_store import read_values
+from reportflow.streaming.stream import stream_root
 from reportflow.sources.tables import table
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -189,3 +194,31 @@ def shared_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = run_shared_report(spark, td.SHARED_ROLLUP_SQL, spark.sql(td.NATION_WATERMARKS_SQL))
     r = td.ROLLUP_REPORT
     return values_long(rows, r.groupBy, r.dataValueMappings, report_id=F.col("report_id"))
+
+
+PIPE_START = datetime(1990, 1, 1, tzinfo=timezone.utc)
+
+
+@query("pipeline_run", oracle=f"""
+WITH v AS (
+  SELECT * FROM ({duck_rollup_values("TIMESTAMP '1990-01-01 00:00:00'")})
+  UNION ALL
+  SELECT report_id, dataSet, period, orgUnit, dataElement, value, categoryOptionCombo, mapping_idx
+  FROM ({DUCK_EVENT_LEAVES.replace("WHERE ts > TIMESTAMP '2024-01-15 00:00:00'", "")}))
+SELECT report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo,
+       max(value) AS value, max(mapping_idx) AS mapping_idx
+FROM v GROUP BY report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo
+""")
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 end to end, twice: state, recompute run, upsert, rejects, JSON outbox, run log."""
+    td.sources(spark, sf_dir)
+    root = stream_root(spark, "pipeline")
+    blank = Report(id="no-sql", name="blank", sql="  ")
+    reports = [td.ROLLUP_REPORT, td.EVENTS_REPORT, blank]
+    order = {td.EVENTS_REPORT.id: td.EVENTS_ORDER}
+    run_reports(spark, reports, root, datetime(1998, 6, 15, tzinfo=timezone.utc),
+                default_start=PIPE_START, order_by=order)
+    run_reports(spark, reports, root, datetime(2002, 1, 1, tzinfo=timezone.utc),
+                default_start=PIPE_START, order_by=order)
+    return read_values(spark, root).select("report_id", "dataSet", "period", "orgUnit", "dataElement",
+                                           "categoryOptionCombo", "value", "mapping_idx")

@@ -81,3 +81,27 @@ def test_upsert_newest_wins_and_is_idempotent(spark):
     assert key(once) == key(twice)
     got = {r["period"]: r["value"] for r in once.collect()}
     assert got == {"202401": "9", "202402": "6"}   # null combo is one cell
+
+
+def test_state_store_missing_is_empty_and_versions(spark, tmp_out):
+    from reportflow.sources import state_store as store
+    assert store.read_state(spark, tmp_out).count() == 0
+    assert store.read_run_events(spark, tmp_out).count() == 0
+    ev = events(spark, [("r", 1, ts(1), "SUCCESS", "R", 3, None, ts(1))])
+    store.append_run_events(ev, tmp_out)
+    store.write_state_snapshot(fold_sync_state(store.read_run_events(spark, tmp_out), T0), tmp_out)
+    store.append_run_events(events(spark, [("r", 2, ts(2), "FAILED", None, None, "x", None)]), tmp_out)
+    store.write_state_snapshot(fold_sync_state(store.read_run_events(spark, tmp_out), T0), tmp_out)
+    st = store.read_state(spark, tmp_out).collect()
+    assert len(st) == 1 and st[0]["sync_status"] == "FAILED" and st[0]["records_synced"] == 3
+
+
+def test_upsert_values_rewrites_only_touched_periods(spark, tmp_out):
+    from reportflow.sources import state_store as store
+    first = values(spark, [("r", "DS", "202401", "OU", "E", None, "1", 0, ts(1)),
+                           ("r", "DS", "202402", "OU", "E", None, "2", 0, ts(1))])
+    store.upsert_values(spark, first, tmp_out)
+    store.upsert_values(spark, values(spark, [("r", "DS", "202402", "OU", "E", None, "7", 0, ts(2))]), tmp_out)
+    store.upsert_values(spark, values(spark, [("r", "DS", "202402", "OU", "E", None, "7", 0, ts(2))]), tmp_out)
+    got = sorted((r["period"], r["value"]) for r in store.read_values(spark, tmp_out).collect())
+    assert got == [("202401", "1"), ("202402", "7")]
