@@ -57,6 +57,7 @@ def run_reports(spark: SparkSession, reports: Sequence[Report], root: str, as_of
                 order_by: dict[str, list[str]] | None = None,
                 max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
     """Run every report once; ``as_of`` is the source snapshot time, stored as the new checkpoint."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     runnable = [r for r in reports if (r.resolved_sql() or "").strip()]   # F10, T23
     ckpt = _checkpoints(spark, root, runnable, default_start)
     seq = int(as_of.timestamp() * 1000) * 10

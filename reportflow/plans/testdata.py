@@ -111,6 +111,8 @@ REJECT_GROUP_BY = GroupBySpec(dataSet="data_set", period="period", orgUnit="org_
 
 
 def sources(spark: SparkSession, sf_dir: str) -> None:
+    # Checkpoints are instants compared with zone-less columns: runs are defined in UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     register_sources(spark, sf_dir)
 
 
