@@ -100,7 +100,7 @@ def causes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("error_chain", oracle=f"""
 SELECT failure_id,
-       'DHIS2 send failed -> ' || string_agg(coalesce(message, 'null'), ' -> ' ORDER BY depth) AS chain
+       '{dl.SEND_FAILED} -> ' || string_agg(coalesce(message, 'null'), ' -> ' ORDER BY depth) AS chain
 FROM ({DUCK_CAUSES}) GROUP BY failure_id
 """)
 def error_chain_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ def test_error_chain_and_details(spark):
     c = spark.createDataFrame([(1, 1, None), (1, 0, "top"), (2, 0, "only")] +
                               [(3, d, f"m{d}") for d in range(7)], "failure_id int, depth int, message string")
     chains = {r[0]: r[1] for r in dl.error_chain(c).collect()}
-    assert chains[1] == "DHIS2 send failed -> top -> null" and chains[2] == "DHIS2 send failed -> only"
+    assert chains[1] == f"{dl.SEND_FAILED} -> top -> null" and chains[2] == f"{dl.SEND_FAILED} -> only"
     details = dl.error_details(c).filter("failure_id = 3").orderBy("depth").collect()
     assert [r["line"] for r in details] == ["1. m0", "2. m1", "3. m2", "4. m3", "5. m4"]
 
