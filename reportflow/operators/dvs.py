@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from reportflow.functions.expr import (as_text, boolean_filter, coalesce_aliases, coc_expr,
                                        column_or_const, jtrim, needs_row_struct, qcol,
                                        resolve_column, with_row_struct)
+from reportflow.session import checkpoint_dir
 from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report
 
 log = logging.getLogger(__name__)
@@ -185,15 +186,24 @@ def _chunk_column(long: DataFrame, key: list[str], max_values: int) -> DataFrame
             .drop("_n", *["_h_" + k for k in key]))
 
 
-def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
+def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET,
+             materialize: bool = True) -> DataFrame:
     """Nest leaves into sets ``(report_id, dataSet, period, orgUnit, chunk, dataValues)``.
 
     Leaves in a set are ordered by mapping position, then row order (or the
     leaf content when no row order is given), as the original emitted them
     mapping by mapping. Sets without leaves do not exist (A5).
+
+    Chunking reads ``long`` twice (counts, then nesting). With ``materialize``
+    the long form is first checkpointed to the shared checkpoint folder, so the
+    report's query runs once and lineage is cut; pass ``False`` when ``long``
+    is already a scan of a written table.
     """
     key = [c for c in ["report_id", *KEYS] if c in long.columns]
     if max_values_per_set:
+        if materialize:
+            checkpoint_dir(long.sparkSession)
+            long = long.checkpoint(eager=True)
         long = _chunk_column(long, key, max_values_per_set)
     else:
         long = long.withColumn("chunk", F.lit(0))

@@ -45,11 +45,17 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared lineage-cut folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must name shared storage; it is read, never
-    overridden. Only when it is unset (local tests) is a scratch folder made.
+    overridden. Only in local mode with the setting unset (tests) is a
+    scratch folder made.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     path = fallback or tempfile.mkdtemp(prefix="reportflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
