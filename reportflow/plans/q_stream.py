@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from reportflow.plans import testdata as td
 from reportflow.plans.q_reports import DUCK_EVENT_LEAVES
+from reportflow.plans.q_state import duck_rollup_values
 from reportflow.plans.registry import query
+from reportflow.sources.state_store import read_values
 from reportflow.sources.tables import table
 from reportflow.streaming.stream import stream_report, stream_root
 
@@ -30,3 +32,18 @@ def stream_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     vals = spark.read.parquet(os.path.join(sink, "data_values"))
     return vals.select("report_id", "dataSet", "period", "orgUnit", "dataElement", "value",
                        "categoryOptionCombo", "mapping_idx", F.col("row_order.event_id").alias("event_id"))
+
+
+@query("stream_recompute", oracle=duck_rollup_values("TIMESTAMP '1990-01-01 00:00:00'"))
+def stream_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 for an aggregating report: each micro-batch re-aggregates the periods it touched."""
+    td.sources(spark, sf_dir)
+    schema = table(spark, sf_dir, "lineitem").schema
+    sink = stream_root(spark, "rollup-report")
+    q = stream_report(spark, sf_dir, schema, td.ROLLUP_REPORT, view="lineitem", sink=sink,
+                      time_col="l_shipdate", glob="lineitem.parquet", scope="recompute")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_values(spark, sink).select("report_id", "dataSet", "period", "orgUnit", "dataElement",
+                                           "value", "categoryOptionCombo", "mapping_idx")

@@ -1,12 +1,20 @@
 """Scheduled report runs as a Structured Streaming query.
 
 The original polled on a timer and re-read everything after its checkpoint.
-Here new source files arrive as micro-batches; ``foreachBatch`` runs the
-report over the batch and writes the long values, rejects and a SUCCESS run
-event. Every write is keyed by ``batch_id`` and overwrites only that batch's
-partition, so a replayed batch after a lost executor or driver restart gives
-the same tables (at-least-once delivery, idempotent sink). Progress lives in
-the stream's checkpoint folder, which must be on shared storage.
+Here new source files arrive as micro-batches and ``foreachBatch`` runs the
+report. Two scopes:
+
+* ``batch``: the report's SQL runs over the micro-batch's rows (right for
+  row-level reports). Every write is keyed by ``batch_id`` and overwrites only
+  that batch's partition, so a replayed batch after a lost executor or driver
+  restart gives the same tables.
+* ``recompute``: for aggregating reports a micro-batch holds only part of a
+  period (T13). The batch only says which periods changed: its smallest event
+  time is turned into a period-start bound and the SQL re-aggregates those
+  periods from the full source table, then the values are upserted by cell.
+  A replay recomputes the same totals, so this is idempotent too.
+
+Progress lives in the stream's checkpoint folder, which must be on shared storage.
 """
 
 from __future__ import annotations
@@ -23,7 +31,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reportflow.operators.dvs import rejected_rows, report_values_long
 from reportflow.operators.state import run_event
+from reportflow.plans.report_run import recompute_start
 from reportflow.session import checkpoint_dir
+from reportflow.sources import state_store
 from reportflow.sources.reports import Report
 from reportflow.sources.tables import DEFAULT_SYNC_START, report_params, run_report_sql
 
@@ -39,28 +49,44 @@ def _overwrite_partition(df: DataFrame, path: str, batch_id: int) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
+def _as_utc(ts):
+    if isinstance(ts, datetime) and ts.tzinfo is None:
+        return ts.replace(tzinfo=timezone.utc)
+    return ts
+
+
 def report_batch_writer(report: Report, view: str, sink: str, time_col: str,
-                        order_by: Sequence[str] | None = None):
-    """``foreachBatch`` function: run ``report`` over the batch registered as ``view``."""
+                        order_by: Sequence[str] | None = None, scope: str = "batch"):
+    """``foreachBatch`` function for ``report``; see the module notes for ``scope``."""
+    if scope not in ("batch", "recompute"):
+        raise ValueError(f"scope must be 'batch' or 'recompute', got {scope!r}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.createOrReplaceTempView(view)
-        rows = run_report_sql(spark, report.sql, report_params(DEFAULT_SYNC_START, report.parameters))
-        rows = rows.persist()
+        stats = batch.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"),
+                          F.count(F.lit(1)).alias("n")).first()
+        if stats["n"] == 0:
+            return
+        if scope == "batch":
+            batch.createOrReplaceTempView(view)
+            bound = DEFAULT_SYNC_START
+        else:
+            bound = recompute_start(_as_utc(stats["lo"]))
+        rows = run_report_sql(spark, report.sql, report_params(bound, report.parameters)).persist()
+        now = datetime.now(timezone.utc)
         try:
             long = report_values_long(rows, report, order_by=order_by)
-            _overwrite_partition(long, os.path.join(sink, "data_values"), batch_id)
+            if scope == "batch":
+                _overwrite_partition(long, os.path.join(sink, "data_values"), batch_id)
+            else:
+                values = long.drop("row_order") if "row_order" in long.columns else long
+                state_store.upsert_values(spark, values.withColumn("load_ts", F.lit(now)), sink)
             _overwrite_partition(rejected_rows(rows, report.groupBy, report_id=report.id),
                                  os.path.join(sink, "rejects"), batch_id)
-            stats = batch.agg(F.max(time_col).alias("ckpt"), F.count(F.lit(1)).alias("n")).first()
-            now = datetime.now(timezone.utc)
-            ckpt = stats["ckpt"]
-            if isinstance(ckpt, datetime) and ckpt.tzinfo is None:
-                ckpt = ckpt.replace(tzinfo=timezone.utc)
             ev = spark.range(1).select(*run_event(
                 F.lit(report.id), F.lit(batch_id), F.lit(now), "SUCCESS",
                 report_name=F.lit(report.name), records=F.lit(int(stats["n"])),
-                checkpoint=F.lit(ckpt).cast("timestamp")))
+                checkpoint=F.lit(_as_utc(stats["hi"])).cast("timestamp")))
             _overwrite_partition(ev, os.path.join(sink, "run_events"), batch_id)
         finally:
             rows.unpersist()
@@ -70,16 +96,18 @@ def report_batch_writer(report: Report, view: str, sink: str, time_col: str,
 def stream_report(spark: SparkSession, source_dir: str, schema: T.StructType, report: Report,
                   view: str, sink: str, time_col: str, glob: str | None = None,
                   order_by: Sequence[str] | None = None, available_now: bool = True,
-                  interval: str = "2 minutes", max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  interval: str = "2 minutes", max_files_per_trigger: int | None = None,
+                  scope: str = "batch") -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and stops; else it
-    runs every ``interval`` (the original's two-minute poll)."""
+    runs every ``interval`` (the original's two-minute poll). With ``scope="recompute"``
+    the report's SQL reads the full source table registered as a view by the caller."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(source_dir)
-    w = (src.writeStream.foreachBatch(report_batch_writer(report, view, sink, time_col, order_by))
+    w = (src.writeStream.foreachBatch(report_batch_writer(report, view, sink, time_col, order_by, scope))
          .option("checkpointLocation", os.path.join(sink, "_checkpoint")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
