@@ -14,9 +14,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportflow import schemas
-from reportflow.functions.expr import java_trim_str, jtrim
+from reportflow.functions.expr import java_trim_str, jtrim, resolve_placeholders
 
 
 @dataclass(frozen=True)
@@ -86,12 +87,12 @@ class Report:
 def reports_frame(spark: SparkSession, reports: list[Report]) -> DataFrame:
     """Definitions as a typed table, position kept as ``pos``."""
     rows = [dict(r.to_row(), pos=i) for i, r in enumerate(reports)]
-    schema = schemas.REPORTS.add("pos", "int")
+    schema = T.StructType([*schemas.REPORTS.fields, T.StructField("pos", T.IntegerType())])
     return spark.createDataFrame(rows, schema=schema)
 
 
 def read_reports_json(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per file holding ``{"reports": [...]}`` (or a bare list)."""
+    """One JSON document per file holding ``{"reports": [...]}``; ``pos`` keeps the order."""
     raw = spark.read.option("multiLine", True).text(path, wholetext=True)
     parsed = raw.select(F.from_json("value", "struct<reports: array<%s>>"
                                     % schemas.REPORTS.simpleString()).alias("doc"))
@@ -138,3 +139,25 @@ def report_by_id(reports: DataFrame, report_id: str | None) -> DataFrame:
     if report_id is None:
         return reports.orderBy("pos").limit(1)
     return reports.filter(F.col("id") == report_id)
+
+
+def resolve_report_placeholders(reports: DataFrame, variables: dict[str, str] | None,
+                                allow_default: bool = False) -> DataFrame:
+    """``${KEY}`` substitution in every text field of the definitions.
+
+    Settings and environment are merged into one dict by the caller (settings
+    win). The SQL file's own text gets no pass, as before: only ``sqlFile`` the
+    path is resolved.
+    """
+    r = lambda c: resolve_placeholders(c, variables, allow_default)
+    text = ["id", "name", "description", "dataSet", "sql", "sqlFile"]
+    out = reports.select(
+        *[r(F.col(c)).alias(c) for c in text],
+        F.transform_values("parameters", lambda _, v: r(v)).alias("parameters"),
+        F.when(F.col("groupBy").isNotNull(), F.struct(
+            *[r(F.col("groupBy")[k]).alias(k) for k in ("dataSet", "period", "orgUnit")])).alias("groupBy"),
+        F.transform("dataValueMappings", lambda m: F.struct(
+            *[r(m[k]).alias(k) for k in ("name", "dataElement", "valueColumn", "categoryOptionCombo",
+                                         "filter")])).alias("dataValueMappings"),
+        *[F.col(c) for c in reports.columns if c not in text + ["parameters", "groupBy", "dataValueMappings"]])
+    return out
