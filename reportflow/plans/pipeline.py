@@ -22,6 +22,7 @@ from reportflow.operators import delivery as dl
 from reportflow.operators.dvs import DEFAULT_MAX_VALUES_PER_SET, nest_dvs, rejected_rows, report_values_long
 from reportflow.operators.state import fold_sync_state, run_event
 from reportflow.plans.report_run import report_rows
+from reportflow.session import checkpoint_dir
 from reportflow.sources import state_store as store
 from reportflow.sources.reports import Report
 from reportflow.sources.tables import DEFAULT_SYNC_START
@@ -58,19 +59,21 @@ def run_reports(spark: SparkSession, reports: Sequence[Report], root: str, as_of
                 max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
     """Run every report once; ``as_of`` is the source snapshot time, stored as the new checkpoint."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    checkpoint_dir(spark)
     runnable = [r for r in reports if (r.resolved_sql() or "").strip()]   # F10, T23
     ckpt = _checkpoints(spark, root, runnable, default_start)
     seq = int(as_of.timestamp() * 1000) * 10
     for r in runnable:
         _event(spark, root, r, seq, as_of, "IN_PROGRESS")
         try:
-            rows = report_rows(spark, r, ckpt[r.id], mode)
+            # Values, rejects and sets all read the result: run the SQL once, cut lineage.
+            rows = report_rows(spark, r, ckpt[r.id], mode).checkpoint(eager=True)
             long = report_values_long(rows, r, order_by=(order_by or {}).get(r.id))
             values = long.drop("row_order").withColumn("load_ts", F.lit(as_of))
             store.upsert_values(spark, values, root)
             rejected_rows(rows, r.groupBy, report_id=r.id).withColumn("run_at", F.lit(as_of)) \
                 .write.mode("append").parquet(os.path.join(root, "rejects"))
-            sets = nest_dvs(long, max_values_per_set)
+            sets = nest_dvs(long, max_values_per_set, materialize=False)
             out = dl.dvs_json(sets).withColumn("run_at", F.lit(as_of)).persist()
             out.drop("run_at").write.mode("append").partitionBy("report_id").parquet(os.path.join(root, "outbox"))
             n_sets = out.count()

@@ -10,6 +10,7 @@ from reportflow.operators.dvs import nest_dvs, report_values_long
 from reportflow.plans import testdata as td
 from reportflow.plans.q_reports import DUCK_EVENT_LEAVES, DUCK_EVENTS, DUCK_ROLLUP, events_rows, rollup_rows
 from reportflow.plans.registry import query
+from reportflow.session import checkpoint_dir
 from reportflow.sources.tables import table
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -202,10 +203,13 @@ SELECT 'user-events', (SELECT COUNT(*) FROM e), (SELECT COUNT(*) FROM l),
 def run_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result rows, data values and sets per report run; records = sets."""
     out = None
+    checkpoint_dir(spark)
     for report, rows, order in ((td.ROLLUP_REPORT, rollup_rows(spark, sf_dir), None),
                                 (td.EVENTS_REPORT, events_rows(spark, sf_dir), td.EVENTS_ORDER)):
+        rows = rows.checkpoint(eager=True)   # rows, values and sets are all counted from one run
         long = report_values_long(rows, report, order_by=order)
-        part = dl.run_counts(rows.withColumn("report_id", F.lit(report.id)), long, nest_dvs(long))
+        part = dl.run_counts(rows.withColumn("report_id", F.lit(report.id)), long,
+                             nest_dvs(long, materialize=False))
         out = part if out is None else out.unionByName(part)
     return out
 
