@@ -89,7 +89,7 @@ FROM (SELECT event_id, user_id, value,
 DUCK_CAUSES = f"""
 SELECT event_id AS failure_id, depth, {CAUSE_MESSAGE.replace('STRING', 'VARCHAR')} AS message
 FROM (SELECT event_id, user_id, value,
-             unnest(range(0, CAST(floor(value / 100) AS INT) + 2)) AS depth
+             CAST(unnest(range(0, CAST(floor(value / 100) AS INT) + 2)) AS INTEGER) AS depth
       FROM events WHERE event_type = 'error')
 """
 
