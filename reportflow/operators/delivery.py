@@ -171,3 +171,11 @@ def verify_counts(sets: DataFrame, by: str) -> DataFrame:
     return (sets.select(by, F.size("dataValues").alias("_n"))
             .groupBy(by).agg(F.sum("_n").cast("long").alias("data_values"),
                              F.count(F.lit(1)).alias("data_value_sets")))
+
+
+def failure_events(letters: DataFrame) -> DataFrame:
+    """Dead letters as FAILED run events (E3): the state then folds them like any run."""
+    from reportflow.operators.state import run_event
+    ts = F.col("failed_at")
+    return letters.select(*run_event(F.col("report_id"), F.unix_micros(ts.cast("timestamp")), ts, "FAILED",
+                                     error=F.col("error_message")))

@@ -72,3 +72,13 @@ def test_write_dvs_partitions_by_report(spark, tmp_out):
     dl.write_dvs(sets, tmp_out + "/dvs")
     back = spark.read.text(tmp_out + "/dvs").collect()
     assert len(back) == 1 and json.loads(back[0]["value"])["orgUnit"] == "o"
+
+
+def test_dead_letters_fold_to_failed_state(spark):
+    from datetime import datetime
+    from reportflow.operators.state import fold_sync_state
+    df = spark.createDataFrame([("{}", "r1", 2, datetime(2026, 1, 2))], "body string, h string, n int, at timestamp")
+    letters = dl.dead_letters(df, F.col("body"), F.col("h"), None, F.col("n"), failed_at=F.col("at"))
+    st = fold_sync_state(dl.failure_events(letters)).first()
+    assert st["report_id"] == "r1" and st["sync_status"] == "FAILED"
+    assert st["error_message"].startswith("DLQ - Failed to process message after 2 redeliveries")
