@@ -23,12 +23,21 @@ STATUS_AFTER = {"IN_PROGRESS": "IN_PROGRESS", "SUCCESS": "SUCCESS", "FAILED": "F
 
 
 def _last(value: Column, sets: Column, order: Column) -> Column:
-    """Value from the latest event that sets the field; a null set by that event wins."""
-    return F.max_by(F.when(sets, F.struct(value.alias("v"))), F.when(sets, order))["v"]
+    """``struct(v)`` from the latest event that sets the field (null struct: never set).
 
+    Wrapping keeps a null *set* by that event apart from "not set", and
+    ``max_by`` skips rows whose order is null.
+    """
+    return F.max_by(F.when(sets, F.struct(value.alias("v"))), F.when(sets, order))
+
+
+# Partial fold columns: ``*_s`` are struct<v> "last set" values, the rest combine by min/max/latest.
+SET_FIELDS = {"name_s": "report_name", "ckpt_s": "last_sync_timestamp", "records_s": "records_synced",
+              "error_s": "error_message"}
 
-def fold_sync_state(events: DataFrame, default_start: datetime | Column = DEFAULT_SYNC_START) -> DataFrame:
-    """Current state per report from its run events.
+
+def fold_partial(events: DataFrame, default_start: datetime | Column = DEFAULT_SYNC_START) -> DataFrame:
+    """Per report, the fold of ``events`` in a form that later events can be merged into.
 
     ``events``: report_id, seq, event_ts, event, report_name, records, error,
     checkpoint. Rules (which event sets which field): status from every event;
@@ -46,15 +55,43 @@ def fold_sync_state(events: DataFrame, default_start: datetime | Column = DEFAUL
     sets_err = ev.isin("SUCCESS", "FAILED", "RESET")
     ckpt_val = F.when(ev == "SUCCESS", F.coalesce(F.col("checkpoint"), F.col("event_ts"))) \
         .otherwise(dflt.cast(events.schema["event_ts"].dataType))
-    return (events.groupBy("report_id").agg(
-        _last(F.col("report_name"), sets_name, order).alias("report_name"),
-        _last(ckpt_val, sets_ckpt, order).alias("last_sync_timestamp"),
+    return events.groupBy("report_id").agg(
+        _last(F.col("report_name"), sets_name, order).alias("name_s"),
+        _last(ckpt_val, sets_ckpt, order).alias("ckpt_s"),
         F.max_by(status, order).alias("sync_status"),
         _last(F.when(ev == "SUCCESS", F.col("records")).otherwise(F.lit(0).cast("long")),
-              sets_ckpt, order).alias("records_synced"),
-        _last(F.when(ev == "FAILED", F.col("error")), sets_err, order).alias("error_message"),
+              sets_ckpt, order).alias("records_s"),
+        _last(F.when(ev == "FAILED", F.col("error")), sets_err, order).alias("error_s"),
         F.min(F.when(sets_err, F.col("event_ts"))).alias("created_at"),
-        F.max("event_ts").alias("updated_at")))
+        F.max("event_ts").alias("updated_at"))
+
+
+def combine_partial(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Merge a newer partial fold into an older one (every newer event is at or after the older).
+
+    The fold is idempotent, so events folded into both sides change nothing.
+    Both sides hold one row per report, so this join is report-count sized.
+    """
+    o, n = old.alias("o"), new.alias("n")
+    pick = lambda c: F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c)
+    return o.join(n, "report_id", "full").select(
+        "report_id", *[pick(c) for c in SET_FIELDS], pick("sync_status"),
+        F.coalesce(F.col("o.created_at"), F.col("n.created_at")).alias("created_at"),
+        F.greatest(F.col("o.updated_at"), F.col("n.updated_at")).alias("updated_at"))
+
+
+def finalize_state(partial: DataFrame) -> DataFrame:
+    """The sync state table from a partial fold."""
+    return partial.select(
+        "report_id", F.col("name_s.v").alias("report_name"),
+        F.col("ckpt_s.v").alias("last_sync_timestamp"), "sync_status",
+        F.col("records_s.v").alias("records_synced"), F.col("error_s.v").alias("error_message"),
+        "created_at", "updated_at")
+
+
+def fold_sync_state(events: DataFrame, default_start: datetime | Column = DEFAULT_SYNC_START) -> DataFrame:
+    """Current state per report from its run events (a grouped, map-side combined fold)."""
+    return finalize_state(fold_partial(events, default_start))
 
 
 def parse_instant(text: Column) -> Column:

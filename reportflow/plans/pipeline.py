@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from reportflow.operators import delivery as dl
 from reportflow.operators.dvs import DEFAULT_MAX_VALUES_PER_SET, nest_dvs, rejected_rows, report_values_long
-from reportflow.operators.state import fold_sync_state, run_event
+from reportflow.operators.state import finalize_state, run_event
 from reportflow.plans.report_run import report_rows
 from reportflow.session import checkpoint_dir
 from reportflow.sources import state_store as store
@@ -43,8 +43,7 @@ def _checkpoints(spark: SparkSession, root: str, reports: Sequence[Report],
                  default_start: datetime) -> dict[str, datetime]:
     """Stored checkpoint per report (one row per configured report, so it is small)."""
     ids = [r.id for r in reports]
-    state = fold_sync_state(store.read_run_events(spark, root).filter(F.col("report_id").isin(ids)),
-                            default_start)
+    state = finalize_state(store.current_partial(spark, root, default_start)).filter(F.col("report_id").isin(ids))
     out = {r.id: default_start for r in reports}
     for row in state.select("report_id", "last_sync_timestamp").collect():
         ts = row["last_sync_timestamp"]
@@ -87,6 +86,5 @@ def run_reports(spark: SparkSession, reports: Sequence[Report], root: str, as_of
                 .write.mode("append").parquet(os.path.join(root, "dead_letters"))
             _event(spark, root, r, seq + 1, as_of, "FAILED", error=msg)
         seq += 2
-    state = fold_sync_state(store.read_run_events(spark, root), default_start)
-    path = store.write_state_snapshot(state, root)
-    return spark.read.parquet(path)
+    path = store.write_state_snapshot(store.current_partial(spark, root, default_start), root)
+    return finalize_state(spark.read.parquet(path))

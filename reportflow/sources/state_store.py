@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from reportflow import schemas
 from reportflow.operators.delivery import VALUE_KEY, upsert_latest
+from reportflow.operators.state import combine_partial, finalize_state, fold_partial
 
 # Above this many touched (report, period) partitions the upsert reads the whole target.
 MAX_PRUNED_PARTITIONS = 10_000
@@ -58,11 +59,11 @@ def read_run_events(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, os.path.join(root, "run_events"), schemas.RUN_EVENTS)
 
 
-def write_state_snapshot(state: DataFrame, root: str) -> str:
-    """Write a new state version; returns its folder. Old versions stay until cleaned."""
+def write_state_snapshot(partial: DataFrame, root: str) -> str:
+    """Write a new version of the partial fold; returns its folder. Old versions stay until cleaned."""
     version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = os.path.join(root, "sync_state", version)
-    state.write.mode("errorifexists").parquet(path)
+    partial.write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -80,12 +81,34 @@ def latest_state_version(spark: SparkSession, root: str) -> str | None:
     return os.path.join(base, max(done)) if done else None
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """Newest finished snapshot; no store means no state (every report starts fresh)."""
+def read_state_partial(spark: SparkSession, root: str) -> DataFrame | None:
+    """Newest finished snapshot of the partial fold, or None without one."""
     v = latest_state_version(spark, root)
-    if v is None:
+    return None if v is None else spark.read.parquet(v)
+
+
+def current_partial(spark: SparkSession, root: str, default_start) -> DataFrame:
+    """Snapshot + events from its high-water mark on (the fold is idempotent, so ``>=`` is safe).
+
+    Without a snapshot the whole log is folded. Only events newer than the last
+    snapshot are read, so a run's cost does not grow with the log's age.
+    """
+    events = read_run_events(spark, root)
+    snap = read_state_partial(spark, root)
+    if snap is None:
+        return fold_partial(events, default_start)
+    hwm = snap.agg(F.max("updated_at")).first()[0]
+    if hwm is None:
+        return fold_partial(events, default_start)
+    return combine_partial(snap, fold_partial(events.filter(F.col("event_ts") >= F.lit(hwm)), default_start))
+
+
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """Newest finished snapshot as the state table; no store means no state."""
+    snap = read_state_partial(spark, root)
+    if snap is None:
         return spark.createDataFrame([], schemas.SYNC_STATE)
-    return spark.read.schema(schemas.SYNC_STATE).parquet(v)
+    return finalize_state(snap)
 
 
 def _partitioned(df: DataFrame) -> DataFrame:
