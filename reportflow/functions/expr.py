@@ -57,10 +57,6 @@ def period_of(ts: Column) -> Column:
     return F.date_format(ts, PERIOD_FORMAT)
 
 
-def is_blank(c: Column) -> Column:
-    return c.isNull() | (jtrim(c) == "")
-
-
 def resolve_column(columns: Sequence[str], key: str | None) -> str | None:
     """Find a result column: exact name first, then ignoring case.
 

@@ -67,15 +67,6 @@ def _report_id_col(report_id: str | Column | None) -> Column:
     return F.lit(report_id).cast("string")
 
 
-def keyed_rows(rows: DataFrame, group_by: GroupBySpec, null_key: str = "reject") -> DataFrame:
-    """Result rows with the three grouping keys resolved (column or constant)."""
-    return rows.select(
-        column_or_const(rows, group_by.dataSet, null_key).alias("_k_dataSet"),
-        column_or_const(rows, group_by.period, null_key).alias("_k_period"),
-        column_or_const(rows, group_by.orgUnit, null_key).alias("_k_orgUnit"),
-        *[qcol(c) for c in rows.columns])
-
-
 def values_long(rows: DataFrame, group_by: GroupBySpec | None,
                 mappings: Sequence[DataValueMapping] | None,
                 order_by: Sequence[str] | None = None, report_id: str | Column | None = None,

@@ -1,4 +1,4 @@
-"""One report run as a Spark plan: checkpoint -> SQL -> long values -> sets -> run events.
+"""Reading a report from its checkpoint: delta or recompute bound, then the report SQL.
 
 Modes (I3, T13): ``delta`` reads rows strictly after the checkpoint, as the
 original did; downstream the receiver overwrites each (period, orgUnit) cell,
@@ -14,15 +14,10 @@ partitions when facts are partitioned by period) instead of needing a join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
-from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from reportflow.operators.dvs import nest_dvs, rejected_rows, report_values_long
-from reportflow.operators.state import run_event
 from reportflow.sources.reports import Report
 from reportflow.sources.tables import report_params, run_report_sql
 
@@ -45,32 +40,3 @@ def report_rows(spark: SparkSession, report: Report, checkpoint: datetime,
         raise ValueError(f"report {report.id!r} has no SQL")
     bound = checkpoint if mode == "delta" else recompute_start(checkpoint)
     return run_report_sql(spark, sql, report_params(bound, report.parameters))
-
-
-@dataclass
-class ReportRun:
-    rows: DataFrame
-    values: DataFrame      # long form, stamped with load_ts
-    rejects: DataFrame
-    sets: DataFrame
-
-
-def run_report(spark: SparkSession, report: Report, checkpoint: datetime, load_ts: datetime,
-               mode: str = "recompute", order_by: list[str] | None = None,
-               max_values_per_set: int | None = None, **kw: Any) -> ReportRun:
-    """Lazy plans for one run; the caller writes values, rejects and sets, then logs events."""
-    rows = report_rows(spark, report, checkpoint, mode)
-    long = report_values_long(rows, report, order_by=order_by, **kw)
-    values = long.withColumn("load_ts", F.lit(load_ts))
-    rej = rejected_rows(rows, report.groupBy, report_id=report.id)
-    sets = nest_dvs(long, max_values_per_set)
-    return ReportRun(rows, values, rej, sets)
-
-
-def success_event(spark: SparkSession, report: Report, seq: int, at: datetime,
-                  records: int, checkpoint: datetime) -> DataFrame:
-    """A one-row SUCCESS event; ``checkpoint`` is the max event time read."""
-    one = spark.range(1)
-    return one.select(*run_event(F.lit(report.id), F.lit(seq), F.lit(at), "SUCCESS",
-                                 report_name=F.lit(report.name), records=F.lit(records),
-                                 checkpoint=F.lit(checkpoint)))

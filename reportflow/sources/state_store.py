@@ -51,12 +51,21 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def append_run_events(events: DataFrame, root: str) -> None:
-    events.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RUN_EVENTS.fields]) \
-        .write.mode("append").parquet(os.path.join(root, "run_events"))
+    """Append to the run log, partitioned by event day so reads after a snapshot prune old days."""
+    (events.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RUN_EVENTS.fields])
+     .withColumn("event_day", F.to_date("event_ts"))
+     .write.mode("append").partitionBy("event_day").parquet(os.path.join(root, "run_events")))
 
 
-def read_run_events(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, os.path.join(root, "run_events"), schemas.RUN_EVENTS)
+def read_run_events(spark: SparkSession, root: str, since=None) -> DataFrame:
+    """The run log; with ``since``, only events at or after it (day partitions pruned first)."""
+    path = os.path.join(root, "run_events")
+    if not exists(spark, path):
+        return spark.createDataFrame([], schemas.RUN_EVENTS)
+    df = spark.read.parquet(path)
+    if since is not None:
+        df = df.filter((F.col("event_day") >= F.to_date(F.lit(since))) & (F.col("event_ts") >= F.lit(since)))
+    return df.select(*[F.col(f.name) for f in schemas.RUN_EVENTS.fields])
 
 
 def write_state_snapshot(partial: DataFrame, root: str) -> str:
@@ -93,14 +102,11 @@ def current_partial(spark: SparkSession, root: str, default_start) -> DataFrame:
     Without a snapshot the whole log is folded. Only events newer than the last
     snapshot are read, so a run's cost does not grow with the log's age.
     """
-    events = read_run_events(spark, root)
     snap = read_state_partial(spark, root)
-    if snap is None:
-        return fold_partial(events, default_start)
-    hwm = snap.agg(F.max("updated_at")).first()[0]
+    hwm = None if snap is None else snap.agg(F.max("updated_at")).first()[0]
     if hwm is None:
-        return fold_partial(events, default_start)
-    return combine_partial(snap, fold_partial(events.filter(F.col("event_ts") >= F.lit(hwm)), default_start))
+        return fold_partial(read_run_events(spark, root), default_start)
+    return combine_partial(snap, fold_partial(read_run_events(spark, root, since=hwm), default_start))
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
