@@ -94,7 +94,7 @@ def values_long(rows: DataFrame, group_by: GroupBySpec | None,
             ou.alias("orgUnit")]
     if order is not None:
         proj.append(order.alias("row_order"))
-    proj.append(F.filter(F.array(*leaves), lambda x: x.isNotNull()).alias("_leaves"))
+    proj.append(F.array_compact(F.array(*leaves)).alias("_leaves"))
     out = (src.select(*proj)
            .filter(_key_ok(F.col("dataSet")) & _key_ok(F.col("period")) & _key_ok(F.col("orgUnit")))
            .select("report_id", *KEYS,

@@ -166,4 +166,4 @@ def element_leaves(rows: DataFrame, pairs: Sequence[ElementPair], rule: str = "v
         leaves.append(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.struct(
             F.lit(el_id).alias("dataElement"), F.lit(DEFAULT_COMBO).alias("categoryOptionCombo"),
             string_value_of(F.col(a) + F.col(b)).alias("value"))))
-    return F.filter(F.array(*leaves), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*leaves))

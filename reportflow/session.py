@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.caseSensitive": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of DataFrames no longer referenced are removed by the context cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
