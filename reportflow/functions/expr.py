@@ -211,8 +211,9 @@ def resolve_placeholders(c: Column, variables: Mapping[str, str] | None,
     parts = F.split(c, PLACEHOLDER_SPLIT, -1)
     keys = F.regexp_extract_all(c, F.lit(PLACEHOLDER_KEY), 1)
 
-    def piece(p: Column, i: Column) -> Column:
-        k = F.get(keys, i)
+    # zip_with pairs each text piece with the key after it (null after the last
+    # piece), so the key list is computed once per row, not once per element.
+    def piece(p: Column, k: Column) -> Column:
         if allow_default:
             has = F.instr(k, ":") > 0
             name = F.when(has, F.substring_index(k, ":", 1)).otherwise(k)
@@ -225,7 +226,7 @@ def resolve_placeholders(c: Column, variables: Mapping[str, str] | None,
         return F.concat(p, repl)
 
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
-        F.array_join(F.transform(parts, piece), ""))
+        F.array_join(F.zip_with(parts, keys, piece), ""))
 
 
 _BIND_RE = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|:#([A-Za-z_][A-Za-z0-9_]*)")
