@@ -94,9 +94,17 @@ def fold_sync_state(events: DataFrame, default_start: datetime | Column = DEFAUL
     return finalize_state(fold_partial(events, default_start))
 
 
+# The shape of an ISO-8601 instant (date, 'T', time, 'Z' or an offset).
+ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
+
+
 def parse_instant(text: Column) -> Column:
-    """ISO instant text to timestamp; unparsable or empty gives null."""
-    return F.try_to_timestamp(text)
+    """ISO instant text to timestamp; other shapes, unparsable or empty text give null.
+
+    Only instants count, as in the original: a bare date or a zone-less time is
+    not a stored checkpoint, so the report falls back to its default start.
+    """
+    return F.when(text.rlike(ISO_INSTANT), F.try_to_timestamp(text))
 
 
 def sync_watermarks(reports: DataFrame, state: DataFrame,

@@ -51,13 +51,16 @@ def test_fold_ignores_partitioning(spark):
 
 
 def test_watermarks_parse_text_and_default(spark):
-    reports = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
-    state = spark.createDataFrame([("a", "2026-02-01T10:00:00.5Z", "SUCCESS"), ("b", "garbage", "FAILED")],
+    reports = spark.createDataFrame([("a",), ("b",), ("c",), ("c2",), ("d",)], "id string")
+    state = spark.createDataFrame([("a", "2026-02-01T10:00:00.5Z", "SUCCESS"), ("b", "garbage", "FAILED"),
+                                   ("c2", "2026-02-01", "SUCCESS"), ("d", "2026-02-01T12:00:00+02:00", "SUCCESS")],
                                   "report_id string, last_sync_timestamp string, sync_status string")
     got = {r["report_id"]: r for r in sync_watermarks(reports, state).collect()}
     assert got["a"]["effective_start"].isoformat().startswith("2026-02-01T10:00:00.5")
     assert got["b"]["effective_start"].year == 2020
     assert got["c"]["sync_status"] == "PENDING" and got["c"]["effective_start"].year == 2020
+    assert got["c2"]["effective_start"].year == 2020            # a bare date is not an instant
+    assert got["d"]["effective_start"].hour == 10                # offset honoured
 
 
 def test_recompute_start_reads_whole_month():
