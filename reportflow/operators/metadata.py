@@ -54,9 +54,15 @@ def assign_all_members(members: DataFrame, user_ids: Sequence[str], id_col: str
 
 
 def add_members(existing: Column, new: Column) -> Column:
-    """Per-row ``existing ∪ new`` over ``array<struct<id>>``: existing order kept, repeats removed."""
-    return F.array_union(F.coalesce(existing, F.array().cast("array<struct<id:string>>")),
-                         F.coalesce(new, F.array().cast("array<struct<id:string>>")))
+    """Per-row: append the new ids that are not on the list yet.
+
+    The existing list is kept exactly (order and any repeats already there);
+    each new id is appended once, in the order given.
+    """
+    empty = F.array().cast("array<struct<id:string>>")
+    ex = F.coalesce(existing, empty)
+    return F.concat(ex, F.filter(F.array_distinct(F.coalesce(new, empty)),
+                                 lambda x: ~F.array_contains(ex, x)))
 
 
 def add_members_long(existing: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:

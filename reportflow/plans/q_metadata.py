@@ -47,13 +47,12 @@ def assign_all_members_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("add_members", oracle="""
 SELECT l_orderkey, l_linenumber,
-       a || CASE WHEN b <> a THEN ',' || b ELSE '' END
-         || CASE WHEN c <> a AND c <> b THEN ',' || c ELSE '' END AS members
+       a || ',' || b || ',' || a || CASE WHEN c <> a AND c <> b THEN ',' || c ELSE '' END AS members
 FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS a, CAST(l_suppkey AS VARCHAR) AS b,
              CAST(l_orderkey AS VARCHAR) AS c FROM lineitem)
 """)
 def add_members_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Add ids to a member list if missing; existing order kept, repeats removed."""
+    """Add ids to a member list if missing; the existing list is kept as it is."""
     li = table(spark, sf_dir, "lineitem")
     ref = lambda c: F.struct(F.col(c).cast("string").alias("id"))
     existing = F.array(ref("l_partkey"), ref("l_suppkey"), ref("l_partkey"))

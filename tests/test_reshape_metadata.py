@@ -64,10 +64,10 @@ def test_insert_missing_and_members(spark):
 
 
 def test_add_members_keeps_order(spark):
-    df = spark.createDataFrame([(["b", "a", "b"], ["c", "a"])], "e array<string>, n array<string>")
+    df = spark.createDataFrame([(["b", "a", "b"], ["c", "a", "c"])], "e array<string>, n array<string>")
     arr = lambda c: F.transform(c, lambda x: F.struct(x.alias("id")))
     got = df.select(F.transform(md.add_members(arr(F.col("e")), arr(F.col("n"))), lambda x: x["id"])).first()[0]
-    assert got == ["b", "a", "c"]
+    assert got == ["b", "a", "b", "c"]
 
 
 def test_pick_by_priority_with_fallback(spark):
