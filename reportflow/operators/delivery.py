@@ -22,6 +22,7 @@ VALUE_KEY = ["dataSet", "period", "orgUnit", "dataElement", "categoryOptionCombo
 SEND_FAILED = "DHIS2 send failed"
 DLQ_FORMAT = "DLQ - Failed to process message after %d redeliveries. Body: %s"
 UNKNOWN_REPORT = "unknown"
+DETAIL_FORMAT = "Caused by (%d): %s - %s"
 CONFLICT_CODE = 409
 # Where an import report states its status.
 IMPORT_STATUS_PATTERN = r'"response":\{"responseType":"ImportReport","status":"([^"]*)"'
@@ -94,11 +95,13 @@ def error_chain(causes: DataFrame, id_col: str = "failure_id") -> DataFrame:
                                         F.transform("_c", lambda x: x["m"])).alias("chain")))
 
 
-def error_details(causes: DataFrame, id_col: str = "failure_id", max_depth: int = 5) -> DataFrame:
-    """Numbered detail lines for causes at depth < ``max_depth``."""
+def error_details(causes: DataFrame, id_col: str = "failure_id", max_depth: int = 5,
+                  class_col: str | None = "class_name") -> DataFrame:
+    """``Caused by (n): <class> - <message>`` lines for the first ``max_depth`` causes."""
+    cls = F.col(class_col) if class_col and class_col in causes.columns else F.lit("java.lang.Exception")
     return (causes.filter(F.col("depth") < max_depth)
             .select(id_col, "depth",
-                    F.format_string("%d. %s", F.col("depth") + 1,
+                    F.format_string(DETAIL_FORMAT, F.col("depth") + 1, cls,
                                     F.coalesce(F.col("message"), F.lit("null"))).alias("line")))
 
 

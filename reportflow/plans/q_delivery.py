@@ -80,14 +80,17 @@ CAUSE_MESSAGE = """CASE WHEN depth = 0 THEN 'POST failed code=' || CAST(400 + CA
           WHEN depth = 1 THEN CASE WHEN value < 100 THEN NULL ELSE 'Connection reset' END
           ELSE 'cause ' || CAST(depth AS STRING) || ' of ' || CAST(event_id AS STRING) END"""
 
+CAUSE_CLASS = "CASE WHEN depth = 0 THEN 'org.example.HttpFailure' ELSE 'java.io.IOException' END"
+
 SPARK_CAUSES = f"""
-SELECT event_id AS failure_id, depth, {CAUSE_MESSAGE} AS message
+SELECT event_id AS failure_id, depth, {CAUSE_MESSAGE} AS message, {CAUSE_CLASS} AS class_name
 FROM (SELECT event_id, user_id, value,
              explode(sequence(0, CAST(floor(value / 100) AS INT) + 1)) AS depth
       FROM events WHERE event_type = 'error')
 """
 DUCK_CAUSES = f"""
-SELECT event_id AS failure_id, depth, {CAUSE_MESSAGE.replace('STRING', 'VARCHAR')} AS message
+SELECT event_id AS failure_id, depth, {CAUSE_MESSAGE.replace('STRING', 'VARCHAR')} AS message,
+       {CAUSE_CLASS} AS class_name
 FROM (SELECT event_id, user_id, value,
              CAST(unnest(range(0, CAST(floor(value / 100) AS INT) + 2)) AS INTEGER) AS depth
       FROM events WHERE event_type = 'error')
@@ -110,11 +113,12 @@ def error_chain_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("error_details", oracle=f"""
-SELECT failure_id, depth, CAST(depth + 1 AS VARCHAR) || '. ' || coalesce(message, 'null') AS line
+SELECT failure_id, depth,
+       'Caused by (' || CAST(depth + 1 AS VARCHAR) || '): ' || class_name || ' - ' || coalesce(message, 'null') AS line
 FROM ({DUCK_CAUSES}) WHERE depth < 5
 """)
 def error_details_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered cause lines, depth limited to 5."""
+    """``Caused by (n): class - message`` lines, depth limited to 5."""
     return dl.error_details(causes(spark, sf_dir))
 
 

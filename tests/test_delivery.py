@@ -25,7 +25,7 @@ def test_error_chain_and_details(spark):
     chains = {r[0]: r[1] for r in dl.error_chain(c).collect()}
     assert chains[1] == f"{dl.SEND_FAILED} -> top -> null" and chains[2] == f"{dl.SEND_FAILED} -> only"
     details = dl.error_details(c).filter("failure_id = 3").orderBy("depth").collect()
-    assert [r["line"] for r in details] == ["1. m0", "2. m1", "3. m2", "4. m3", "5. m4"]
+    assert [r["line"] for r in details] == [f"Caused by ({d + 1}): java.lang.Exception - m{d}" for d in range(5)]
 
 
 def test_dead_letter_text(spark):
