@@ -198,13 +198,18 @@ def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUE
         long = _chunk_column(long, key, max_values_per_set)
     else:
         long = long.withColumn("chunk", F.lit(0))
-    sort_fields = ["mapping_idx"] + (["row_order"] if "row_order" in long.columns else []) + LEAF
+    has_order = "row_order" in long.columns
+    sort_fields = ["mapping_idx"] + (["row_order"] if has_order else []) + LEAF
     packed = F.struct(*[F.col(c) for c in sort_fields])
-    return (long.groupBy(*key, "chunk")
-            .agg(F.array_sort(F.collect_list(packed)).alias("_vals"))
+    aggs = [F.array_sort(F.collect_list(packed)).alias("_vals")]
+    if has_order:
+        # O3: sets were emitted in order of first appearance; keep that as a sort key.
+        aggs.append(F.min("row_order").alias("first_row"))
+    return (long.groupBy(*key, "chunk").agg(*aggs)
             .select(*key, "chunk",
                     F.transform("_vals", lambda x: F.struct(
-                        *[x[c].alias(c) for c in LEAF])).alias("dataValues")))
+                        *[x[c].alias(c) for c in LEAF])).alias("dataValues"),
+                    *(["first_row"] if has_order else [])))
 
 
 def aggregate_dvs(rows: DataFrame, report: Report | None, order_by: Sequence[str] | None = None,

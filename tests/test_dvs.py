@@ -137,3 +137,12 @@ def test_hot_set_is_chunked_and_keeps_every_leaf(spark):
     assert sum(r["n"] for r in rows) == n                          # no leaf lost
     small = [r for r in rows if r["orgUnit"] != "HOT"]
     assert all(r["chunk"] == 0 for r in small) and len(small) == 7
+
+
+def test_sets_carry_first_appearance(spark):
+    df = spark.createDataFrame([(3, "DS", "p", "B", "1"), (1, "DS", "p", "A", "2"), (2, "DS", "p", "B", "3")],
+                               "id int, data_set string, period string, ou string, val string")
+    sets = nest_dvs(values_long(df, GroupBySpec("data_set", "period", "ou"), [DataValueMapping("E", "val")],
+                                order_by=["id"]), None)
+    order = [r["orgUnit"] for r in sets.orderBy("first_row").collect()]
+    assert order == ["A", "B"]
