@@ -227,3 +227,29 @@ def values_text(values: Column) -> Column:
     return F.array_join(F.transform(values, lambda x: F.concat(
         x["dataElement"], F.lit("="), x["value"],
         F.coalesce(F.concat(F.lit("/"), x["categoryOptionCombo"]), F.lit("")))), ";")
+
+
+def merge_duplicate_leaves(long: DataFrame, how: str = "keep") -> DataFrame:
+    """Leaves repeating (element, combo) within a set (T8): ``keep`` all (the original),
+    ``last`` by mapping then row order, or ``sum`` their numeric values.
+
+    A grouped ``max_by``/``sum`` with map-side combine, so a repeated cell
+    costs one partial row per task.
+    """
+    if how == "keep":
+        return long
+    key = [c for c in ["report_id", *KEYS, "dataElement", "categoryOptionCombo"] if c in long.columns]
+    order = F.struct(F.col("mapping_idx"), *([F.col("row_order")] if "row_order" in long.columns else []),
+                     F.col("value"))
+    if how == "last":
+        rest = [c for c in long.columns if c not in key]
+        return (long.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_r"))
+                .select(*key, *[F.col("_r")[c].alias(c) for c in rest]))
+    if how == "sum":
+        num = F.col("value").try_cast("double")
+        return (long.groupBy(*key)
+                .agg(F.sum(num).alias("_s"), F.min("mapping_idx").alias("mapping_idx"),
+                     *([F.min("row_order").alias("row_order")] if "row_order" in long.columns else []))
+                .withColumn("value", F.regexp_replace(F.col("_s").cast("string"), r"\.0$", ""))
+                .drop("_s"))
+    raise ValueError(f"how must be 'keep', 'last' or 'sum', got {how!r}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow.functions.expr import coc_expr, column_or_const, jtrim, with_row_struct, boolean_filter
-from reportflow.operators.dvs import (aggregate_dvs, nest_dvs, rejected_rows, report_values_long,
+from reportflow.operators.dvs import (aggregate_dvs, merge_duplicate_leaves, nest_dvs, rejected_rows, report_values_long,
                                       values_text)
 from reportflow.operators.paging import paged_extract
 from reportflow.plans import testdata as td
@@ -297,3 +297,16 @@ def paged_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = paged_extract(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 1000)
     return page.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipdate"))
+
+
+@query("duplicate_leaves", oracle=f"""
+SELECT report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo, value, mapping_idx
+FROM ({DUCK_EVENT_LEAVES})
+QUALIFY row_number() OVER (PARTITION BY report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo
+                           ORDER BY mapping_idx DESC, ts DESC, event_id DESC, value DESC) = 1
+""")
+def duplicate_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 option: repeated (element, combo) in a set merged to the last by mapping and row order."""
+    long = report_values_long(events_rows(spark, sf_dir), td.EVENTS_REPORT, order_by=td.EVENTS_ORDER)
+    return merge_duplicate_leaves(long, "last").select(
+        "report_id", "dataSet", "period", "orgUnit", "dataElement", "categoryOptionCombo", "value", "mapping_idx")

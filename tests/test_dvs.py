@@ -146,3 +146,14 @@ def test_sets_carry_first_appearance(spark):
                                 order_by=["id"]), None)
     order = [r["orgUnit"] for r in sets.orderBy("first_row").collect()]
     assert order == ["A", "B"]
+
+
+def test_duplicate_leaves_keep_last_sum(spark):
+    from reportflow.operators.dvs import merge_duplicate_leaves
+    df = spark.createDataFrame([(1, "DS", "p", "A", "2"), (2, "DS", "p", "A", "5"), (3, "DS", "p", "B", "1")],
+                               "id int, data_set string, period string, ou string, val string")
+    long = values_long(df, GroupBySpec("data_set", "period", "ou"), [DataValueMapping("E", "val")], order_by=["id"])
+    assert merge_duplicate_leaves(long, "keep").count() == 3
+    last = {r["orgUnit"]: r["value"] for r in merge_duplicate_leaves(long, "last").collect()}
+    summed = {r["orgUnit"]: r["value"] for r in merge_duplicate_leaves(long, "sum").collect()}
+    assert last == {"A": "5", "B": "1"} and summed == {"A": "7", "B": "1"}
