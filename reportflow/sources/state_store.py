@@ -5,7 +5,7 @@ Writes go through Spark; folder listing uses the Hadoop FileSystem API the
 session already has, so the same code works on HDFS, object stores and local
 disks.
 
-* ``run_events`` is append-only (one folder per run), the source of truth for
+* ``run_events`` is append-only (partitioned by event day), the source of truth for
   the sync state (T16: no read-modify-write of a shared file).
 * State snapshots are written to a new version folder; readers take the newest
   version that finished (has ``_SUCCESS``). A missing store reads as empty; a
