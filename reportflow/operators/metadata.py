@@ -61,8 +61,8 @@ def add_members(existing: Column, new: Column) -> Column:
     """
     empty = F.array().cast("array<struct<id:string>>")
     ex = F.coalesce(existing, empty)
-    return F.concat(ex, F.filter(F.array_distinct(F.coalesce(new, empty)),
-                                 lambda x: ~F.array_contains(ex, x)))
+    # array_except keeps the first array's order and drops repeats: no lambda, codegen'd.
+    return F.concat(ex, F.array_except(F.coalesce(new, empty), ex))
 
 
 def add_members_long(existing: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
