@@ -171,10 +171,15 @@ def _chunk_column(long: DataFrame, key: list[str], max_values: int) -> DataFrame
     cond = [long[k].eqNullSafe(side["_h_" + k]) for k in key]
     buckets = F.ceil(F.col("_n") / F.lit(max_values))
     leaf_hash = F.xxhash64(*[F.col(c) for c in long.columns if c not in key])
-    return (long.join(side, cond, "left")
-            .withColumn("chunk", F.when(F.col("_n").isNull(), F.lit(0))
-                        .otherwise(F.pmod(leaf_hash, buckets).cast("int")))
-            .drop("_n", *["_h_" + k for k in key]))
+    out = (long.join(side, cond, "left")
+           .withColumn("chunk", F.when(F.col("_n").isNull(), F.lit(0))
+                       .otherwise(F.pmod(leaf_hash, buckets).cast("int")))
+           .drop("_n", *["_h_" + k for k in key]))
+    if n_hot > MAX_BROADCAST_HOT_SETS:
+        # The shuffle join left rows hashed by set key alone, which the grouping would
+        # reuse; spread each hot set's chunks over tasks instead.
+        out = out.repartition(*key, "chunk")
+    return out
 
 
 def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET,
