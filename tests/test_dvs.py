@@ -157,3 +157,15 @@ def test_duplicate_leaves_keep_last_sum(spark):
     last = {r["orgUnit"]: r["value"] for r in merge_duplicate_leaves(long, "last").collect()}
     summed = {r["orgUnit"]: r["value"] for r in merge_duplicate_leaves(long, "sum").collect()}
     assert last == {"A": "5", "B": "1"} and summed == {"A": "7", "B": "1"}
+
+
+def test_hot_sets_beyond_broadcast_bound_use_shuffle_join(spark, monkeypatch):
+    import reportflow.operators.dvs as d
+    monkeypatch.setattr(d, "MAX_BROADCAST_HOT_SETS", 0)
+    df = spark.range(3000).select(F.lit("DS").alias("data_set"), F.lit("p").alias("period"),
+                                  F.when(F.col("id") < 2500, F.lit("HOT"))
+                                  .otherwise(F.concat(F.lit("O"), F.col("id") % 5)).alias("ou"),
+                                  F.col("id").cast("string").alias("val"))
+    sets = d.nest_dvs(values_long(df, GB, [DataValueMapping("E", "val")]), 400) \
+        .select(F.size("dataValues").alias("n")).collect()
+    assert sum(r["n"] for r in sets) == 3000 and max(r["n"] for r in sets) < 600
