@@ -182,3 +182,20 @@ def failure_events(letters: DataFrame) -> DataFrame:
     ts = F.col("failed_at")
     return letters.select(*run_event(F.col("report_id"), F.unix_micros(ts.cast("timestamp")), ts, "FAILED",
                                      error=F.col("error_message")))
+
+
+def verify_total(values: DataFrame, data_set: str, org_units: Sequence[str] | None = None,
+                 periods: Sequence[str] | None = None) -> DataFrame:
+    """The delivery check over stored values (A7): how many values a data set holds for the
+    asked org units and periods, and a sample (the first by key order)."""
+    v = values.filter(F.col("dataSet") == data_set)
+    if org_units:
+        v = v.filter(F.col("orgUnit").isin(list(org_units)))
+    if periods:
+        v = v.filter(F.col("period").isin(list(periods)))
+    first = F.min(F.struct("orgUnit", "period", "dataElement", "categoryOptionCombo", "value"))
+    return v.agg(F.count(F.lit(1)).alias("total_values"), first.alias("_s")).select(
+        "total_values",
+        F.when(F.col("_s").isNotNull(), F.to_json(F.struct(F.col("_s.dataElement").alias("dataElement"), F.col("_s.period").alias("period"),
+                           F.col("_s.orgUnit").alias("orgUnit"), F.col("_s.value").alias("value"),
+                           F.col("_s.categoryOptionCombo").alias("categoryOptionCombo")))).alias("sample"))

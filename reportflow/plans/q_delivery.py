@@ -234,3 +234,25 @@ FROM ({DUCK_ROLLUP}) GROUP BY period
 def verify_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered values and sets per period."""
     return dl.verify_counts(rollup_sets(spark, sf_dir), "period")
+
+
+CHECK_UNITS = ["NATION_3", "NATION_7"]
+CHECK_PERIODS = ["199601", "199602", "199603"]
+
+
+@query("verify_total", oracle=f"""
+WITH v AS (
+  SELECT org_unit AS orgUnit, period, 'ElReturned' AS dataElement, 'CocLine' AS coc, CAST(performed AS VARCHAR) AS value
+  FROM ({DUCK_ROLLUP})
+  UNION ALL
+  SELECT org_unit, period, 'ElReturnedLarge', 'CocLine', CAST(positive AS VARCHAR) FROM ({DUCK_ROLLUP})),
+f AS (SELECT * FROM v WHERE orgUnit IN ('NATION_3', 'NATION_7') AND period IN ('199601', '199602', '199603'))
+SELECT (SELECT COUNT(*) FROM f) AS total_values,
+       (SELECT '{{"dataElement":"' || dataElement || '","period":"' || period || '","orgUnit":"' || orgUnit
+               || '","value":"' || value || '","categoryOptionCombo":"' || coc || '"}}'
+        FROM f ORDER BY orgUnit, period, dataElement, coc, value LIMIT 1) AS sample
+""")
+def verify_total_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total stored values for asked org units and periods, plus a sample value."""
+    long = report_values_long(rollup_rows(spark, sf_dir), td.ROLLUP_REPORT)
+    return dl.verify_total(long, "DsLineReturns", CHECK_UNITS, CHECK_PERIODS)
