@@ -129,7 +129,7 @@ def values_long_default(rows: DataFrame, order_by: Sequence[str] | None = None,
                     & F.col("value").isNotNull()))
 
 
-def rejected_rows(rows: DataFrame, group_by: GroupBySpec | None, report_id: str | None = None,
+def rejected_rows(rows: DataFrame, group_by: GroupBySpec | None, report_id: str | Column | None = None,
                   null_key: str = "reject") -> DataFrame:
     """Rows dropped before grouping, with the reason and the row as JSON."""
     body = F.to_json(F.struct(*[qcol(c) for c in rows.columns]))

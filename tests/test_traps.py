@@ -37,3 +37,24 @@ def test_blank_sql_report_never_marked_in_progress(spark, tmp_out):
     assert ids["user-events"]["sync_status"] == "SUCCESS" and ids["user-events"]["records_synced"] > 0
     assert read_run_events(spark, tmp_out).filter("report_id = 'blank'").count() == 0
     assert read_state(spark, tmp_out).count() == 1
+
+
+def test_report_group_equals_single_reports(spark, tmp_out):
+    """Many facility reports in one scan give each report what its own run would give."""
+    from reportflow.operators.dvs import report_values_long
+    from reportflow.plans.pipeline import run_report_group
+    from reportflow.sources.state_store import read_values
+    td.sources(spark, SF)
+    names = [r["n_name"] for r in spark.sql("SELECT n_name FROM nation").collect()]   # 25 config rows
+    template = Report(id="tpl", name="returns", sql=td.SHARED_ROLLUP_SQL, groupBy=td.ROLLUP_REPORT.groupBy,
+                      dataValueMappings=td.ROLLUP_REPORT.dataValueMappings)
+    start = datetime(1990, 1, 1, tzinfo=timezone.utc)
+    state = run_report_group(spark, template, [(n, f"rpt-{n}") for n in names], tmp_out,
+                             datetime(2002, 1, 1, tzinfo=timezone.utc), default_start=start)
+    got = {(r["report_id"], r["period"], r["dataElement"], r["value"]) for r in read_values(spark, tmp_out).collect()}
+    rows = run_report_sql(spark, td.ROLLUP_SQL, report_params(start))
+    want = {("rpt-" + r["orgUnit"], r["period"], r["dataElement"], r["value"])
+            for r in report_values_long(rows, td.ROLLUP_REPORT).collect()}
+    assert got == want and len(got) > 0
+    st = state.collect()
+    assert len(st) == len(names) and all(r["sync_status"] == "SUCCESS" for r in st)
