@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from reportflow.operators.dvs import report_values_long
 from reportflow.plans import testdata as td
