@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import langid
+from reportflow.llm import langid, near_dup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +25,9 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents that are not held out."""
     return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document on two-word shingles."""
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
