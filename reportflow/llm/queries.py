@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import langid, near_dup
+from reportflow.llm import langid, near_dup, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document on two-word shingles."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+@_query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: pattern spans and those that the field adds."""
+    return pii.detect(_table(spark, sf_dir, "documents"))
