@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import langid, near_dup, pii
+from reportflow.llm import langid, mixing, near_dup, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: pattern spans and those that the field adds."""
     return pii.detect(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
