@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import langid, mixing, near_dup, pii
+from reportflow.llm import langid, mixing, near_dup, pii, sentencepiece_fst
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,9 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and whether decoding them gives the normalised text back."""
+    return sentencepiece_fst.tokenised(_table(spark, sf_dir, "documents"))
