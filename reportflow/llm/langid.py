@@ -229,3 +229,22 @@ def identify(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> Dat
     """doc_id, held_out, lang_pred and score of every row."""
     model = fit(docs, max_docs_per_lang)
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def in_known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows whose text is in a learned language, as they are; rows without text or without a letter go."""
+    if not model.families:
+        return docs.limit(0)
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            strings = as_strings(batch.column("text"))
+            data, offsets = bytes_and_offsets(strings)
+            keep = []
+            for k in range(len(strings)):
+                part = data[offsets[k]:offsets[k + 1]]
+                keep.append(has_letter(part, lambda k=k: strings[k].as_py()) and model.predict(features(part))[0] != UNKNOWN)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(names)
+
+    return docs.mapInArrow(run, docs.schema)

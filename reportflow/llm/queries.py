@@ -49,3 +49,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, and whether decoding them gives the normalised text back."""
     return sentencepiece_fst.tokenised(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

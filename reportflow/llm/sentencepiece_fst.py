@@ -262,10 +262,10 @@ def decode(rows: DataFrame, model_path: str = DEFAULT_MODEL, column: str = "ids"
     return kept.mapInArrow(run, kept.withColumn(into, F.lit(None).cast("string")).schema)
 
 
-def tokenised(docs: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
-    """doc_id, n_pieces, ids and round_trip: whether decoding gives the normalised text back."""
-    rows = encode(docs.select("doc_id", "text"), model_path)
+def tokenised(docs: DataFrame, model_path: str = DEFAULT_MODEL, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep``, n_pieces, ids and round_trip: whether decoding gives the normalised text back."""
+    rows = encode(docs.select("doc_id", "text", *keep), model_path)
     back = decode(rows, model_path)
     same = F.col("decoded") == F.replace(F.col("text"), F.lit(MARK), F.lit(" "))
-    return back.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "ids",
+    return back.select("doc_id", *keep, F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "ids",
                        same.alias("round_trip"))
