@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import langid, mixing, near_dup, pii, secrets, sentencepiece_fst
+from reportflow.llm import fingerprints, langid, mixing, near_dup, pii, secrets, sentencepiece_fst
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: pattern spans and windows of high entropy."""
     return secrets.detect(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, compared."""
+    return fingerprints.compared(_table(spark, sf_dir, "documents"))
