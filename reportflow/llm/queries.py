@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import fingerprints, langid, mixing, near_dup, pii, secrets, sentencepiece_fst
+from reportflow.llm import fingerprints, langid, mixing, near_dup, pii, secrets, sentencepiece_fst, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,28 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, compared."""
     return fingerprints.compared(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every query vector by integer inner product."""
+    return topk.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op3_exact_topk"] = """
+WITH vecs AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM vecs q JOIN vecs c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
