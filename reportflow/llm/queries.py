@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import fingerprints, langid, mixing, near_dup, pii, secrets, sentencepiece_fst, topk
+from reportflow.llm import fingerprints, langid, mixing, near_dup, pii, secrets, sentencepiece_fst, token_counts, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,9 @@ WITH vecs AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@_query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens, tokens and forward score of every document."""
+    return token_counts.counted(_table(spark, sf_dir, "documents"))
