@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import fingerprints, langid, mixing, near_dup, pii, secrets, sentencepiece_fst, token_counts, topk
+from reportflow.llm import fingerprints, langid, lm_mixing, mixing, near_dup, pii, secrets, sentencepiece_fst, token_counts, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pre-tokens, tokens and forward score of every document."""
     return token_counts.counted(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under word counts and under the context-mixing model."""
+    return lm_mixing.scored(_table(spark, sf_dir, "documents"))
