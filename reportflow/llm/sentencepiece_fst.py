@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import ahocorasick
@@ -37,7 +39,7 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 STORE_PARTS = 300_000
 STORE_CHARS = 64
-STORE_JOINS = 2_000_000
+STORE_JOINS = 1_000_000
 _INFINITE = float("inf")
 
 
@@ -106,6 +108,7 @@ class Transducer:
         single = f"[{alone}]|" if alone else ""
         self.parts = re.compile(".+" if after_mark else f"{single}{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+", re.S)
         self.store: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self._joins: dict[int, bool] = {}
         self.bpe = m.type == BPE
         self.sizes = [len(p) for p in m.pieces]
@@ -189,11 +192,12 @@ class Transducer:
         return out[::-1]
 
     def packed(self, part: str) -> bytes:
-        """The part's ids as 32-bit integers, kept for short parts."""
-        found = np.array(self.path(part), np.int32).tobytes()
+        """The part's ids as 32-bit integers. Short parts are kept: the newer and the older half of the store, and what
+        is used again moves to the newer one."""
+        found = self.store.get(part) or self.older.get(part) or array("i", self.path(part)).tobytes()
         if len(part) <= STORE_CHARS:
             if len(self.store) >= STORE_PARTS:
-                self.store.clear()
+                self.older, self.store = self.store, {}
             self.store[part] = found
         return found
 
@@ -205,7 +209,7 @@ class Transducer:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_packed(text), np.int32).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """Inverse transduction: the pieces' text, bytes joined to characters, the leading mark dropped."""
         table = self.text_of
         out = b"".join([table[k] for k in ids])
@@ -224,6 +228,14 @@ def _content(path: str) -> bytes:
         return f.read()
 
 
+def _id_lists(texts: list[str | None], packed: list[bytes]) -> pa.Array:
+    """Lists of ids; null where the text is null."""
+    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
+    missing = np.array([*(t is None for t in texts), False])
+    return pa.ListArray.from_arrays(pa.array(offsets, mask=missing if missing.any() else None),
+                                    pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32()))
+
+
 def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, column: str = "text", into: str = "ids") -> DataFrame:
     """All columns and the ids of the text column. The model file (under 1 MB) is read by the driver and sent along."""
     content = _content(model_path)
@@ -232,14 +244,9 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, column: str = "text
     def run(batches):
         machine = transducer(content)
         for batch in batches:
-            texts = batch.column(column)
-            packed = [None if t is None else machine.encode_packed(t) for t in texts.to_pylist()]
-            sizes = np.array([0 if p is None else len(p) // 4 for p in packed])
-            values = np.frombuffer(b"".join([p for p in packed if p]), np.int32)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
-                               mask=np.array([*(p is None for p in packed), False]) if None in packed else None)
-            ids = pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids], [*names, into])
+            texts = batch.column(column).to_pylist()
+            packed = [b"" if t is None else machine.encode_packed(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _id_lists(texts, packed)], [*names, into])
 
     rows = docs.select(*names)
     return rows.mapInArrow(run, rows.withColumn(into, F.lit(None).cast("array<int>")).schema)
@@ -263,9 +270,26 @@ def decode(rows: DataFrame, model_path: str = DEFAULT_MODEL, column: str = "ids"
 
 
 def tokenised(docs: DataFrame, model_path: str = DEFAULT_MODEL, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, n_pieces, ids and round_trip: whether decoding gives the normalised text back."""
-    rows = encode(docs.select("doc_id", "text", *keep), model_path)
-    back = decode(rows, model_path)
-    same = F.col("decoded") == F.replace(F.col("text"), F.lit(MARK), F.lit(" "))
-    return back.select("doc_id", *keep, F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "ids",
-                       same.alias("round_trip"))
+    """doc_id, the columns ``keep``, n_pieces, ids and round_trip: whether decoding gives the normalised text back.
+
+    Encoding and decoding run in one pass over the rows, so the ids don't leave the task in between.
+    """
+    content = _content(model_path)
+    names = ["doc_id", *keep]
+    rows = docs.select(*names, "text")
+
+    def run(batches):
+        machine = transducer(content)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            packed = [b"" if t is None else machine.encode_packed(t) for t in texts]
+            same = [None if t is None else machine.decode(array("i", p)) == t.replace(MARK, " ")
+                    for t, p in zip(texts, packed, strict=True)]
+            sizes = np.array([len(p) // 4 for p in packed], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in names), pa.array(sizes), _id_lists(texts, packed), pa.array(same, pa.bool_())],
+                [*names, "n_pieces", "ids", "round_trip"])
+
+    schema = (rows.drop("text").withColumn("n_pieces", F.lit(None).cast("long"))
+              .withColumn("ids", F.lit(None).cast("array<int>")).withColumn("round_trip", F.lit(None).cast("boolean")).schema)
+    return rows.mapInArrow(run, schema)
