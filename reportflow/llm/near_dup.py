@@ -8,12 +8,12 @@
 3. Each band of ``rows`` bins gives a bucket key. A bucket of m classes gives m - 1 candidate edges, a star around one
    class, never m^2 pairs. Each candidate that the sizes allow is confirmed on the full sets.
 4. Connected components of the confirmed links by alternating large and small stars. Buckets that still hold classes of
-   several components get new stars around other centres, until a round adds no link: so a pair whose first centre
-   was unlike one of the two is still compared.
+   several components get stars around ``STARS`` other centres, until a round adds no link: so a pair whose first
+   centre was unlike one of the two is still compared.
 
 No bucket has a cap. A pair at the threshold 0.8 shares no bucket with a probability of (1 - 0.8^5)^36, under 1e-6.
 
-Defined results: null text, empty text and text without words have the empty set, size 0, and link with nothing; fewer
+doc_id identifies a document. Defined results: null text, empty text and text without words have the empty set, size 0, and link with nothing; fewer
 words than a shingle form one shingle; repeated rows fall in one class; a null doc_id takes part in no link and is kept;
 an empty table gives no rows. Only doc_id and text are read, so further columns can't clash.
 """
@@ -33,7 +33,12 @@ THRESHOLD_PCT = 80
 BANDS = 36
 ROWS = 5
 MEMBERS_PER_CHUNK = 256
+STARS = 3
+#: Tables of ids and links of up to this many rows are broadcast; larger ones are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 PROBES = 64
+ROWS_PER_TASK = 250_000
+SETS_PER_TASK = 2000
 
 
 class Signature:
@@ -89,20 +94,45 @@ def signatures(docs: DataFrame, shingle_words: int, bands: int, rows: int) -> Da
         run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
-def confirmed(candidates: DataFrame, docs: DataFrame, shingle_words: int, threshold_pct: int) -> DataFrame:
-    """The candidate edges (center, member) whose full shingle sets reach the threshold.
+def _sized(df: DataFrame, rows_per_task: int) -> tuple[DataFrame, int]:
+    """The table, written to the checkpoint folder, in the partitions that its rows need, and its number of rows.
 
-    Members of a centre are dealt out in chunks, so a centre with very many members is spread; each chunk gets the
-    centre's text once, and a task holds one centre's set at a time.
+    The rounds below work on small leftovers of a large table: many nearly empty tasks would cost more than the work.
     """
-    sizes = candidates.groupBy("center").agg(F.count("*").alias("members"))
-    chunks = F.ceil(F.col("members") / MEMBERS_PER_CHUNK).cast("long")
-    dealt = candidates.join(sizes, "center").select(
-        "center", "member", F.pmod(F.xxhash64("member"), chunks).alias("chunk"))
-    loads = dealt.select("center", "chunk", F.col("member").alias("doc_id"), F.lit(1).alias("role")).unionByName(
-        dealt.select("center", "chunk", F.col("center").alias("doc_id"), F.lit(0).alias("role")).distinct())
+    kept = df.checkpoint()
+    n = kept.count()
+    return kept.coalesce(max(1, -(-n // rows_per_task))), n
+
+
+def _small(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_IDS else df
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
+    """doc_id and the whole shingle set (sorted 64-bit hashes) of the documents whose doc_id is in ``wanted``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = (loads.join(texts, "doc_id")
+    wanted, n = _sized(wanted, ROWS_PER_TASK)
+
+    def run(batches):
+        for batch in batches:
+            sets = [s.tobytes() for s in shingle_sets(as_strings(batch.column("text")), shingle_words)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary_column(sets)], ["doc_id", "words"])
+
+    return texts.join(_small(wanted, n), "doc_id", "left_semi").mapInArrow(run, "doc_id long, words binary")
+
+
+def confirmed(candidates: DataFrame, n: int, sets: DataFrame, threshold_pct: int) -> DataFrame:
+    """The ``n`` candidate edges (center, member) whose full shingle sets reach the threshold.
+
+    Members of a centre are dealt out in chunks, so a centre with very many members is spread; each chunk gets the
+    centre's set once, and a task holds one centre's set at a time.
+    """
+    members = candidates.groupBy("center").agg(F.ceil(F.count("*") / MEMBERS_PER_CHUNK).cast("long").alias("chunks"))
+    loads = (candidates.join(_small(members, n), "center")
+             .select("center", F.pmod(F.xxhash64("member"), "chunks").alias("chunk"), F.col("member").alias("doc_id"), F.lit(1).alias("role"))
+             .unionByName(members.select("center", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
+                                         F.col("center").alias("doc_id"), F.lit(0).alias("role"))))
+    rows = (sets.join(_small(loads, n), "doc_id")
             .repartition(F.col("center"), F.col("chunk"))
             .sortWithinPartitions("center", "chunk", "role", "doc_id"))
 
@@ -110,39 +140,39 @@ def confirmed(candidates: DataFrame, docs: DataFrame, shingle_words: int, thresh
         center, known = None, None
         for batch in batches:
             out: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("center", "doc_id", "role")]
-            sets = shingle_sets(as_strings(batch.column("text")), shingle_words)
-            for own, doc, role, s in zip(*columns, sets, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("center", "doc_id", "role", "words")]
+            for own, doc, role, words in zip(*columns, strict=True):
+                s = np.frombuffer(words, np.uint64)
                 if role == 0:
                     center, known = own, s
-                elif own == center and len(s) and len(known):
+                elif own == center:
                     both = len(np.intersect1d(s, known, assume_unique=True))
                     if 100 * both >= threshold_pct * (len(s) + len(known) - both):
                         out.append((own, doc))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return rows.select("center", "doc_id", "role", "text").mapInArrow(run, "a long, b long")
+    return rows.select("center", "doc_id", "role", "words").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, component (its smallest node) of every node of the undirected edges (a, b), by alternating stars."""
-    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
+def components(edges: DataFrame, n: int) -> DataFrame:
+    """node, component (its smallest node) of every node of the ``n`` undirected edges (a, b), by alternating stars."""
+    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
     before = None
     while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(max(1, -(-2 * n // ROWS_PER_TASK)))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(_small(least, n), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        now = (large.join(least, "u")
-               .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
-                                         F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-               .select("e.*").where("u != v").distinct().checkpoint())
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == before:
+        now, n = _sized(large.join(_small(least, n), "u")
+                        .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
+                                                  F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+                        .select("e.*").where("u != v").distinct(), ROWS_PER_TASK)
+        state = n, now.agg(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()[0]
+        if state == before:
             break
-        before = tuple(state)
+        before = state
     return (now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())
+            .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, threshold_pct: int = THRESHOLD_PCT,
@@ -155,43 +185,46 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
     buckets = classes.select("rep", "n", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low")).where("m > 1")
     # Only buckets of several classes go on: one row for each class and bucket.
-    buckets = buckets.join(shared.select("key"), "key").checkpoint()
+    buckets, _ = _sized(buckets.join(shared.select("key"), "key"), ROWS_PER_TASK)
+    # The sets of the documents in them are made once, not in every round.
+    sets, _ = _sized(full_sets(docs, buckets.select(F.col("rep").alias("doc_id")).distinct(), shingle_words), SETS_PER_TASK)
 
     def sizes_allow(a: str, b: str) -> F.Column:
         return 100 * F.least(a, b) >= threshold_pct * F.greatest(a, b)
 
-    tested = links = found = None
+    tested, n_tested, found, n_found = None, 0, None, 0
     round_no = 0
     while True:
         if found is None:
             own = buckets.withColumn("component", F.col("rep"))
-            draw = F.col("rep")
         else:
-            own = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+            own = buckets.join(_small(found.withColumnRenamed("node", "rep"), n_found), "rep", "left").withColumn(
                 "component", F.coalesce("component", "rep"))
-            draw = F.xxhash64("rep", F.lit(round_no))
-        centers = (own.groupBy("key").agg(F.min(F.struct(draw.alias("draw"), "rep", "n", "component")).alias("c"),
-                                          F.min("component").alias("low"), F.max("component").alias("high"))
-                   .where("low < high").select("key", F.col("c.rep").alias("center"), F.col("c.n").alias("center_n"),
-                                               F.col("c.component").alias("center_component")))
-        candidates = (own.join(centers, "key")
-                      .where((F.col("component") != F.col("center_component")) & sizes_allow("n", "center_n"))
-                      .select("center", F.col("rep").alias("member")).distinct())
+        # First a star around the smallest class, then some around drawn ones: m - 1 edges each.
+        draws = [F.xxhash64("rep", F.lit(round_no * STARS + k)) for k in range(STARS)] if round_no else [F.col("rep")]
+        stars = [F.struct(f"c{k}.rep", f"c{k}.n", f"c{k}.component") for k in range(len(draws))]
+        centers = (own.groupBy("key")
+                   .agg(*[F.min(F.struct(d.alias("draw"), "rep", "n", "component")).alias(f"c{k}") for k, d in enumerate(draws)],
+                        F.min("component").alias("low"), F.max("component").alias("high"))
+                   .where("low < high").select("key", F.array_distinct(F.array(*stars)).alias("centers")))
+        candidates = (own.join(centers, "key").select("rep", "n", "component", F.explode("centers").alias("c"))
+                      .where((F.col("component") != F.col("c.component")) & sizes_allow("n", "c.n"))
+                      .select(F.least("rep", "c.rep").alias("center"), F.greatest("rep", "c.rep").alias("member")).distinct())
         if tested is not None:
-            candidates = candidates.join(tested, ["center", "member"], "left_anti")
-        candidates = candidates.checkpoint()
-        fresh = confirmed(candidates, docs, threshold_pct=threshold_pct, shingle_words=shingle_words).checkpoint()
-        if fresh.isEmpty():
+            candidates = candidates.join(_small(tested, n_tested), ["center", "member"], "left_anti")
+        candidates, n = _sized(candidates, ROWS_PER_TASK)
+        fresh, n_fresh = _sized(confirmed(candidates, n, sets, threshold_pct), ROWS_PER_TASK)
+        if not n_fresh:
             break
-        pairs = candidates.unionByName(candidates.select(F.col("member").alias("center"), F.col("center").alias("member")))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = fresh if links is None else links.unionByName(fresh)
-        found = components(links).checkpoint()
+        tested, n_tested = (candidates if tested is None else tested.unionByName(candidates)), n_tested + n
+        # What is known of the components goes on as their stars.
+        known = fresh if found is None else fresh.unionByName(found.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        found, n_found = _sized(components(known, n_fresh + n_found), ROWS_PER_TASK)
         round_no += 1
 
     reps = classes.select("set_key", "rep")
     if found is not None:
-        reps = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        reps = reps.join(_small(found.withColumnRenamed("node", "rep"), n_found), "rep", "left").select(
             "set_key", F.coalesce("component", "rep").alias("class_id"))
     else:
         reps = reps.withColumnRenamed("rep", "class_id")
@@ -199,3 +232,23 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
     return signed.select("doc_id", "n_shingles", "set_key").join(reps, "set_key", "left").select(
         "doc_id", "n_shingles", F.coalesce(linked, "doc_id").alias("component_id"),
         F.coalesce(linked == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
+    """The rows and columns of ``docs`` with one document of each near-duplicate class: the smallest doc_id.
+
+    Rows that repeat a kept doc_id leave one; rows with a null doc_id all stay.
+    """
+    found = near_duplicates(docs, shingle_words, threshold_pct).where("doc_id is not null").checkpoint()
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct().checkpoint()
+    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id").checkpoint()
+
+    def side(ids: DataFrame) -> DataFrame:
+        ids = ids.withColumnRenamed("doc_id", "__id")
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    own = docs["doc_id"].cast("long") == F.col("__id")
+    if repeated.isEmpty():
+        return docs.join(side(dropped), own, "left_anti")
+    once = docs.join(side(repeated), own, "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(side(dropped.unionByName(repeated)), own, "left_anti").unionByName(once)
