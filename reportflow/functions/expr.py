@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException, ParseException
@@ -52,9 +53,24 @@ def as_text(c: Column) -> Column:
     return c.cast("string")
 
 
-def period_of(ts: Column) -> Column:
-    """``TO_CHAR(ts, 'YYYYMM')``."""
-    return F.date_format(ts, PERIOD_FORMAT)
+# Date tokens of the source database's TO_CHAR and Spark's letters for them.
+TO_CHAR_TOKENS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DD": "dd", "HH24": "HH", "MI": "mm", "SS": "ss",
+                  "MS": "SSS", "Q": "q"}
+_TO_CHAR = re.compile(r"""
+    '(?:[^']|'')*' | "[^"]*" | --[^\n]* | /\*.*?\*/           # quoted text and comments stay
+    | \bTO_CHAR\s*\( (?P<value>(?:[^()']|\((?:[^()]|\([^()]*\))*\))+?) ,\s*'(?P<format>[^']*)'\s*\)
+    """, re.IGNORECASE | re.DOTALL | re.VERBOSE)
+_TO_CHAR_TOKEN = re.compile("|".join(sorted(TO_CHAR_TOKENS, key=len, reverse=True)), re.IGNORECASE)
+
+
+def translate_to_char(sql: str) -> str:
+    """``TO_CHAR(x, 'YYYYMM')`` of the reports' own database as ``date_format(x, 'yyyyMM')``."""
+    def one(m: re.Match) -> str:
+        if m["value"] is None:
+            return m[0]
+        fmt = _TO_CHAR_TOKEN.sub(lambda t: TO_CHAR_TOKENS[t[0].upper()], m["format"])
+        return f"date_format({m['value'].strip()}, '{fmt}')"
+    return _TO_CHAR.sub(one, sql)
 
 
 def resolve_column(columns: Sequence[str], key: str | None) -> str | None:
@@ -190,6 +206,37 @@ def boolean_filter(df: DataFrame, text: str | None) -> Column:
     return F.coalesce(e, F.lit(False))
 
 
+def filter_flag(i: int) -> str:
+    """Name of the column that says whether mapping ``i`` keeps a row."""
+    return f"_keep_{i}"
+
+
+@contextmanager
+def _null_on_error(spark: SparkSession) -> Iterator[None]:
+    """Expressions analysed inside give null for a bad cast or division instead of failing the job.
+
+    Spark settles this when an expression is analysed, so only the projections
+    made inside are affected; the session's setting is put back.
+    """
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def with_filter_flags(df: DataFrame, filters: Sequence[str | None]) -> DataFrame:
+    """The rows with one boolean column for each filter (F6), all in one projection.
+
+    A filter that fails on a row (a bad cast, a division by zero) is false for
+    that row only (T10).
+    """
+    src = with_row_struct(df) if any(needs_row_struct(f) for f in filters) else df
+    with _null_on_error(df.sparkSession):
+        return src.withColumns({filter_flag(i): boolean_filter(src, f) for i, f in enumerate(filters)})
+
+
 def variables_map(variables: Mapping[str, str] | None) -> Column:
     """``map<string,string>`` literal of the placeholder variables."""
     if not variables:
@@ -229,9 +276,9 @@ def resolve_placeholders(c: Column, variables: Mapping[str, str] | None,
         F.array_join(F.zip_with(parts, keys, piece), ""))
 
 
-_BIND_RE = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|:#([A-Za-z_][A-Za-z0-9_]*)")
+_BIND_RE = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|--[^\n]*|/\*.*?\*/|:#([A-Za-z_][A-Za-z0-9_]*)", re.DOTALL)
 
 
 def bind_style(sql: str) -> str:
-    """``:#name`` (route style) to ``:name`` (Spark named parameter), outside quotes."""
+    """``:#name`` (route style) to ``:name`` (Spark named parameter), outside quotes and comments."""
     return _BIND_RE.sub(lambda m: ":" + m.group(1) if m.group(1) else m.group(0), sql)

@@ -4,9 +4,11 @@ Long form first: every (result row, mapping) pair that yields a value becomes
 one leaf row ``(dataSet, period, orgUnit, dataElement, value,
 categoryOptionCombo, mapping_idx, ...)``. The unpivot is a single projection
 (``array(when(filter_i, leaf_i) ...)`` + ``explode``), so the result rows are
-read once and never joined with the mappings. Nesting into sets happens at the
-edge with one ``groupBy`` on the three keys; hot sets are split into chunks of
-bounded size before they are collected.
+read once and never joined with the mappings. Counts and checks read the long
+form. Nesting happens only at the edge, where one set is one document: its
+shape never depends on its size. A receiver that takes documents up to a size
+asks for parts by ``max_values_per_set`` (off by default): contiguous ranges
+of the set's leaf order.
 """
 
 from __future__ import annotations
@@ -14,12 +16,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportflow.functions.expr import (as_text, boolean_filter, coalesce_aliases, coc_expr,
-                                       column_or_const, jtrim, needs_row_struct, qcol,
-                                       resolve_column, with_row_struct)
+from reportflow.functions.expr import (as_text, coalesce_aliases, coc_expr, column_or_const, filter_flag, jtrim,
+                                       qcol, resolve_column, with_filter_flags)
 from reportflow.session import checkpoint_dir
 from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report
 
@@ -38,10 +39,8 @@ DEFAULT_ALIASES = {
     "categoryOptionCombo": ["categoryOptionCombo", "categoryoptioncombo", "category_option_combo"],
 }
 
-# Sets above this many values are delivered in several chunks with the same keys.
-DEFAULT_MAX_VALUES_PER_SET = 10_000
-# Upper bound on hot sets whose counts are broadcast to the chunking step.
-MAX_BROADCAST_HOT_SETS = 200_000
+# One document per set; a number splits larger sets into ordered parts with the same keys.
+DEFAULT_MAX_VALUES_PER_SET = None
 
 
 def _order_struct(df: DataFrame, order_by: Sequence[str] | None) -> Column | None:
@@ -74,13 +73,11 @@ def values_long(rows: DataFrame, group_by: GroupBySpec | None,
     """Mapped path (A3) in long form; falls back to the default path without a config."""
     if group_by is None or not mappings:
         return values_long_default(rows, order_by=order_by, report_id=report_id)
-    src = rows
-    if any(needs_row_struct(m.filter) for m in mappings):
-        src = with_row_struct(rows)
+    src = with_filter_flags(rows, [m.filter for m in mappings])
     order = _order_struct(rows, order_by)
     leaves = []
     for i, m in enumerate(mappings):
-        keep = boolean_filter(src, m.filter)
+        keep = F.col(filter_flag(i))
         vname = resolve_column(rows.columns, m.valueColumn)
         v = jtrim(as_text(qcol(vname))) if vname else F.lit(None).cast("string")
         leaf = F.struct(F.lit(i).alias("mapping_idx"), F.lit(m.dataElement).alias("dataElement"),
@@ -154,59 +151,46 @@ def report_values_long(rows: DataFrame, report: Report, order_by: Sequence[str]
                        report_id=report.id, **kw)
 
 
-def _chunk_column(long: DataFrame, key: list[str], max_values: int) -> DataFrame:
-    """Add ``chunk``: 0 for normal sets, a hash bucket for sets above ``max_values``.
+def _sort_fields(long: DataFrame) -> list[str]:
+    """Leaf order in a set (O3): mapping position, row order, then the leaf itself."""
+    return ["mapping_idx", *(["row_order"] if "row_order" in long.columns else []), *LEAF]
 
-    Only the hot sets' counts are shipped to the tasks, and only after their
-    number is checked; beyond the bound the counts are joined by shuffle.
-    """
-    counts = (long.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") > max_values))
-    n_hot = counts.count()
-    if n_hot == 0:
-        return long.withColumn("chunk", F.lit(0))
-    side = counts.select(*[F.col(k).alias("_h_" + k) for k in key], "_n")
-    side = F.broadcast(side) if n_hot <= MAX_BROADCAST_HOT_SETS else side
-    # Null-safe: a set key part may be null (e.g. no report id on the default path).
-    cond = [long[k].eqNullSafe(side["_h_" + k]) for k in key]
-    buckets = F.ceil(F.col("_n") / F.lit(max_values))
-    leaf_hash = F.xxhash64(*[F.col(c) for c in long.columns if c not in key])
-    out = (long.join(side, cond, "left")
-           .withColumn("chunk", F.when(F.col("_n").isNull(), F.lit(0))
-                       .otherwise(F.pmod(leaf_hash, buckets).cast("int")))
-           .drop("_n", *["_h_" + k for k in key]))
-    if n_hot > MAX_BROADCAST_HOT_SETS:
-        # The shuffle join left rows hashed by set key alone, which the grouping would
-        # reuse; spread each hot set's chunks over tasks instead.
-        out = out.repartition(*key, "chunk")
-    return out
 
+def with_chunks(long: DataFrame, key: list[str], max_values: int) -> DataFrame:
+    """Add ``chunk``: the leaf's position in its set, divided by ``max_values``.
 
-def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET,
-             materialize: bool = True) -> DataFrame:
+    Positions come from a range sort over all sets, so a set of any size is
+    spread over tasks and equal leaves are told apart by a row number; the
+    offsets of a set's parts are sums over the few parts it spans.
+    """
+    checkpoint_dir(long.sparkSession)
+    order = [*key, *_sort_fields(long), "_row"]
+    ranged = (long.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+              .repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()).checkpoint())
+    sizes = ranged.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias("_k_" + k) for k in key], F.col("_part").alias("_p"),
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = [ranged[k].eqNullSafe(offsets["_k_" + k]) for k in key]   # a key part may be null
+    position = F.row_number().over(Window.partitionBy("_part", *key).orderBy(*order)) - 1 + F.col("_before")
+    return (ranged.join(offsets, [ranged["_part"] == offsets["_p"], *same])
+            .withColumn("chunk", F.floor(position / F.lit(max_values)).cast("int"))
+            .drop("_row", "_part", "_p", "_before", *["_k_" + k for k in key]))
+
+
+def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
     """Nest leaves into sets ``(report_id, dataSet, period, orgUnit, chunk, dataValues)``.
 
     Leaves in a set are ordered by mapping position, then row order (or the
     leaf content when no row order is given), as the original emitted them
-    mapping by mapping. Sets without leaves do not exist (A5).
-
-    Chunking reads ``long`` twice (counts, then nesting). With ``materialize``
-    the long form is first checkpointed to the shared checkpoint folder, so the
-    report's query runs once and lineage is cut; pass ``False`` when ``long``
-    is already a scan of a written table.
+    mapping by mapping. Sets without leaves do not exist (A5). A set is one
+    document (``chunk`` 0) unless ``max_values_per_set`` asks for parts.
     """
     key = [c for c in ["report_id", *KEYS] if c in long.columns]
-    if max_values_per_set:
-        if materialize:
-            checkpoint_dir(long.sparkSession)
-            long = long.checkpoint(eager=True)
-        long = _chunk_column(long, key, max_values_per_set)
-    else:
-        long = long.withColumn("chunk", F.lit(0))
-    has_order = "row_order" in long.columns
-    sort_fields = ["mapping_idx"] + (["row_order"] if has_order else []) + LEAF
-    packed = F.struct(*[F.col(c) for c in sort_fields])
+    long = with_chunks(long, key, max_values_per_set) if max_values_per_set else long.withColumn("chunk", F.lit(0))
+    packed = F.struct(*[F.col(c) for c in _sort_fields(long)])
     aggs = [F.array_sort(F.collect_list(packed)).alias("_vals")]
+    has_order = "row_order" in long.columns
     if has_order:
         # O3: sets were emitted in order of first appearance; keep that as a sort key.
         aggs.append(F.min("row_order").alias("first_row"))
@@ -234,6 +218,21 @@ def values_text(values: Column) -> Column:
         F.coalesce(F.concat(F.lit("/"), x["categoryOptionCombo"]), F.lit("")))), ";")
 
 
+# Sums are exact to 10 decimal places and 28 digits before the point.
+SUM_TYPE = "decimal(38,10)"
+
+
+def is_number(value: Column) -> Column:
+    """Plain decimal text that a sum can hold exactly."""
+    return F.coalesce(value.rlike(r"^[+-]?[0-9]{1,18}(\.[0-9]{0,10})?$"), F.lit(False))
+
+
+def unsummed_leaves(long: DataFrame) -> DataFrame:
+    """Leaves that ``merge_duplicate_leaves(how="sum")`` cannot add, as rejects."""
+    return long.filter(~is_number(F.col("value"))).select(
+        "report_id", F.lit("value_not_a_number").alias("reason"), F.to_json(F.struct(*KEYS, *LEAF)).alias("body"))
+
+
 def merge_duplicate_leaves(long: DataFrame, how: str = "keep") -> DataFrame:
     """Leaves repeating (element, combo) within a set (T8): ``keep`` all (the original),
     ``last`` by mapping then row order, or ``sum`` their numeric values.
@@ -251,10 +250,11 @@ def merge_duplicate_leaves(long: DataFrame, how: str = "keep") -> DataFrame:
         return (long.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_r"))
                 .select(*key, *[F.col("_r")[c].alias(c) for c in rest]))
     if how == "sum":
-        num = F.col("value").try_cast("double")
-        return (long.groupBy(*key)
-                .agg(F.sum(num).alias("_s"), F.min("mapping_idx").alias("mapping_idx"),
+        # Exact decimals in plain text; what is not a plain number is kept apart by unsummed_leaves.
+        return (long.filter(is_number(F.col("value"))).groupBy(*key)
+                .agg(F.sum(F.col("value").cast(SUM_TYPE)).alias("_s"), F.min("mapping_idx").alias("mapping_idx"),
                      *([F.min("row_order").alias("row_order")] if "row_order" in long.columns else []))
-                .withColumn("value", F.regexp_replace(F.col("_s").cast("string"), r"\.0$", ""))
+                .withColumn("value", F.regexp_replace(F.regexp_replace(
+                    F.format_string("%s", F.col("_s").cast("string")), r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""))
                 .drop("_s"))
     raise ValueError(f"how must be 'keep', 'last' or 'sum', got {how!r}")

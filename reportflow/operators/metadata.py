@@ -39,18 +39,14 @@ def assign_all_members(members: DataFrame, user_ids: Sequence[str], id_col: str
                        lists: Sequence[str] = USER_ACCESS_LISTS) -> DataFrame:
     """Every member id on each access list of each named user (long form, replaces the lists).
 
-    The users are a short configured list, so each is a literal projection of
-    the member table; there is no pairing of two data tables.
+    The users are a short configured list, so the member table is read once and
+    each row opens into the users' lists; no two data tables are paired.
     """
-    out = None
-    for u in user_ids:
-        part = members.select(F.lit(u).alias("user_id"),
-                              F.explode(F.array(*[F.lit(x) for x in lists])).alias("list_name"),
-                              F.col(id_col).alias("member_id"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    if not user_ids:
         raise ValueError("no user ids given")
-    return out
+    places = F.array(*[F.struct(F.lit(u).alias("user_id"), F.lit(x).alias("list_name")) for u in user_ids for x in lists])
+    return members.select(F.col(id_col).alias("member_id"), F.explode(places).alias("_p")).select(
+        "_p.user_id", "_p.list_name", "member_id")
 
 
 def add_members(existing: Column, new: Column) -> Column:

@@ -19,7 +19,7 @@ def after_key(order_cols: Sequence[str], last: Sequence[Any]) -> Column:
     """Lexicographic ``(c1, c2, ...) > (v1, v2, ...)`` as a pushable predicate."""
     cond = None
     for i in reversed(range(len(order_cols))):
-        c, v = F.col(order_cols[i]), F.lit(last[i])
+        c, v = F.col(order_cols[i]), last[i] if isinstance(last[i], Column) else F.lit(last[i])
         step = c > v if cond is None else (c > v) | ((c == v) & cond)
         cond = step
     return cond

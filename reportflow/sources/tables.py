@@ -15,7 +15,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.functions.expr import PERIOD_FORMAT, bind_style
+from reportflow.functions.expr import PERIOD_FORMAT, bind_style, translate_to_char
 
 # The table names of the driver-generated test data.
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -32,14 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def register_sources(spark: SparkSession, sf_dir: str,
                      names: Iterable[str] = TEST_TABLES) -> dict[str, DataFrame]:
-    """Register every parquet table under ``sf_dir`` as a temp view; returns the frames."""
+    """Register the named parquet tables under ``sf_dir`` as temp views; a missing one raises."""
     out = {}
     for n in names:
-        path = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(path) or "://" in sf_dir:
-            df = spark.read.parquet(path)
-            df.createOrReplaceTempView(n)
-            out[n] = df
+        out[n] = spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet"))
+        out[n].createOrReplaceTempView(n)
     register_period_function(spark)
     return out
 
@@ -88,7 +85,7 @@ def run_report_sql(spark: SparkSession, sql: str, params: Mapping[str, Any] | No
     harmless (T4). A naive checkpoint is read as UTC (never the machine's
     zone); Spark folds it to a literal that is pushed into the scan.
     """
-    text = bind_style(sql)
+    text = translate_to_char(bind_style(sql))
     args = {}
     for k, v in (params or {}).items():
         if not re.search(r":" + re.escape(k) + r"\b", text):

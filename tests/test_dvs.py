@@ -13,24 +13,26 @@ from reportflow.sources.tables import report_params, run_report_sql
 
 A, B = "ImspTQPwCqd", "DiszpKrYNg8"
 
-# Shipped report SQL in Spark's dialect (date pattern yyyyMM; YYYYMM raises in Spark 4).
-FACILITY_SQL = """
-SELECT 'GqKaojXhPdg' AS data_set,
-       date_format(CAST(obs.obs_date AS TIMESTAMP), 'yyyyMM') AS period,
-       COUNT(*) AS tests_performed,
-       COUNT(CASE WHEN obs.val_quantity > 18.0 THEN 1 END) AS tests_positive
+# The shipped report's SQL as it is (facility A; facility B's differs in the org unit alone).
+FACILITY_SQL = """SELECT
+  'GqKaojXhPdg' AS data_set,
+  TO_CHAR(CAST(obs.obs_date AS TIMESTAMP), 'YYYYMM') AS period,
+  COUNT(*) AS tests_performed,
+  COUNT(CASE WHEN obs.val_quantity > 18.0 THEN 1 END) AS tests_positive
 FROM diagnostic_report_flat dr
 JOIN observation_flat obs ON dr.result_obs_id = obs.id
 JOIN patient_flat p ON dr.patient_id = p.id
-WHERE obs.obs_date > :#lastSyncTimestamp AND dr.code_code = '718-7' AND p.org_unit = '{ou}'
-GROUP BY date_format(CAST(obs.obs_date AS TIMESTAMP), 'yyyyMM')
+WHERE obs.obs_date > :#lastSyncTimestamp
+  AND dr.code_code = '718-7'
+  AND p.org_unit = 'ImspTQPwCqd'
+GROUP BY TO_CHAR(CAST(obs.obs_date AS TIMESTAMP), 'YYYYMM')
 ORDER BY period
 """
 
 
 def facility_report(ou):
     return Report(
-        id=f"hiv-{ou}", name="HIV", dataSet="GqKaojXhPdg", sql=FACILITY_SQL.format(ou=ou),
+        id=f"hiv-{ou}", name="HIV", dataSet="GqKaojXhPdg", sql=FACILITY_SQL.replace(A, ou),
         parameters={"startDate": "${HIV_REPORT_START_DATE:2024-01-01}"},
         groupBy=GroupBySpec("data_set", "period", ou),
         dataValueMappings=[
@@ -38,6 +40,7 @@ def facility_report(ou):
             DataValueMapping("o4RQy5hlIXa", "tests_positive", "HllvX50cXC0")])
 
 
+# The seed rows of the shipped fixture.
 def golden_tables(spark):
     ts = lambda s: datetime.fromisoformat(s)
     spark.createDataFrame([("p0", "M", A), ("p1", "F", B), ("p2", "M", B)],
@@ -124,19 +127,33 @@ def test_empty_result_gives_no_sets(spark):
     assert nest_dvs(values_long(df, GB, MAPS)).count() == 0
 
 
-def test_hot_set_is_chunked_and_keeps_every_leaf(spark):
-    n = 2500
-    df = spark.range(n).select(F.lit("DS").alias("data_set"), F.lit("202401").alias("period"),
-                               F.when(F.col("id") < 2400, F.lit("HOT")).otherwise(F.concat(F.lit("OU"), F.col("id") % 7))
-                               .alias("ou"), F.col("id").cast("string").alias("val"), F.col("id"))
-    long = values_long(df, GB, [DataValueMapping("E", "val")], order_by=["id"])
-    sets = nest_dvs(long, max_values_per_set=500).select("orgUnit", "chunk", F.size("dataValues").alias("n"))
-    rows = sets.collect()
-    hot = [r for r in rows if r["orgUnit"] == "HOT"]
-    assert len(hot) >= 5 and max(r["n"] for r in hot) < 800      # split into bounded chunks
-    assert sum(r["n"] for r in rows) == n                          # no leaf lost
-    small = [r for r in rows if r["orgUnit"] != "HOT"]
-    assert all(r["chunk"] == 0 for r in small) and len(small) == 7
+def hot_rows(spark, n=2500, hot=2400):
+    return spark.range(n).select(F.lit("DS").alias("data_set"), F.lit("202401").alias("period"),
+                                 F.when(F.col("id") < hot, F.lit("HOT")).otherwise(F.concat(F.lit("OU"), F.col("id") % 7))
+                                 .alias("ou"), (F.col("id") % 3).cast("string").alias("val"), F.col("id"))
+
+
+def test_a_set_is_one_document_whatever_its_size(spark):
+    long = values_long(hot_rows(spark, 25_000, 24_000), GB, [DataValueMapping("E", "val")], report_id="r")
+    sets = nest_dvs(long).select("orgUnit", "chunk", F.size("dataValues").alias("n")).collect()
+    assert len(sets) == 8 and {r["chunk"] for r in sets} == {0}
+    assert {r["orgUnit"]: r["n"] for r in sets}["HOT"] == 24_000
+    rows = hot_rows(spark, 25_000, 24_000).withColumn("report_id", F.lit("r"))
+    assert dl.run_counts(rows, long).first().asDict() == {
+        "report_id": "r", "result_rows": 25_000, "data_values": 25_000, "data_value_sets": 8, "records_synced": 8}
+
+
+def test_parts_on_request_are_exact_and_ordered(spark):
+    """Very many equal leaves: no part above the bound, all but the last full, order kept across parts."""
+    long = values_long(hot_rows(spark), GB, [DataValueMapping("E", "val")], order_by=["id"])
+    sets = nest_dvs(long, max_values_per_set=500)
+    sizes = {(r["orgUnit"], r["chunk"]): r["n"] for r in
+             sets.select("orgUnit", "chunk", F.size("dataValues").alias("n")).collect()}
+    assert [sizes["HOT", k] for k in range(5)] == [500, 500, 500, 500, 400] and sum(sizes.values()) == 2500
+    hot = sets.filter("orgUnit = 'HOT'").orderBy("chunk").select(values_text(F.col("dataValues"))).collect()
+    assert ";".join(r[0] for r in hot) == ";".join(f"E={i % 3}" for i in range(2400))
+    unordered = nest_dvs(values_long(hot_rows(spark), GB, [DataValueMapping("E", "val")]), 1000)
+    assert unordered.agg(F.max(F.size("dataValues"))).first()[0] == 1000
 
 
 def test_sets_carry_first_appearance(spark):
@@ -159,13 +176,31 @@ def test_duplicate_leaves_keep_last_sum(spark):
     assert last == {"A": "5", "B": "1"} and summed == {"A": "7", "B": "1"}
 
 
-def test_hot_sets_beyond_broadcast_bound_use_shuffle_join(spark, monkeypatch):
-    import reportflow.operators.dvs as d
-    monkeypatch.setattr(d, "MAX_BROADCAST_HOT_SETS", 0)
-    df = spark.range(3000).select(F.lit("DS").alias("data_set"), F.lit("p").alias("period"),
-                                  F.when(F.col("id") < 2500, F.lit("HOT"))
-                                  .otherwise(F.concat(F.lit("O"), F.col("id") % 5)).alias("ou"),
-                                  F.col("id").cast("string").alias("val"))
-    sets = d.nest_dvs(values_long(df, GB, [DataValueMapping("E", "val")]), 400) \
-        .select(F.size("dataValues").alias("n")).collect()
-    assert sum(r["n"] for r in sets) == 3000 and max(r["n"] for r in sets) < 600
+def test_sum_is_exact_and_keeps_other_values_apart(spark):
+    from reportflow.operators.dvs import merge_duplicate_leaves, unsummed_leaves
+    df = spark.createDataFrame([("DS", "p", "A", "6000000"), ("DS", "p", "A", "5000000"), ("DS", "p", "B", "9007199254740993"),
+                                ("DS", "p", "C", "0.10"), ("DS", "p", "C", "0.2"), ("DS", "p", "C", "n/a")],
+                               "data_set string, period string, ou string, val string")
+    long = values_long(df, GB, [DataValueMapping("E", "val")], report_id="r")
+    got = {r["orgUnit"]: r["value"] for r in merge_duplicate_leaves(long, "sum").collect()}
+    assert got == {"A": "11000000", "B": "9007199254740993", "C": "0.3"}
+    rej = unsummed_leaves(long).collect()
+    assert [r["reason"] for r in rej] == ["value_not_a_number"] and json.loads(rej[0]["body"])["value"] == "n/a"
+
+
+def test_failing_filter_is_false_for_its_row_only(spark):
+    df = spark.createDataFrame([("DS", "p", "A", "7"), ("DS", "p", "A", "x"), ("DS", "p", "A", "0")],
+                               "data_set string, period string, ou string, val string")
+    maps = [DataValueMapping("E", "val", filter="CAST(val AS INT) > 5"), DataValueMapping("D", "val", filter="10 / CAST(val AS INT) < 2")]
+    got = sorted((r["dataElement"], r["value"]) for r in values_long(df, GB, maps).collect())
+    assert got == [("D", "7"), ("E", "7")]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_to_char_is_translated_outside_quotes_and_comments():
+    from reportflow.functions.expr import translate_to_char
+    sql = """SELECT to_char(f(a, (b)), 'YYYY-MM-DD HH24:MI:SS') x, 'TO_CHAR(a, ''YYYY'')' y -- it's TO_CHAR(c, 'YYYY')
+/* TO_CHAR(d, 'MM') */ , "TO_CHAR(e, 'MM')" """
+    out = translate_to_char(sql)
+    assert "date_format(f(a, (b)), 'yyyy-MM-dd HH:mm:ss') x" in out
+    assert "'TO_CHAR(a, ''YYYY'')'" in out and "TO_CHAR(c, 'YYYY')" in out and "TO_CHAR(d, 'MM')" in out and "TO_CHAR(e, 'MM')" in out

@@ -22,7 +22,7 @@ def test_leaves_conserved(spark, rows, bound):
     df = spark.createDataFrame(rows, "ds string, p string, ou string, n int, s string")
     long = values_long(df, GB, MAPS)
     n_long = long.count()
-    sets = nest_dvs(long, bound, materialize=False)
+    sets = nest_dvs(long, bound)
     total = sets.agg(F.coalesce(F.sum(F.size("dataValues")), F.lit(0))).first()[0]
     assert total == n_long
     # the number of leaves never exceeds rows x mappings, and no set is empty
