@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportflow.functions.expr import jtrim
 from reportflow.operators.dvs import KEYS
@@ -24,6 +25,17 @@ DLQ_FORMAT = "DLQ - Failed to process message after %d redeliveries. Body: %s"
 UNKNOWN_REPORT = "unknown"
 DETAIL_FORMAT = "Caused by (%d): %s - %s"
 CONFLICT_CODE = 409
+# Labels of the detail text of a failure, in its order.
+DETAIL_HEAD = "\n=== DHIS2 Error Details ===\n"
+DETAIL_TYPE = "Exception Type: "
+DETAIL_MESSAGE = "Exception Message: "
+DETAIL_STATUS = "HTTP Status Code: "
+DETAIL_URL = "Request URL: "
+DETAIL_REQUEST = "\nRequest Body: "
+DETAIL_RESPONSE = "Response Body: "
+DETAIL_CONFLICT = ("\nNOTE: HTTP 409 (Conflict) typically means the data value already exists in DHIS2.\n"
+                   "This may not be a critical error - the data is already present.\n")
+DETAIL_END = "===========================\n"
 # Where an import report states its status.
 IMPORT_STATUS_PATTERN = r'"response":\{"responseType":"ImportReport","status":"([^"]*)"'
 
@@ -51,15 +63,16 @@ def write_dvs(sets: DataFrame, path: str, mode: str = "append") -> None:
 
 def upsert_latest(existing: DataFrame, incoming: DataFrame,
                   key: Sequence[str] = VALUE_KEY) -> DataFrame:
-    """Newest value per key wins (load_ts, then mapping_idx, then value).
+    """Newest value per key wins: by load_ts, then as the sets list them (mapping, row order), then by value.
 
-    A grouped ``max_by`` rather than a window: Spark merges map-side, so a key
+    Row order is used where both sides carry it. A grouped ``max_by`` rather than a window: Spark merges map-side, so a key
     loaded many times costs one partial row per task. Null key parts group
     together, as the receiver treats a missing combo as one cell.
     """
     both = existing.unionByName(incoming, allowMissingColumns=True)
     rest = [c for c in both.columns if c not in key]
-    order = F.struct(F.col("load_ts"), F.col("mapping_idx"), F.col("value"))
+    order = F.struct(F.col("load_ts"), F.col("mapping_idx"),
+                     *([F.col("row_order")] if "row_order" in both.columns else []), F.col("value"))
     latest = both.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_r"))
     return latest.select(*key, *[F.col("_r")[c].alias(c) for c in rest])
 
@@ -105,11 +118,36 @@ def error_details(causes: DataFrame, id_col: str = "failure_id", max_depth: int
                                     F.coalesce(F.col("message"), F.lit("null"))).alias("line")))
 
 
+def error_detail_text(failures: DataFrame, causes: DataFrame, id_col: str = "failure_id",
+                      max_depth: int = 5) -> DataFrame:
+    """The detail text of each failure (E7): exception, status and URL out of its message, causes in order,
+    both bodies, and a note on conflicts.
+
+    ``failures``: id, class_name, message, request_body, response_body; ``causes``: id, depth, message, class_name.
+    """
+    lines = (error_details(causes, id_col, max_depth).groupBy(id_col)
+             .agg(F.array_sort(F.collect_list(F.struct("depth", "line"))).alias("_l"))
+             .select(id_col, F.transform("_l", lambda x: F.concat(x["line"], F.lit("\n"))).alias("_lines")))
+    m = F.col("message")
+    code = jtrim(F.regexp_extract(m, CODE_PATTERN, 1)).try_cast("int")
+    text = lambda c: F.coalesce(F.col(c), F.lit("null"))
+    line = lambda label, c: F.concat(F.lit(label), c.cast("string"), F.lit("\n"))
+    parts = F.array(
+        F.lit(DETAIL_HEAD), line(DETAIL_TYPE, F.col("class_name")), line(DETAIL_MESSAGE, text("message")),
+        line(DETAIL_STATUS, code), line(DETAIL_URL, request_url(m)), F.array_join("_lines", ""),
+        line(DETAIL_REQUEST, text("request_body")), line(DETAIL_RESPONSE, text("response_body")),
+        F.when(code == CONFLICT_CODE, F.lit(DETAIL_CONFLICT)), F.lit(DETAIL_END))
+    return failures.join(lines, id_col, "left").select(id_col, F.array_join(parts, "").alias("detail"))
+
+
 # ---- E4-E6, E8-E10: parsing outcome texts ------------------------------------
 
+CODE_PATTERN = r"code=([^,]*),"
+
+
 def status_code(message: Column) -> Column:
     """Code between ``code=`` and the next comma; none, no comma or not a number gives 0."""
-    raw = F.regexp_extract(message, r"code=([^,]*),", 1)
+    raw = F.regexp_extract(message, CODE_PATTERN, 1)
     return F.coalesce(jtrim(raw).try_cast("int"), F.lit(0))
 
 
@@ -158,22 +196,28 @@ def import_summary(body: Column) -> list[Column]:
 
 # ---- A6, A7: counts and checks ----------------------------------------------
 
-def run_counts(rows: DataFrame, long: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per report: result rows, leaves and sets; ``records_synced`` counts sets."""
-    r = rows.groupBy("report_id").agg(F.count(F.lit(1)).alias("result_rows"))
-    v = long.groupBy("report_id").agg(F.count(F.lit(1)).alias("data_values"))
-    s = sets.groupBy("report_id").agg(F.count(F.lit(1)).alias("data_value_sets"))
-    return (r.join(v, "report_id", "full").join(s, "report_id", "full")
-            .select("report_id", *[F.coalesce(F.col(c), F.lit(0)).alias(c)
-                                   for c in ("result_rows", "data_values", "data_value_sets")])
+def run_counts(rows: DataFrame, long: DataFrame) -> DataFrame:
+    """Per report: result rows, leaves and sets; ``records_synced`` counts sets.
+
+    All three come from one grouped pass: a set is a distinct key of the long form, whatever its size.
+    """
+    keys = F.struct(*[F.col(k) for k in KEYS])
+    none = F.lit(None).cast(T.StructType([T.StructField(k, T.StringType()) for k in KEYS]))
+    both = (rows.select("report_id", F.lit(1).alias("_row"), none.alias("_key"))
+            .unionByName(long.select("report_id", F.lit(0).alias("_row"), keys.alias("_key"))))
+    # A partial row per key first, so that the count of sets is not a distinct over all leaves.
+    per_key = both.groupBy("report_id", "_key").agg(F.sum("_row").alias("_rows"), F.count(F.lit(1)).alias("_all"))
+    return (per_key.groupBy("report_id")
+            .agg(F.sum("_rows").alias("result_rows"), F.sum(F.col("_all") - F.col("_rows")).alias("data_values"),
+                 F.count("_key").alias("data_value_sets"))
             .withColumn("records_synced", F.col("data_value_sets")))
 
 
-def verify_counts(sets: DataFrame, by: str) -> DataFrame:
-    """Delivered leaves per ``by`` (orgUnit or period), as the delivery check counted them."""
-    return (sets.select(by, F.size("dataValues").alias("_n"))
-            .groupBy(by).agg(F.sum("_n").cast("long").alias("data_values"),
-                             F.count(F.lit(1)).alias("data_value_sets")))
+def verify_counts(long: DataFrame, by: str) -> DataFrame:
+    """Delivered leaves and sets per ``by`` (orgUnit or period), from the long form."""
+    per_key = long.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.groupBy(by).agg(F.sum("_n").cast("long").alias("data_values"),
+                                   F.count(F.lit(1)).alias("data_value_sets"))
 
 
 def failure_events(letters: DataFrame) -> DataFrame:

@@ -23,17 +23,18 @@ STATUS_AFTER = {"IN_PROGRESS": "IN_PROGRESS", "SUCCESS": "SUCCESS", "FAILED": "F
 
 
 def _last(value: Column, sets: Column, order: Column) -> Column:
-    """``struct(v)`` from the latest event that sets the field (null struct: never set).
+    """``struct(o, v)`` from the latest event that sets the field (null struct: never set).
 
-    Wrapping keeps a null *set* by that event apart from "not set", and
-    ``max_by`` skips rows whose order is null.
+    The order goes along with the value, so that folds of any parts of the log
+    merge to the same result; the wrapping also keeps a null *set* by an event
+    apart from "not set".
     """
-    return F.max_by(F.when(sets, F.struct(value.alias("v"))), F.when(sets, order))
+    return F.max(F.when(sets, F.struct(order.alias("o"), value.alias("v"))))
 
 
-# Partial fold columns: ``*_s`` are struct<v> "last set" values, the rest combine by min/max/latest.
-SET_FIELDS = {"name_s": "report_name", "ckpt_s": "last_sync_timestamp", "records_s": "records_synced",
-              "error_s": "error_message"}
+# Partial fold columns: ``*_s`` are struct<o, v> "last set" values, the rest combine by min or max.
+SET_FIELDS = {"name_s": "report_name", "ckpt_s": "last_sync_timestamp", "status_s": "sync_status",
+              "records_s": "records_synced", "error_s": "error_message"}
 
 
 def fold_partial(events: DataFrame, default_start: datetime | Column = DEFAULT_SYNC_START) -> DataFrame:
@@ -58,7 +59,7 @@ def fold_partial(events: DataFrame, default_start: datetime | Column = DEFAULT_S
     return events.groupBy("report_id").agg(
         _last(F.col("report_name"), sets_name, order).alias("name_s"),
         _last(ckpt_val, sets_ckpt, order).alias("ckpt_s"),
-        F.max_by(status, order).alias("sync_status"),
+        _last(status, F.lit(True), order).alias("status_s"),
         _last(F.when(ev == "SUCCESS", F.col("records")).otherwise(F.lit(0).cast("long")),
               sets_ckpt, order).alias("records_s"),
         _last(F.when(ev == "FAILED", F.col("error")), sets_err, order).alias("error_s"),
@@ -67,25 +68,21 @@ def fold_partial(events: DataFrame, default_start: datetime | Column = DEFAULT_S
 
 
 def combine_partial(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Merge a newer partial fold into an older one (every newer event is at or after the older).
+    """Merge two partial folds; which events each side holds, and how often, makes no difference.
 
-    The fold is idempotent, so events folded into both sides change nothing.
     Both sides hold one row per report, so this join is report-count sized.
     """
     o, n = old.alias("o"), new.alias("n")
-    pick = lambda c: F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c)
+    pick = lambda c, f: f(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c)  # noqa: E731 - null means "not set"
     return o.join(n, "report_id", "full").select(
-        "report_id", *[pick(c) for c in SET_FIELDS], pick("sync_status"),
-        F.coalesce(F.col("o.created_at"), F.col("n.created_at")).alias("created_at"),
-        F.greatest(F.col("o.updated_at"), F.col("n.updated_at")).alias("updated_at"))
+        "report_id", *[pick(c, F.greatest) for c in SET_FIELDS],
+        pick("created_at", F.least), pick("updated_at", F.greatest))
 
 
 def finalize_state(partial: DataFrame) -> DataFrame:
     """The sync state table from a partial fold."""
     return partial.select(
-        "report_id", F.col("name_s.v").alias("report_name"),
-        F.col("ckpt_s.v").alias("last_sync_timestamp"), "sync_status",
-        F.col("records_s.v").alias("records_synced"), F.col("error_s.v").alias("error_message"),
+        "report_id", *[F.col(f"{c}.v").alias(name) for c, name in SET_FIELDS.items()],
         "created_at", "updated_at")
 
 

@@ -5,14 +5,15 @@ Writes go through Spark; folder listing uses the Hadoop FileSystem API the
 session already has, so the same code works on HDFS, object stores and local
 disks.
 
-* ``run_events`` is append-only (partitioned by event day), the source of truth for
-  the sync state (T16: no read-modify-write of a shared file).
-* State snapshots are written to a new version folder; readers take the newest
-  version that finished (has ``_SUCCESS``). A missing store reads as empty; a
-  version that exists but cannot be read raises instead of silently resetting
-  every report, as the original did.
-* ``data_values`` is partitioned by report and period. An upsert rewrites only
-  the periods the incoming values touch (dynamic partition overwrite).
+* ``run_events`` is append-only, the source of truth for the sync state (T16: no
+  read-modify-write of a shared file). Every append is a folder of its own, named by
+  the writer, so a replayed stream batch overwrites itself and nothing else.
+* State snapshots are written to a new version folder and name the appends they
+  hold; a run folds just the appends that its snapshot lacks, whatever times their
+  events bear. A missing store reads as empty; a version that exists but cannot be
+  read raises instead of silently resetting every report, as the original did.
+* ``data_values`` is partitioned by report and period. An upsert reads and rewrites
+  only the (report, period) pairs the incoming values touch.
 """
 
 from __future__ import annotations
@@ -21,12 +22,16 @@ import os
 import time
 import uuid
 
+from datetime import datetime
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow import schemas
-from reportflow.operators.delivery import VALUE_KEY, upsert_latest
-from reportflow.operators.state import combine_partial, finalize_state, fold_partial
+from reportflow.operators.delivery import VALUE_KEY
+from reportflow.operators.state import combine_partial, finalize_state, fold_partial, run_event
 
 # Above this many touched (report, period) partitions the upsert reads the whole target.
 MAX_PRUNED_PARTITIONS = 10_000
@@ -50,63 +55,86 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def append_run_events(events: DataFrame, root: str) -> None:
-    """Append to the run log, partitioned by event day so reads after a snapshot prune old days."""
+def append_run_events(events: DataFrame, root: str, name: str | None = None) -> None:
+    """Append to the run log. ``name`` makes a repeated append overwrite its first try."""
+    name = name or f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     (events.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RUN_EVENTS.fields])
-     .withColumn("event_day", F.to_date("event_ts"))
-     .write.mode("append").partitionBy("event_day").parquet(os.path.join(root, "run_events")))
+     .write.mode("overwrite").parquet(os.path.join(root, "run_events", f"append={name}")))
 
 
-def read_run_events(spark: SparkSession, root: str, since=None) -> DataFrame:
-    """The run log; with ``since``, only events at or after it (day partitions pruned first)."""
-    path = os.path.join(root, "run_events")
-    if not exists(spark, path):
+def _folders(spark: SparkSession, base: str, prefix: str, marker: str = "_SUCCESS") -> list[str]:
+    """Names of the finished folders under ``base``, ascending."""
+    fs, p, jvm = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    path = jvm.org.apache.hadoop.fs.Path
+    return sorted(n for n in names if n.startswith(prefix) and fs.exists(path(os.path.join(base, n, marker))))
+
+
+def run_appends(spark: SparkSession, root: str) -> list[str]:
+    """Names of all appends to the run log: one or two for each run, never one per row."""
+    return [n.removeprefix("append=") for n in _folders(spark, os.path.join(root, "run_events"), "append=")]
+
+
+def read_run_events(spark: SparkSession, root: str, appends: list[str] | None = None) -> DataFrame:
+    """The run log, or the named appends of it."""
+    appends = run_appends(spark, root) if appends is None else appends
+    if not appends:
         return spark.createDataFrame([], schemas.RUN_EVENTS)
-    df = spark.read.parquet(path)
-    if since is not None:
-        df = df.filter((F.col("event_day") >= F.to_date(F.lit(since))) & (F.col("event_ts") >= F.lit(since)))
-    return df.select(*[F.col(f.name) for f in schemas.RUN_EVENTS.fields])
+    paths = [os.path.join(root, "run_events", f"append={n}") for n in appends]
+    return spark.read.schema(schemas.RUN_EVENTS).parquet(*paths)
 
 
-def write_state_snapshot(partial: DataFrame, root: str) -> str:
-    """Write a new version of the partial fold; returns its folder. Old versions stay until cleaned."""
-    version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    path = os.path.join(root, "sync_state", version)
-    partial.write.mode("errorifexists").parquet(path)
-    return path
+def reset_report(spark: SparkSession, root: str, report_id: str, at: datetime) -> None:
+    """Put a report back to its default start and PENDING (the state service's reset call)."""
+    append_run_events(spark.range(1).select(*run_event(
+        F.lit(report_id), F.lit(time.time_ns()), F.lit(at), "RESET")), root)
 
 
 def latest_state_version(spark: SparkSession, root: str) -> str | None:
     base = os.path.join(root, "sync_state")
-    fs, p, jvm = _fs(spark, base)
-    if not fs.exists(p):
-        return None
-    done = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            done.append(name)
-    return os.path.join(base, max(done)) if done else None
+    done = _folders(spark, base, "v=", "appends/_SUCCESS")   # written last
+    return os.path.join(base, done[-1]) if done else None
 
 
-def read_state_partial(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest finished snapshot of the partial fold, or None without one."""
+def read_state_partial(spark: SparkSession, root: str) -> tuple[DataFrame, set[str]] | None:
+    """Newest finished snapshot of the partial fold and the appends it holds, or None without one."""
     v = latest_state_version(spark, root)
-    return None if v is None else spark.read.parquet(v)
+    if v is None:
+        return None
+    held = spark.read.parquet(os.path.join(v, "appends")).collect()   # names only
+    return spark.read.parquet(os.path.join(v, "partial")), {r[0] for r in held}
 
 
-def current_partial(spark: SparkSession, root: str, default_start) -> DataFrame:
-    """Snapshot + events from its high-water mark on (the fold is idempotent, so ``>=`` is safe).
+def current_partial(spark: SparkSession, root: str, default_start) -> tuple[DataFrame, list[str]]:
+    """Snapshot + the appends it lacks, and the names of all appends that the result holds.
 
-    Without a snapshot the whole log is folded. Only events newer than the last
-    snapshot are read, so a run's cost does not grow with the log's age.
+    Events may arrive in any order of their times: each field keeps the order it was last set at, so
+    folding late appends into a snapshot gives what folding the whole log gives.
     """
+    appends = run_appends(spark, root)
     snap = read_state_partial(spark, root)
-    hwm = None if snap is None else snap.agg(F.max("updated_at")).first()[0]
-    if hwm is None:
-        return fold_partial(read_run_events(spark, root), default_start)
-    return combine_partial(snap, fold_partial(read_run_events(spark, root, since=hwm), default_start))
+    if snap is None:
+        return fold_partial(read_run_events(spark, root, appends), default_start), appends
+    partial, held = snap
+    fresh = [n for n in appends if n not in held]
+    if not fresh:
+        return partial, sorted(held)
+    return combine_partial(partial, fold_partial(read_run_events(spark, root, fresh), default_start)), sorted({*held, *fresh})
+
+
+def snapshot_state(spark: SparkSession, root: str, default_start, keep_versions: int = 2) -> DataFrame:
+    """Write a new version of the state and remove all but the newest ``keep_versions``; returns the state."""
+    partial, appends = current_partial(spark, root, default_start)
+    base = os.path.join(root, "sync_state")
+    path = os.path.join(base, f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+    partial.write.mode("errorifexists").parquet(os.path.join(path, "partial"))
+    spark.createDataFrame([(n,) for n in appends], "append string").coalesce(1).write.parquet(os.path.join(path, "appends"))
+    fs, _, jvm = _fs(spark, base)
+    for old in _folders(spark, base, "v=", "appends/_SUCCESS")[:-keep_versions]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(base, old)), True)
+    return finalize_state(spark.read.parquet(os.path.join(path, "partial")))
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
@@ -114,7 +142,7 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
     snap = read_state_partial(spark, root)
     if snap is None:
         return spark.createDataFrame([], schemas.SYNC_STATE)
-    return finalize_state(snap)
+    return finalize_state(snap[0])
 
 
 def _partitioned(df: DataFrame) -> DataFrame:
@@ -123,34 +151,38 @@ def _partitioned(df: DataFrame) -> DataFrame:
 
 
 def upsert_values(spark: SparkSession, incoming: DataFrame, root: str) -> None:
-    """Merge ``incoming`` long values into ``data_values``; newest per cell wins.
+    """Merge ``incoming`` long values into ``data_values``; the last one sent of a cell wins.
 
-    Only the (report, period) partitions that ``incoming`` touches are read and
-    rewritten. Their list is collected only after its size is checked.
+    Within the incoming values the last by mapping and row order counts, on the first load too; against
+    the stored values the incoming one. Just the (report, period) pairs that ``incoming`` touches are read
+    and rewritten; above ``MAX_PRUNED_PARTITIONS`` of them they are found by a join instead of by name.
     """
     path = os.path.join(root, "data_values")
     cols = [f.name for f in schemas.DATA_VALUES.fields]
-    inc = incoming.select(*[F.col(c).cast(schemas.DATA_VALUES[c].dataType) for c in cols])
-    if not exists(spark, path):
-        _partitioned(inc).write.mode("overwrite").partitionBy("report_id", "period").parquet(path)
-        return
-    touched = inc.select("report_id", "period").distinct()
-    n = touched.count()
-    existing = spark.read.schema(schemas.DATA_VALUES).parquet(path)
-    if n <= MAX_PRUNED_PARTITIONS:
-        # Pruned by partition values; the (report x period) superset is rewritten unchanged.
-        keys = touched.collect()
-        rids = sorted({r["report_id"] for r in keys})
-        periods = sorted({r["period"] for r in keys})
-        existing = existing.filter(F.col("report_id").isin(rids) & F.col("period").isin(periods))
-    else:
-        existing = existing.join(touched, ["report_id", "period"], "left_semi")
-    merged = upsert_latest(existing, inc, key=["report_id", *VALUE_KEY]).select(*cols)
-    # Reading and overwriting the same folder needs the input cut from the output.
-    staged = os.path.join(root, "_staging", uuid.uuid4().hex)
-    merged.write.parquet(staged)
-    (_partitioned(spark.read.parquet(staged)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("report_id", "period").parquet(path))
+    key = ["report_id", *VALUE_KEY]
+    order = ["load_ts", "mapping_idx", *(["row_order"] if "row_order" in incoming.columns else []), "value"]
+    rest = [c for c in cols if c not in key]
+    last = F.max_by(F.struct(*rest), F.struct(*order))
+    inc = (incoming.withColumns({c: F.col(c).cast(schemas.DATA_VALUES[c].dataType) for c in cols})
+           .groupBy(*key).agg(last.alias("_r")).select(*key, *[F.col("_r")[c].alias(c) for c in rest]).select(*cols).checkpoint())
+    if exists(spark, path):
+        touched = inc.select("report_id", "period").distinct()
+        pairs = touched.limit(MAX_PRUNED_PARTITIONS + 1).collect()
+        existing = spark.read.schema(schemas.DATA_VALUES).parquet(path)
+        if len(pairs) <= MAX_PRUNED_PARTITIONS:
+            by_report: dict[str, list[str]] = {}
+            for r in pairs:
+                by_report.setdefault(r["report_id"], []).append(r["period"])
+            named = [(F.col("report_id") == rid) & F.col("period").isin(periods) for rid, periods in sorted(by_report.items())]
+            existing = existing.filter(reduce(or_, named, F.lit(False)))
+        else:
+            existing = existing.join(touched, ["report_id", "period"], "left_semi")
+        both = existing.select(*cols, F.lit(0).alias("_side")).unionByName(inc.withColumn("_side", F.lit(1)))
+        # Reading and overwriting the same folder needs the input cut from the output.
+        inc = (both.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col("_side")).alias("_r"))
+               .select(*key, *[F.col("_r")[c].alias(c) for c in rest]).select(*cols).checkpoint())
+    (_partitioned(inc).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("report_id", "period").parquet(path))
 
 
 def read_values(spark: SparkSession, root: str) -> DataFrame:
