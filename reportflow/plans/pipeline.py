@@ -1,52 +1,53 @@
-"""A full scheduled run over a list of reports (the original's main route, L1).
-
-For each report with SQL: log IN_PROGRESS, read its checkpoint from the run
-log, run its SQL (recompute or delta), upsert the long values, keep the
-rejects, write the sets as JSON, log SUCCESS with the counts; a failure logs
-FAILED and a dead letter instead. The state is a fold of the run log and is
-snapshotted at the end. Reports run one after another, as scheduled jobs of
-their own; each report's work is one distributed plan.
+"""A full scheduled run over a list of reports (the original's main route, L1-L3).
+
+Definitions are resolved first: placeholders, validation, SQL files. The log
+then gets one append that marks all runnable reports IN_PROGRESS. Each report
+reads its checkpoint, runs its SQL once (recompute or delta), applies its
+transform, upserts the values, keeps the rejects and writes the sets as JSON.
+A report that fails leaves its sets (or, before there are any, its definition)
+as dead letters with the chain of causes, and the others go on. All outputs
+carry the run id and overwrite their own (report, run) folder, so a run that is
+started again repeats nothing. The outcomes are appended at the end, and the
+state is a fold of the log.
 """
 
 from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportflow.operators import delivery as dl
 from reportflow import schemas
-from reportflow.operators.dvs import (DEFAULT_MAX_VALUES_PER_SET, nest_dvs, rejected_rows, report_values_long,
-                                      values_long)
-from reportflow.operators.state import finalize_state, run_event
-from reportflow.plans.report_run import recompute_start, report_rows
+from reportflow.operators import delivery as dl
+from reportflow.operators.dvs import nest_dvs, rejected_rows, report_values_long, values_long
+from reportflow.operators.reshape import Transform, custom_transform, ensure_complete_date
+from reportflow.operators.state import finalize_state
+from reportflow.plans.report_run import Arrivals, recompute_start, report_rows
 from reportflow.plans.shared import run_shared_report
 from reportflow.session import checkpoint_dir
 from reportflow.sources import state_store as store
-from reportflow.sources.reports import Report
+from reportflow.sources.reports import Report, reports_frame, resolve_report_placeholders, to_reports, validate_reports
 from reportflow.sources.tables import DEFAULT_SYNC_START
 
 log = logging.getLogger(__name__)
 
 
-def _event(spark: SparkSession, root: str, report: Report, seq: int, at: datetime, kind: str,
-           records: int | None = None, error: str | None = None, checkpoint: datetime | None = None) -> None:
-    row = spark.range(1).select(*run_event(
-        F.lit(report.id), F.lit(seq), F.lit(at), kind, report_name=F.lit(report.name),
-        records=F.lit(records), error=F.lit(error).cast("string"),
-        checkpoint=F.lit(checkpoint).cast("timestamp") if checkpoint else None))
-    store.append_run_events(row, root)
+def resolve_reports(spark: SparkSession, reports: Sequence[Report] | DataFrame,
+                    variables: Mapping[str, str] | None = None) -> list[Report]:
+    """Definitions ready to run, from objects or a ``reports`` table: ids checked, placeholders filled in."""
+    frame = reports if isinstance(reports, DataFrame) else reports_frame(spark, list(reports))
+    return to_reports(resolve_report_placeholders(validate_reports(frame), dict(variables or {})))
 
 
 def _checkpoints(spark: SparkSession, root: str, reports: Sequence[Report],
                  default_start: datetime) -> dict[str, datetime]:
     """Stored checkpoint per report (one row per configured report, so it is small)."""
     ids = [r.id for r in reports]
-    state = finalize_state(store.current_partial(spark, root, default_start)).filter(F.col("report_id").isin(ids))
+    state = finalize_state(store.current_partial(spark, root, default_start)[0]).filter(F.col("report_id").isin(ids))
     out = {r.id: default_start for r in reports}
     for row in state.select("report_id", "last_sync_timestamp").collect():
         ts = row["last_sync_timestamp"]
@@ -55,78 +56,119 @@ def _checkpoints(spark: SparkSession, root: str, reports: Sequence[Report],
     return out
 
 
-def run_reports(spark: SparkSession, reports: Sequence[Report], root: str, as_of: datetime,
+def _log(spark: SparkSession, root: str, rows: list[tuple], run_id: str, stage: str) -> None:
+    if rows:
+        store.append_run_events(spark.createDataFrame(rows, schemas.RUN_EVENTS).coalesce(1), root, f"{run_id}-{stage}")
+
+
+def _write_run(df: DataFrame, root: str, name: str, run_id: str) -> None:
+    """Rows of one run; a repeated run overwrites its own folders."""
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("report_id", "run_id").parquet(os.path.join(root, name)))
+
+
+def _chain(spark: SparkSession, error: BaseException) -> tuple[str, DataFrame]:
+    """The failure text with all causes (E1), and the causes as rows."""
+    rows, e = [], error
+    while e is not None:
+        rows.append((1, len(rows), str(e), type(e).__name__))
+        e = e.__cause__
+    causes = spark.createDataFrame(rows, "failure_id int, depth int, message string, class_name string")
+    return dl.error_chain(causes).first()["chain"], causes
+
+
+def _dead_letters(spark: SparkSession, root: str, run_id: str, bodies: DataFrame, at: datetime) -> None:
+    """bodies: report_id, json."""
+    letters = dl.dead_letters(bodies, F.col("json"), F.col("report_id"), failed_at=F.lit(at))
+    _write_run(letters, root, "dead_letters", run_id)
+
+
+def run_reports(spark: SparkSession, reports: Sequence[Report] | DataFrame, root: str, as_of: datetime,
                 mode: str = "recompute", default_start: datetime = DEFAULT_SYNC_START,
-                order_by: dict[str, list[str]] | None = None,
-                max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
-    """Run every report once; ``as_of`` is the source snapshot time, stored as the new checkpoint."""
+                order_by: dict[str, list[str]] | None = None, max_values_per_set: int | None = None,
+                variables: Mapping[str, str] | None = None, base_dir: str | None = None,
+                transforms: Mapping[str, Transform] | None = None, complete_date: str | None = None,
+                arrivals: Mapping[str, Arrivals] | None = None) -> DataFrame:
+    """Run every report once; ``as_of`` is the source snapshot time, stored as the new checkpoint.
+
+    ``transforms`` maps a report id to its reshaping step (D3); ``complete_date`` is set on sets that have none
+    (D1); ``arrivals`` names the arrival column of a report's fact view for exact recomputes of late rows.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
-    runnable = [r for r in reports if (r.resolved_sql() or "").strip()]   # F10, T23
+    # Reports without SQL are skipped before any state change.
+    runnable = [r for r in resolve_reports(spark, reports, variables) if ((r.sql or "").strip() or r.sqlFile)]
     ckpt = _checkpoints(spark, root, runnable, default_start)
+    run_id = f"{as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S%f}"
     seq = int(as_of.timestamp() * 1000) * 10
+    _log(spark, root, [(r.id, seq, as_of, "IN_PROGRESS", r.name, None, None, None) for r in runnable], run_id, "0")
+    ended = []
     for r in runnable:
-        _event(spark, root, r, seq, as_of, "IN_PROGRESS")
+        sets = None
         try:
-            # Values, rejects and sets all read the result: run the SQL once, cut lineage.
-            rows = report_rows(spark, r, ckpt[r.id], mode).checkpoint(eager=True)
+            # Values, rejects, sets and counts all read the result: run the SQL once, cut lineage.
+            rows = report_rows(spark, r, ckpt[r.id], mode, base_dir, (arrivals or {}).get(r.id), default_start)
+            if transforms and r.id in transforms:
+                rows = custom_transform(rows, transforms[r.id])
+            rows = rows.checkpoint(eager=True)
             long = report_values_long(rows, r, order_by=(order_by or {}).get(r.id))
-            values = long.drop("row_order").withColumn("load_ts", F.lit(as_of))
-            store.upsert_values(spark, values, root)
-            rejected_rows(rows, r.groupBy, report_id=r.id).withColumn("run_at", F.lit(as_of)) \
-                .write.mode("append").parquet(os.path.join(root, "rejects"))
-            sets = nest_dvs(long, max_values_per_set, materialize=False)
-            out = dl.dvs_json(sets).withColumn("run_at", F.lit(as_of)).persist()
-            out.drop("run_at").write.mode("append").partitionBy("report_id").parquet(os.path.join(root, "outbox"))
-            n_sets = out.count()
-            out.unpersist()
-            _event(spark, root, r, seq + 1, as_of, "SUCCESS", records=n_sets, checkpoint=as_of)
+            nested = nest_dvs(long, max_values_per_set)
+            if complete_date is not None:
+                nested = ensure_complete_date(nested.withColumn("completeDate", F.lit(None).cast("string")), complete_date)
+                sets = dl.dvs_json(nested, F.col("completeDate"))
+            else:
+                sets = dl.dvs_json(nested)
+            _write_run(sets, root, "outbox", run_id)
+            store.upsert_values(spark, long.withColumn("load_ts", F.lit(as_of)), root)
+            _write_run(rejected_rows(rows, r.groupBy, report_id=r.id), root, "rejects", run_id)
+            counts = dl.run_counts(rows.withColumn("report_id", F.lit(r.id)), long).first()
+            ended.append((r.id, seq + 1, as_of, "SUCCESS", r.name, counts["records_synced"] if counts else 0, None, as_of))
         except Exception as e:  # noqa: BLE001 - a failed report is data, the others go on
-            msg = f"{dl.SEND_FAILED} -> {e}"
-            log.error("report %s failed: %s", r.id, msg)
-            body = spark.range(1).select(F.lit(r.id).alias("id"))
-            dl.dead_letters(body, F.to_json(F.struct("id")), F.lit(r.id), failed_at=F.lit(as_of)) \
-                .write.mode("append").parquet(os.path.join(root, "dead_letters"))
-            _event(spark, root, r, seq + 1, as_of, "FAILED", error=msg)
-        seq += 2
-    path = store.write_state_snapshot(store.current_partial(spark, root, default_start), root)
-    return finalize_state(spark.read.parquet(path))
+            text, _ = _chain(spark, e)
+            log.error("report %s failed: %s", r.id, text)
+            body = spark.createDataFrame([(r.id, r.to_json())], "report_id string, json string")
+            _dead_letters(spark, root, run_id, body if sets is None else sets.select("report_id", "json"), as_of)
+            ended.append((r.id, seq + 1, as_of, "FAILED", r.name, None, text, None))
+    _log(spark, root, ended, run_id, "1")
+    return store.snapshot_state(spark, root, default_start)
 
 
 def run_report_group(spark: SparkSession, template: Report, facilities: Sequence[tuple[str, str]],
                      root: str, as_of: datetime, mode: str = "recompute",
-                     default_start: datetime = DEFAULT_SYNC_START,
-                     max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
+                     default_start: datetime = DEFAULT_SYNC_START, order_by: list[str] | None = None,
+                     max_values_per_set: int | None = None) -> DataFrame:
     """Run many reports that share one SQL shape as one plan (survey 7.3).
 
     ``facilities`` lists (facility value, report id). The template SQL joins the
     ``report_watermarks`` view (facility, report_id, checkpoint) and filters on
     each report's own checkpoint, so all reports share one scan. Each report
-    still gets its own run events, values partitions and sets.
+    still gets its own run events, values partitions and sets; if the plan
+    fails, all of them fail with its causes.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     members = [Report(id=rid, name=f"{template.name} ({fac})") for fac, rid in facilities]
     ckpt = _checkpoints(spark, root, members, default_start)
+    run_id = f"{as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S%f}"
     seq = int(as_of.timestamp() * 1000) * 10
-    events = lambda kind, records=None: spark.createDataFrame(
-        [(m.id, seq + (kind != "IN_PROGRESS"), as_of, kind, m.name,
-          None if records is None else int(records.get(m.id, 0)), None,
-          as_of if kind == "SUCCESS" else None) for m in members], schemas.RUN_EVENTS)
-    store.append_run_events(events("IN_PROGRESS"), root)
-    bound = {rid: (ckpt[rid] if mode == "delta" else recompute_start(ckpt[rid])) for _, rid in facilities}
-    wm = spark.createDataFrame([(fac, rid, bound[rid]) for fac, rid in facilities],
-                               "facility string, report_id string, checkpoint timestamp")
-    rows = run_shared_report(spark, template.resolved_sql(), wm, template.parameters).checkpoint(eager=True)
-    long = values_long(rows, template.groupBy, template.dataValueMappings, report_id=F.col("report_id"))
-    store.upsert_values(spark, long.drop("row_order").withColumn("load_ts", F.lit(as_of)), root)
-    rejected_rows(rows, template.groupBy, report_id=F.col("report_id")).withColumn("run_at", F.lit(as_of)) \
-        .write.mode("append").parquet(os.path.join(root, "rejects"))
-    out = dl.dvs_json(nest_dvs(long, max_values_per_set, materialize=False)).persist()
-    out.write.mode("append").partitionBy("report_id").parquet(os.path.join(root, "outbox"))
-    per_report = {r["report_id"]: r["n"] for r in out.groupBy("report_id").count()
-                  .withColumnRenamed("count", "n").collect()}   # one row per report: config-sized
-    out.unpersist()
-    store.append_run_events(events("SUCCESS", per_report), root)
-    path = store.write_state_snapshot(store.current_partial(spark, root, default_start), root)
-    return finalize_state(spark.read.parquet(path))
+    _log(spark, root, [(m.id, seq, as_of, "IN_PROGRESS", m.name, None, None, None) for m in members], run_id, "0")
+    try:
+        bound = {rid: (ckpt[rid] if mode == "delta" else recompute_start(ckpt[rid])) for _, rid in facilities}
+        wm = spark.createDataFrame([(fac, rid, bound[rid]) for fac, rid in facilities],
+                                   "facility string, report_id string, checkpoint timestamp")
+        rows = run_shared_report(spark, template.resolved_sql(), wm, template.parameters).checkpoint(eager=True)
+        long = values_long(rows, template.groupBy, template.dataValueMappings, order_by=order_by, report_id=F.col("report_id"))
+        _write_run(dl.dvs_json(nest_dvs(long, max_values_per_set)), root, "outbox", run_id)
+        store.upsert_values(spark, long.withColumn("load_ts", F.lit(as_of)), root)
+        _write_run(rejected_rows(rows, template.groupBy, report_id=F.col("report_id")), root, "rejects", run_id)
+        # One row per report: config-sized.
+        sets = {r["report_id"]: r["records_synced"] for r in dl.run_counts(rows, long).collect()}
+        ended = [(m.id, seq + 1, as_of, "SUCCESS", m.name, sets.get(m.id, 0), None, as_of) for m in members]
+    except Exception as e:  # noqa: BLE001 - the failure is recorded for every member
+        text, _ = _chain(spark, e)
+        log.error("report group %s failed: %s", template.id, text)
+        bodies = spark.createDataFrame([(m.id, template.to_json()) for m in members], "report_id string, json string")
+        _dead_letters(spark, root, run_id, bodies, as_of)
+        ended = [(m.id, seq + 1, as_of, "FAILED", m.name, None, text, None) for m in members]
+    _log(spark, root, ended, run_id, "1")
+    return store.snapshot_state(spark, root, default_start)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reportflow.operators import delivery as dl
 from reportflow.operators.dvs import nest_dvs, report_values_long
 from reportflow.plans import testdata as td
-from reportflow.plans.q_reports import DUCK_EVENT_LEAVES, DUCK_EVENTS, DUCK_ROLLUP, events_rows, rollup_rows
+from reportflow.plans.q_reports import DUCK_EVENT_LEAVES, DUCK_EVENTS, DUCK_ROLLUP_ALL, events_rows, rollup_rows
 from reportflow.plans.registry import query
 from reportflow.session import checkpoint_dir
 from reportflow.sources.tables import table
@@ -18,8 +18,12 @@ DUCK_TS_FMT = "%Y-%m-%d %H:%M:%S.%f"
 DUCK_JTRIM = "regexp_replace({0}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
 
 
+def rollup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_values_long(rollup_rows(spark, sf_dir), td.ROLLUP_REPORT)
+
+
 def rollup_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nest_dvs(report_values_long(rollup_rows(spark, sf_dir), td.ROLLUP_REPORT))
+    return nest_dvs(rollup_long(spark, sf_dir))
 
 
 def _leaf_json(el: str, v: str, coc: str) -> str:
@@ -28,7 +32,7 @@ def _leaf_json(el: str, v: str, coc: str) -> str:
 
 
 @query("dvs_json", oracle=f"""
-WITH r AS ({DUCK_ROLLUP}),
+WITH r AS ({DUCK_ROLLUP_ALL}),
 leaves AS (
   SELECT data_set, period, org_unit, 0 AS mapping_idx, 'ElReturned' AS el, CAST(performed AS VARCHAR) AS v,
          'CocLine' AS coc FROM r
@@ -195,7 +199,7 @@ def import_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("run_counts", oracle=f"""
-WITH r AS ({DUCK_ROLLUP}), e AS ({DUCK_EVENTS}), l AS ({DUCK_EVENT_LEAVES})
+WITH r AS ({DUCK_ROLLUP_ALL}), e AS ({DUCK_EVENTS}), l AS ({DUCK_EVENT_LEAVES})
 SELECT 'line-returns' AS report_id, (SELECT COUNT(*) FROM r) AS result_rows,
        (SELECT 2 * COUNT(*) FROM r) AS data_values, (SELECT COUNT(*) FROM r) AS data_value_sets,
        (SELECT COUNT(*) FROM r) AS records_synced
@@ -206,34 +210,33 @@ SELECT 'user-events', (SELECT COUNT(*) FROM e), (SELECT COUNT(*) FROM l),
 """)
 def run_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result rows, data values and sets per report run; records = sets."""
-    out = None
+    parts = []
     checkpoint_dir(spark)
     for report, rows, order in ((td.ROLLUP_REPORT, rollup_rows(spark, sf_dir), None),
                                 (td.EVENTS_REPORT, events_rows(spark, sf_dir), td.EVENTS_ORDER)):
-        rows = rows.checkpoint(eager=True)   # rows, values and sets are all counted from one run
-        long = report_values_long(rows, report, order_by=order)
-        part = dl.run_counts(rows.withColumn("report_id", F.lit(report.id)), long,
-                             nest_dvs(long, materialize=False))
-        out = part if out is None else out.unionByName(part)
-    return out
+        rows = rows.checkpoint(eager=True)   # rows and values are counted from one run
+        parts.append((rows.select(F.lit(report.id).alias("report_id")),
+                      report_values_long(rows, report, order_by=order).select("report_id", *dl.KEYS)))
+    (rows, long), (rows_2, long_2) = parts
+    return dl.run_counts(rows.unionByName(rows_2), long.unionByName(long_2))
 
 
 @query("verify_by_orgunit", oracle=f"""
 SELECT org_unit AS orgUnit, CAST(2 * COUNT(*) AS BIGINT) AS data_values, COUNT(*) AS data_value_sets
-FROM ({DUCK_ROLLUP}) GROUP BY org_unit
+FROM ({DUCK_ROLLUP_ALL}) GROUP BY org_unit
 """)
 def verify_by_orgunit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered values and sets per org unit."""
-    return dl.verify_counts(rollup_sets(spark, sf_dir), "orgUnit")
+    return dl.verify_counts(rollup_long(spark, sf_dir), "orgUnit")
 
 
 @query("verify_by_period", oracle=f"""
 SELECT period, CAST(2 * COUNT(*) AS BIGINT) AS data_values, COUNT(*) AS data_value_sets
-FROM ({DUCK_ROLLUP}) GROUP BY period
+FROM ({DUCK_ROLLUP_ALL}) GROUP BY period
 """)
 def verify_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered values and sets per period."""
-    return dl.verify_counts(rollup_sets(spark, sf_dir), "period")
+    return dl.verify_counts(rollup_long(spark, sf_dir), "period")
 
 
 CHECK_UNITS = ["NATION_3", "NATION_7"]
@@ -243,9 +246,9 @@ CHECK_PERIODS = ["199601", "199602", "199603"]
 @query("verify_total", oracle=f"""
 WITH v AS (
   SELECT org_unit AS orgUnit, period, 'ElReturned' AS dataElement, 'CocLine' AS coc, CAST(performed AS VARCHAR) AS value
-  FROM ({DUCK_ROLLUP})
+  FROM ({DUCK_ROLLUP_ALL})
   UNION ALL
-  SELECT org_unit, period, 'ElReturnedLarge', 'CocLine', CAST(positive AS VARCHAR) FROM ({DUCK_ROLLUP})),
+  SELECT org_unit, period, 'ElReturnedLarge', 'CocLine', CAST(positive AS VARCHAR) FROM ({DUCK_ROLLUP_ALL})),
 f AS (SELECT * FROM v WHERE orgUnit IN ('NATION_3', 'NATION_7') AND period IN ('199601', '199602', '199603'))
 SELECT (SELECT COUNT(*) FROM f) AS total_values,
        (SELECT '{{"dataElement":"' || dataElement || '","period":"' || period || '","orgUnit":"' || orgUnit
@@ -256,3 +259,38 @@ def verify_total_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total stored values for asked org units and periods, plus a sample value."""
     long = report_values_long(rollup_rows(spark, sf_dir), td.ROLLUP_REPORT)
     return dl.verify_total(long, "DsLineReturns", CHECK_UNITS, CHECK_PERIODS)
+
+
+FAILURE_BODY = "CASE WHEN value < 250 THEN NULL ELSE 'request ' || event_id END"
+
+
+@query("error_detail_text", oracle=f"""
+WITH c AS ({DUCK_CAUSES}),
+l AS (SELECT failure_id, string_agg('Caused by (' || CAST(depth + 1 AS VARCHAR) || '): ' || class_name || ' - '
+             || coalesce(message, 'null') || chr(10), '' ORDER BY depth) AS lines FROM c WHERE depth < 5 GROUP BY 1),
+f AS (SELECT event_id AS failure_id, 'org.example.SendFailure' AS class_name,
+             CASE WHEN value < 30 THEN NULL WHEN value < 60 THEN 'no status here'
+                  ELSE 'POST failed code=' || CASE WHEN value < 200 THEN '409' ELSE '500' END
+                       || ', url= https://recv.example/api/' || user_id || ' , end' END AS message,
+             {FAILURE_BODY} AS request_body
+      FROM events WHERE event_type = 'error')
+SELECT f.failure_id,
+       '{dl.DETAIL_HEAD}' || '{dl.DETAIL_TYPE}' || class_name || chr(10) || '{dl.DETAIL_MESSAGE}' || coalesce(message, 'null') || chr(10)
+       || CASE WHEN message LIKE '%code=%' THEN '{dl.DETAIL_STATUS}' || regexp_extract(message, 'code=([^,]*),', 1) || chr(10) ELSE '' END
+       || CASE WHEN message LIKE '%url=%' THEN '{dl.DETAIL_URL}' || trim(regexp_extract(message, 'url=([^,]*)', 1)) || chr(10) ELSE '' END
+       || coalesce(lines, '') || '{dl.DETAIL_REQUEST}' || coalesce(request_body, 'null') || chr(10)
+       || '{dl.DETAIL_RESPONSE}' || 'null' || chr(10)
+       || CASE WHEN message LIKE '%code=409,%' THEN '{dl.DETAIL_CONFLICT}' ELSE '' END || '{dl.DETAIL_END}' AS detail
+FROM f LEFT JOIN l USING (failure_id)
+""")
+def error_detail_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole detail text of a failure, parts in order."""
+    c = causes(spark, sf_dir)
+    failures = spark.sql(f"""
+SELECT event_id AS failure_id, 'org.example.SendFailure' AS class_name,
+       CASE WHEN value < 30 THEN NULL WHEN value < 60 THEN 'no status here'
+            ELSE 'POST failed code=' || CASE WHEN value < 200 THEN '409' ELSE '500' END
+                 || ', url= https://recv.example/api/' || user_id || ' , end' END AS message,
+       {FAILURE_BODY} AS request_body, CAST(NULL AS STRING) AS response_body
+FROM events WHERE event_type = 'error'""")
+    return dl.error_detail_text(failures, c)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportflow.functions.expr import coc_expr, column_or_const, jtrim, with_row_struct, boolean_filter
+from reportflow.functions.expr import coc_expr, column_or_const, filter_flag, jtrim, with_filter_flags
 from reportflow.operators.dvs import (aggregate_dvs, merge_duplicate_leaves, nest_dvs, rejected_rows, report_values_long,
                                       values_text)
 from reportflow.operators.paging import paged_extract
 from reportflow.plans import testdata as td
 from reportflow.plans.registry import query
-from reportflow.sources.reports import explode_mappings, runnable_reports
+from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report, explode_mappings, runnable_reports
 from reportflow.sources.tables import register_period_function, report_params, run_report_sql, table
 
 # DuckDB twins of the test-data report SQL (same rows; strftime for date_format).
@@ -23,12 +23,13 @@ JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.
 WHERE l.l_shipdate > TIMESTAMP '1996-01-01 00:00:00' AND l.l_returnflag = 'R'
 GROUP BY 2, 3
 """
+DUCK_ROLLUP_ALL = DUCK_ROLLUP.replace("l.l_shipdate > TIMESTAMP '1996-01-01 00:00:00' AND ", "")
 
 DUCK_EVENTS = """
 SELECT 'DsEvents' AS data_set, strftime(ts, '%Y%m') AS period, CAST(user_id AS VARCHAR) AS org_unit,
        event_id, ts, event_type, value,
        CASE event_type WHEN 'view' THEN 'default' WHEN 'click' THEN NULL ELSE upper(event_type) END AS combo
-FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'
+FROM events
 """
 
 DUCK_EVENT_LEAVES = f"""
@@ -46,16 +47,17 @@ SELECT 'user-events', data_set, period, org_unit, 'ElKind', event_type, 'CocKind
 FROM r WHERE event_type IS NOT NULL AND event_type <> ''
 """
 
+PAGE_KEYS = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
 LEAF_TEXT_SQL = "dataElement || '=' || value || coalesce('/' || categoryOptionCombo, '')"
 
 
-def rollup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rollup_rows(spark: SparkSession, sf_dir: str, checkpoint=td.ROLLUP_START) -> DataFrame:
     td.sources(spark, sf_dir)
-    return run_report_sql(spark, td.ROLLUP_SQL,
-                          report_params(td.ROLLUP_CHECKPOINT, td.ROLLUP_REPORT.parameters))
+    return run_report_sql(spark, td.ROLLUP_SQL, report_params(checkpoint, td.ROLLUP_REPORT.parameters))
 
 
-def events_rows(spark: SparkSession, sf_dir: str, checkpoint=td.EVENTS_CHECKPOINT) -> DataFrame:
+def events_rows(spark: SparkSession, sf_dir: str, checkpoint=td.DEFAULT_START) -> DataFrame:
     td.sources(spark, sf_dir)
     return run_report_sql(spark, td.EVENTS_SQL, report_params(checkpoint))
 
@@ -70,11 +72,11 @@ def flat_sets(sets: DataFrame) -> DataFrame:
 @query("report_rollup", oracle=DUCK_ROLLUP)
 def report_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1+S2+J1+A1+A2+X1+F1-F3+O1: the shipped report's shape, three joins and a monthly rollup."""
-    return rollup_rows(spark, sf_dir)
+    return rollup_rows(spark, sf_dir, td.ROLLUP_CHECKPOINT)
 
 
 @query("report_dvs", oracle=f"""
-WITH r AS ({DUCK_ROLLUP}),
+WITH r AS ({DUCK_ROLLUP_ALL}),
 leaves AS (
   SELECT data_set, period, org_unit, 0 AS mapping_idx, 'ElReturned' AS dataElement,
          CAST(performed AS VARCHAR) AS value, 'CocLine' AS categoryOptionCombo FROM r
@@ -123,7 +125,7 @@ WITH r AS (
          CASE WHEN event_type = 'signup' THEN '' ELSE CAST(value AS VARCHAR) END AS value,
          CASE event_type WHEN 'purchase' THEN 'CocPaid' END AS categoryOptionCombo,
          event_id, ts
-  FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00')
+  FROM events)
 SELECT CAST(NULL AS VARCHAR) AS report_id, dataSet, period, orgUnit, COUNT(*) AS n_values,
        string_agg({LEAF_TEXT_SQL}, ';'
                   ORDER BY ts, event_id, dataElement, value, categoryOptionCombo) AS values_text
@@ -133,30 +135,27 @@ GROUP BY dataSet, period, orgUnit
 def dvs_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4+X10+F9: default path, keys and leaf from alias columns, empty values kept."""
     td.sources(spark, sf_dir)
-    rows = run_report_sql(spark, td.EVENTS_DEFAULT_SQL, report_params(td.EVENTS_CHECKPOINT))
+    rows = run_report_sql(spark, td.EVENTS_DEFAULT_SQL, report_params(td.DEFAULT_START))
     return flat_sets(aggregate_dvs(rows, None, order_by=td.EVENTS_ORDER))
 
 
 @query("mapping_filter", oracle="""
 SELECT event_id, coalesce(event_type = 'purchase', false) AS f_purchase,
        coalesce(value > 400, false) AS f_row, false AS f_broken, false AS f_not_boolean,
-       false AS f_null
+       false AS f_null, false AS f_cast, coalesce(user_id % 3 <> 0 AND 1000 / (user_id % 3) > 600, false) AS f_division
 FROM events
 """)
 def mapping_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """filter text as a Spark SQL boolean; errors, nulls and non-booleans drop."""
-    ev = with_row_struct(table(spark, sf_dir, "events"))
-    return ev.select(
-        "event_id",
-        boolean_filter(ev, "event_type = 'purchase'").alias("f_purchase"),
-        boolean_filter(ev, "row.value > 400").alias("f_row"),
-        boolean_filter(ev, "no_such_column > 1").alias("f_broken"),
-        boolean_filter(ev, "value + 1").alias("f_not_boolean"),
-        boolean_filter(ev, "value > CAST(NULL AS DOUBLE)").alias("f_null"))
+    """Filter text as a Spark SQL boolean; errors (also of a single row), nulls and non-booleans drop."""
+    filters = {"f_purchase": "event_type = 'purchase'", "f_row": "row.value > 400", "f_broken": "no_such_column > 1",
+               "f_not_boolean": "value + 1", "f_null": "value > CAST(NULL AS DOUBLE)",
+               "f_cast": "CAST(event_type AS INT) > 0", "f_division": "1000 / (user_id % 3) > 600"}
+    ev = with_filter_flags(table(spark, sf_dir, "events"), list(filters.values()))
+    return ev.select("event_id", *[F.col(filter_flag(i)).alias(name) for i, name in enumerate(filters)])
 
 
 @query("coc_resolution", oracle=f"""
-WITH r AS ({DUCK_EVENTS.replace("WHERE ts > TIMESTAMP '2024-01-15 00:00:00'", "")})
+WITH r AS ({DUCK_EVENTS})
 SELECT event_id,
        CASE WHEN combo <> '' AND lower(combo) <> 'default' THEN combo END AS coc_column,
        CASE WHEN combo <> '' AND lower(combo) <> 'default' THEN combo ELSE 'COMBO' END AS coc_legacy,
@@ -294,7 +293,7 @@ ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000
 def paged_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One top-k page after the checkpoint, keyed by a unique tie-break."""
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") > F.lit("1996-01-01").cast("timestamp_ntz"))
-    page = paged_extract(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 1000)
+    page = paged_extract(li, PAGE_KEYS, 1000)
     return page.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipdate"))
 
@@ -310,3 +309,60 @@ def duplicate_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = report_values_long(events_rows(spark, sf_dir), td.EVENTS_REPORT, order_by=td.EVENTS_ORDER)
     return merge_duplicate_leaves(long, "last").select(
         "report_id", "dataSet", "period", "orgUnit", "dataElement", "categoryOptionCombo", "value", "mapping_idx")
+
+
+@query("paged_extract_next", oracle="""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipdate
+FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000 OFFSET 2000
+""")
+def paged_extract_next_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: the third page, each page continuing after the last key of the one before."""
+    li, keys, after = table(spark, sf_dir, "lineitem"), PAGE_KEYS, None
+    for _ in range(2):
+        last = paged_extract(li, keys, 1000, after).select(*keys).tail(1)   # one row
+        after = [F.lit(last[0][0]).cast("timestamp_ntz"), *last[0][1:]]
+    return paged_extract(li, keys, 1000, after).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipdate"))
+
+
+@query("duplicate_leaves_sum", oracle="""
+SELECT l_returnflag AS orgUnit, CAST(sum(CAST(l_quantity AS DECIMAL(38, 0))) AS VARCHAR) AS quantity,
+       count(*) AS leaves
+FROM lineitem GROUP BY l_returnflag
+""")
+def duplicate_leaves_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 option: repeated leaves of a set added up exactly, as plain decimal text."""
+    long = hot_long(spark, sf_dir)
+    total = merge_duplicate_leaves(long, "sum").select("orgUnit", F.col("value").alias("quantity"))
+    return total.join(long.groupBy("orgUnit").agg(F.count("*").alias("leaves")), "orgUnit")
+
+
+def hot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``lineitem`` in three sets with very many equal leaves."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.lit("DsHot").alias("data_set"), F.lit("all").alias("period"), "l_returnflag", "l_orderkey", "l_linenumber",
+        "l_partkey", F.col("l_quantity").cast("decimal(18,0)").cast("string").alias("quantity"))
+    report = Report(id="hot", groupBy=GroupBySpec("data_set", "period", "l_returnflag"),
+                    dataValueMappings=[DataValueMapping("ElQuantity", "quantity")])
+    return report_values_long(li, report, order_by=["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+HOT_PART = 1000
+
+
+@query("dvs_hot_set", oracle=f"""
+WITH leaves AS (
+  SELECT l_returnflag AS orgUnit, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS value,
+         row_number() OVER (PARTITION BY l_returnflag
+                            ORDER BY l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)) - 1 AS n
+  FROM lineitem)
+SELECT orgUnit, CAST(floor(n / {HOT_PART}) AS INTEGER) AS chunk, COUNT(*) AS n_values,
+       md5(string_agg('ElQuantity=' || value, ';' ORDER BY n)) AS values_md5
+FROM leaves GROUP BY ALL
+""")
+def dvs_hot_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, O3: sets of any size, here asked for in parts: exact bound, leaf order kept, equal leaves spread."""
+    sets = nest_dvs(hot_long(spark, sf_dir), HOT_PART)
+    return sets.select("orgUnit", "chunk", F.size("dataValues").cast("long").alias("n_values"),
+                       F.md5(values_text(F.col("dataValues"))).alias("values_md5"))

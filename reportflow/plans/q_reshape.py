@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportflow.functions.expr import elvis, resolve_placeholders, string_value_of
-from reportflow.operators.reshape import (ElementPair, default_transform, element_leaves,
+from reportflow.operators.reshape import (ElementPair, custom_transform, default_transform, element_leaves,
                                           ensure_complete_date, example_script, multi_element_unpivot)
 from reportflow.plans import testdata as td
-from reportflow.plans.q_delivery import rollup_sets
-from reportflow.plans.q_reports import DUCK_ROLLUP
+from reportflow.plans.q_delivery import rollup_long
+from reportflow.plans.q_reports import DUCK_ROLLUP_ALL
 from reportflow.plans.registry import query
 from reportflow.sources.tables import table
 
@@ -22,11 +22,11 @@ AS_OF = "2026-02-15"
 SELECT 'line-returns' AS report_id, data_set AS dataSet, period, org_unit AS orgUnit,
        CASE WHEN period < '199701' THEN strftime(last_day(strptime(period, '%Y%m')), '%Y-%m-%d')
             ELSE '{AS_OF}' END AS completeDate
-FROM ({DUCK_ROLLUP})
+FROM ({DUCK_ROLLUP_ALL})
 """)
 def complete_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sets keep their completeDate; a missing one is set to the run date."""
-    sets = rollup_sets(spark, sf_dir)
+    sets = rollup_long(spark, sf_dir).select("report_id", "dataSet", "period", "orgUnit").distinct()
     sets = sets.withColumn("completeDate", F.when(
         F.col("period") < "199701",
         F.date_format(F.last_day(F.to_date("period", "yyyyMM")), "yyyy-MM-dd")))
@@ -199,3 +199,16 @@ def resolve_placeholders_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", resolve_placeholders(tpl, PLACEHOLDER_VARS).alias("resolved"),
                      resolve_placeholders(tpl, PLACEHOLDER_VARS, allow_default=True)
                      .alias("resolved_with_default"))
+
+
+@query("custom_transform_fields", oracle="""
+SELECT event_id, 'DsEvents' AS dataSet, strftime(ts, '%Y%m') AS period,
+       CASE WHEN value > 400 THEN 'large' ELSE 'small' END AS size_class, value * 2 AS twice
+FROM events
+""")
+def custom_transform_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: a user transform given as output fields with SQL expressions."""
+    return custom_transform(table(spark, sf_dir, "events"), {
+        "dataSet": "'DsEvents'", "period": "date_format(ts, 'yyyyMM')",
+        "size_class": "CASE WHEN value > 400 THEN 'large' ELSE 'small' END", "twice": F.col("value") * 2},
+        keep=["event_id"])

@@ -13,11 +13,12 @@ from reportflow.operators.state import fold_sync_state, run_event, sync_watermar
 from reportflow.plans import testdata as td
 from reportflow.plans.q_reports import DUCK_ROLLUP
 from reportflow.plans.registry import query
-from reportflow.plans.report_run import report_rows
+from reportflow.plans.report_run import Arrivals, report_rows
 from reportflow.plans.pipeline import run_reports
 from reportflow.plans.q_reports import DUCK_EVENT_LEAVES
 from reportflow.plans.shared import run_shared_report
 from reportflow.sources.reports import Report
+from reportflow.sources import state_store as store
 from reportflow.sources.state_store import read_values
 from reportflow.streaming.stream import stream_root
 from reportflow.sources.tables import table
@@ -113,6 +114,7 @@ def sync_watermarks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.date_format("effective_start", TS_FMT).alias("effective_start"))
 
 
+PIPE_START = td.ROLLUP_START
 MID_MONTH = datetime(1996, 1, 15, 12, 0, tzinfo=timezone.utc)
 
 
@@ -196,29 +198,105 @@ def shared_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values_long(rows, r.groupBy, r.dataValueMappings, report_id=F.col("report_id"))
 
 
-PIPE_START = datetime(1990, 1, 1, tzinfo=timezone.utc)
+ARRIVED_SQL = "SELECT *, l_shipdate + make_dt_interval(CAST(l_orderkey % 75 AS INT)) AS arrived_at FROM lineitem"
 
 
-@query("pipeline_run", oracle=f"""
+@query("incremental_late_rows", oracle=f"""
+WITH touched AS (
+  SELECT DISTINCT date_trunc('month', l_shipdate) AS m FROM lineitem
+  WHERE l_shipdate + to_days(CAST(l_orderkey % 75 AS INTEGER)) > TIMESTAMP '2001-08-20 00:00:00')
+SELECT v.* FROM ({duck_rollup_values("TIMESTAMP '1990-01-01 00:00:00'")}) v
+WHERE period IN (SELECT strftime(m, '%Y%m') FROM touched)
+""")
+def incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly the periods of the rows that arrived since the checkpoint, re-aggregated whole."""
+    td.sources(spark, sf_dir)
+    spark.sql(ARRIVED_SQL).createOrReplaceTempView("lineitem")
+    try:
+        rows = report_rows(spark, td.ROLLUP_REPORT, datetime(2001, 8, 20, tzinfo=timezone.utc),
+                           arrivals=Arrivals("lineitem", "l_shipdate", "arrived_at"), default_start=PIPE_START)
+        return report_values_long(rows, td.ROLLUP_REPORT)
+    finally:
+        td.sources(spark, sf_dir)
+
+
+@query("state_snapshot", oracle=duck_fold() + f"""
+SELECT report_id, report_name, strftime(last_sync_timestamp, '{DUCK_TS_FMT}') AS last_sync_timestamp,
+       sync_status, records_synced, error_message,
+       strftime(created_at, '{DUCK_TS_FMT}') AS created_at, strftime(updated_at, '{DUCK_TS_FMT}') AS updated_at
+FROM agg
+""")
+def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log appended out of order, with a snapshot in between, gives the state of the whole log."""
+    root = stream_root(spark, "state")
+    events, late = run_log(spark, sf_dir), F.col("seq") % 3 == 0
+    store.append_run_events(events.filter(~late & (F.col("event_ts") >= F.lit("2024-01-15"))), root)
+    store.snapshot_state(spark, root, td.DEFAULT_START)
+    store.append_run_events(events.filter(~late & (F.col("event_ts") < F.lit("2024-01-15"))), root)
+    store.snapshot_state(spark, root, td.DEFAULT_START)
+    store.append_run_events(events.filter(late), root)
+    st = store.snapshot_state(spark, root, td.DEFAULT_START)
+    return st.select("report_id", "report_name",
+                     F.date_format("last_sync_timestamp", TS_FMT).alias("last_sync_timestamp"),
+                     "sync_status", "records_synced", "error_message",
+                     F.date_format("created_at", TS_FMT).alias("created_at"),
+                     F.date_format("updated_at", TS_FMT).alias("updated_at"))
+
+
+DUCK_PIPELINE_VALUES = f"""
 WITH v AS (
-  SELECT * FROM ({duck_rollup_values("TIMESTAMP '1990-01-01 00:00:00'")})
+  SELECT *, 0 AS event_id, TIMESTAMP '1990-01-01 00:00:00' AS ts FROM ({duck_rollup_values("TIMESTAMP '1990-01-01 00:00:00'")})
   UNION ALL
-  SELECT report_id, dataSet, period, orgUnit, dataElement, value, categoryOptionCombo, mapping_idx
-  FROM ({DUCK_EVENT_LEAVES.replace("WHERE ts > TIMESTAMP '2024-01-15 00:00:00'", "")}))
-SELECT report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo,
-       max(value) AS value, max(mapping_idx) AS mapping_idx
-FROM v GROUP BY report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo
-""")
-def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1 end to end, twice: state, recompute run, upsert, rejects, JSON outbox, run log."""
+  SELECT report_id, dataSet, period, orgUnit, dataElement, value, categoryOptionCombo, mapping_idx, event_id, ts
+  FROM ({DUCK_EVENT_LEAVES}))
+SELECT report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo, value, mapping_idx
+FROM v
+QUALIFY row_number() OVER (PARTITION BY report_id, dataSet, period, orgUnit, dataElement, categoryOptionCombo
+                           ORDER BY mapping_idx DESC, ts DESC, event_id DESC) = 1
+"""
+BLANK_REPORT = Report(id="no-sql", name="blank", sql="  ")
+
+
+def _pipeline_values(spark: SparkSession, sf_dir: str, runs: list[datetime]) -> DataFrame:
     td.sources(spark, sf_dir)
     root = stream_root(spark, "pipeline")
-    blank = Report(id="no-sql", name="blank", sql="  ")
-    reports = [td.ROLLUP_REPORT, td.EVENTS_REPORT, blank]
-    order = {td.EVENTS_REPORT.id: td.EVENTS_ORDER}
-    run_reports(spark, reports, root, datetime(1998, 6, 15, tzinfo=timezone.utc),
-                default_start=PIPE_START, order_by=order)
-    run_reports(spark, reports, root, datetime(2002, 1, 1, tzinfo=timezone.utc),
-                default_start=PIPE_START, order_by=order)
+    for as_of in runs:
+        run_reports(spark, [td.ROLLUP_REPORT, td.EVENTS_REPORT, BLANK_REPORT], root, as_of, default_start=PIPE_START,
+                    order_by={td.EVENTS_REPORT.id: td.EVENTS_ORDER}, variables={"START_DATE": "1990-01-01"})
     return read_values(spark, root).select("report_id", "dataSet", "period", "orgUnit", "dataElement",
                                            "categoryOptionCombo", "value", "mapping_idx")
+
+
+@query("pipeline_run", oracle=DUCK_PIPELINE_VALUES)
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 end to end, twice: state, recompute run, upsert (the last row sent wins), rejects, JSON outbox, run log."""
+    return _pipeline_values(spark, sf_dir, [datetime(1998, 6, 15, tzinfo=timezone.utc),
+                                            datetime(2002, 1, 1, tzinfo=timezone.utc)])
+
+
+@query("pipeline_first_run", oracle=DUCK_PIPELINE_VALUES)
+def pipeline_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load merges too: one value for each cell."""
+    return _pipeline_values(spark, sf_dir, [datetime(2002, 1, 1, tzinfo=timezone.utc)])
+
+
+@query("pipeline_failure", oracle=f"""
+WITH l AS ({DUCK_EVENT_LEAVES})
+SELECT 'user-events' AS report_id, 'SUCCESS' AS sync_status,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT dataSet, period, orgUnit FROM l)) AS records_synced,
+       false AS has_error, 0 AS dead_letters
+UNION ALL SELECT 'broken', 'FAILED', NULL, true, 1
+""")
+def pipeline_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: a report that fails over the data leaves a dead letter and FAILED; the other report succeeds."""
+    td.sources(spark, sf_dir)
+    root = stream_root(spark, "pipeline")
+    broken = Report(id="broken", name="broken", groupBy=td.EVENTS_REPORT.groupBy,
+                    dataValueMappings=td.EVENTS_REPORT.dataValueMappings,
+                    sql=td.EVENTS_SQL.replace("event_id, ts,", "CAST(event_type AS INT) AS event_id, ts,"))
+    st = run_reports(spark, [broken, td.EVENTS_REPORT], root, datetime(2024, 2, 1, tzinfo=timezone.utc),
+                     order_by={td.EVENTS_REPORT.id: td.EVENTS_ORDER})
+    letters = spark.read.parquet(f"{root}/dead_letters").groupBy("report_id").agg(F.count("*").cast("int").alias("n"))
+    return st.join(letters, "report_id", "left").select(
+        "report_id", "sync_status", "records_synced", F.col("error_message").isNotNull().alias("has_error"),
+        F.coalesce("n", F.lit(0)).alias("dead_letters"))

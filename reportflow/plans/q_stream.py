@@ -18,7 +18,7 @@ from reportflow.streaming.stream import stream_report, stream_root
 
 @query("stream_values", oracle=f"""
 SELECT report_id, dataSet, period, orgUnit, dataElement, value, categoryOptionCombo, mapping_idx, event_id
-FROM ({DUCK_EVENT_LEAVES.replace("WHERE ts > TIMESTAMP '2024-01-15 00:00:00'", "")})
+FROM ({DUCK_EVENT_LEAVES})
 """)
 def stream_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events report as a micro-batch stream; its values equal the batch run's."""
@@ -47,3 +47,31 @@ def stream_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise RuntimeError(str(q.exception()))
     return read_values(spark, sink).select("report_id", "dataSet", "period", "orgUnit", "dataElement",
                                            "value", "categoryOptionCombo", "mapping_idx")
+
+
+@query("stream_late_file", oracle=duck_rollup_values("TIMESTAMP '1990-01-01 00:00:00'"))
+def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several files in batches of their own, one with late rows of old months: equals the full recompute."""
+    td.sources(spark, sf_dir)
+    whole = table(spark, sf_dir, "lineitem")
+    sink = stream_root(spark, "rollup-late")
+    files, cut = os.path.join(sink, "incoming"), F.lit("1998-01-01").cast("timestamp_ntz")
+    late = (F.col("l_shipdate") < cut) & (F.col("l_orderkey") % 7 == 0)
+    whole.filter((F.col("l_shipdate") < cut) & ~late).write.parquet(os.path.join(files, "a"))
+    whole.filter(F.col("l_shipdate") >= cut).write.parquet(os.path.join(files, "b"))
+    report = td.ROLLUP_REPORT
+    try:
+        for step in ("first", "late"):
+            if step == "late":
+                whole.filter(late).write.parquet(os.path.join(files, "c"))
+            # The report's fact view holds what has arrived so far.
+            spark.read.option("recursiveFileLookup", True).parquet(files).createOrReplaceTempView("lineitem")
+            q = stream_report(spark, f"{files}/*", whole.schema, report, view="lineitem", sink=sink,
+                              time_col="l_shipdate", glob="part-*.parquet", scope="recompute", max_files_per_trigger=4)
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    finally:
+        td.sources(spark, sf_dir)
+    return read_values(spark, sink).select("report_id", "dataSet", "period", "orgUnit", "dataElement",
+                                           "value", "categoryOptionCombo", "mapping_idx")

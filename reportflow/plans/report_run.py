@@ -1,25 +1,75 @@
-"""Reading a report from its checkpoint: delta or recompute bound, then the report SQL.
+"""Reading a report from its checkpoint: delta or recompute, then the report SQL.
 
 Modes (I3, T13): ``delta`` reads rows strictly after the checkpoint, as the
 original did; downstream the receiver overwrites each (period, orgUnit) cell,
 so a period that was already partly sent shrinks to the count of its new rows.
-``recompute`` (default) binds the checkpoint to the start of its period
-instead: every period touched since the checkpoint is read whole and
-re-aggregated, and the upsert then replaces the cells with full totals. For
-monthly periods this is exact: a row of any later month is newer than the
-checkpoint, so only the checkpoint's own month needs widening. It stays a pure
-range predicate on the event time, so it is pushed into the scan (and prunes
-partitions when facts are partitioned by period) instead of needing a join.
+``recompute`` (default) re-aggregates every touched period whole, and the
+upsert then replaces the cells with full totals. Which periods are touched:
+
+* With ``arrivals`` (the fact view, its event time and the column that says when
+  a row arrived) they are exactly the periods of the rows that arrived after the
+  checkpoint, so a row of an old period that lands late is counted too. The view
+  is cut to those periods' time ranges, which are pushed into the scan.
+* Without an arrival column no table can tell a late row from an old one. Then
+  the bound is the start of the checkpoint's period: exact as long as rows land
+  in the period they happened in or later.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from reportflow.functions.expr import qcol
 from reportflow.sources.reports import Report
-from reportflow.sources.tables import report_params, run_report_sql
+from reportflow.sources.tables import DEFAULT_SYNC_START, report_params, run_report_sql
+
+
+@dataclass(frozen=True)
+class Arrivals:
+    """The fact view of a report, its event time, and the column saying when a row arrived."""
+
+    view: str
+    time_col: str
+    arrived_col: str
+
+
+def touched_months(rows: DataFrame, time_col: str) -> list[datetime]:
+    """Starts of the months that the rows' event times fall in: a few values, whatever the rows' number."""
+    months = rows.select(F.date_trunc("month", qcol(time_col)).cast("timestamp_ntz").alias("m")).distinct()
+    return sorted(r["m"] for r in months.collect() if r["m"] is not None)
+
+
+def in_months(time_col: str, months: Sequence[datetime]) -> F.Column:
+    """Event time in one of the months, as ranges that a scan can take; neighbouring months are one range."""
+    ranges: list[list[datetime]] = []
+    for m in months:
+        end = (m + timedelta(days=32)).replace(day=1)
+        if ranges and ranges[-1][1] == m:
+            ranges[-1][1] = end
+        else:
+            ranges.append([m, end])
+    ts = qcol(time_col)
+    lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+    return reduce(or_, [(ts >= lit(a)) & (ts < lit(b)) for a, b in ranges], F.lit(False))
+
+
+@contextmanager
+def restricted_view(spark: SparkSession, view: str, keep: F.Column) -> Iterator[None]:
+    """Queries analysed inside see just the rows of ``view`` that ``keep`` holds for."""
+    whole = spark.table(view)
+    whole.filter(keep).createOrReplaceTempView(view)
+    try:
+        yield
+    finally:
+        whole.createOrReplaceTempView(view)
 
 
 def recompute_start(checkpoint: datetime) -> datetime:
@@ -31,12 +81,28 @@ def recompute_start(checkpoint: datetime) -> datetime:
     return month_start - timedelta(microseconds=1)
 
 
-def report_rows(spark: SparkSession, report: Report, checkpoint: datetime,
-                mode: str = "recompute", base_dir: str | None = None) -> DataFrame:
-    if mode not in ("delta", "recompute"):
-        raise ValueError(f"mode must be 'delta' or 'recompute', got {mode!r}")
+def month_rows(spark: SparkSession, report: Report, view: str, time_col: str, months: Sequence[datetime],
+               start: datetime = DEFAULT_SYNC_START, base_dir: str | None = None) -> DataFrame:
+    """The report over whole months of its fact view; ``start`` is the report's default start."""
+    with restricted_view(spark, view, in_months(time_col, months)):
+        return run_report_sql(spark, _sql(report, base_dir), report_params(start, report.parameters))
+
+
+def _sql(report: Report, base_dir: str | None) -> str:
     sql = report.resolved_sql(base_dir)
     if sql is None or not sql.strip():
         raise ValueError(f"report {report.id!r} has no SQL")
+    return sql
+
+
+def report_rows(spark: SparkSession, report: Report, checkpoint: datetime,
+                mode: str = "recompute", base_dir: str | None = None, arrivals: Arrivals | None = None,
+                default_start: datetime = DEFAULT_SYNC_START) -> DataFrame:
+    if mode not in ("delta", "recompute"):
+        raise ValueError(f"mode must be 'delta' or 'recompute', got {mode!r}")
+    if mode == "recompute" and arrivals is not None:
+        new = spark.table(arrivals.view).filter(qcol(arrivals.arrived_col) > F.lit(checkpoint))
+        return month_rows(spark, report, arrivals.view, arrivals.time_col, touched_months(new, arrivals.time_col),
+                          default_start, base_dir)
     bound = checkpoint if mode == "delta" else recompute_start(checkpoint)
-    return run_report_sql(spark, sql, report_params(bound, report.parameters))
+    return run_report_sql(spark, _sql(report, base_dir), report_params(bound, report.parameters))

@@ -19,14 +19,15 @@ from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report
 from reportflow.sources.tables import DEFAULT_SYNC_START as DEFAULT_START
 from reportflow.sources.tables import register_sources, table
 
-# Checkpoints that split the test data (lineitem 1995-2001, events January 2024).
+# A checkpoint inside the test data (lineitem 1995-2001) for the incremental queries.
 ROLLUP_CHECKPOINT = datetime(1996, 1, 1, tzinfo=timezone.utc)
-EVENTS_CHECKPOINT = datetime(2024, 1, 15, tzinfo=timezone.utc)
+# A start before all data: every other query runs over whole tables.
+ROLLUP_START = datetime(1990, 1, 1, tzinfo=timezone.utc)
 
 ROLLUP_SQL = """
 SELECT
   'DsLineReturns' AS data_set,
-  date_format(CAST(l.l_shipdate AS TIMESTAMP), 'yyyyMM') AS period,
+  TO_CHAR(CAST(l.l_shipdate AS TIMESTAMP), 'YYYYMM') AS period, -- TO_CHAR as the reports' database has it
   n.n_name AS org_unit,
   COUNT(*) AS performed,
   COUNT(CASE WHEN l.l_quantity > 25.0 THEN 1 END) AS positive
@@ -36,7 +37,7 @@ JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE l.l_shipdate > :#lastSyncTimestamp
   AND l.l_returnflag = 'R'
-GROUP BY date_format(CAST(l.l_shipdate AS TIMESTAMP), 'yyyyMM'), n.n_name
+GROUP BY TO_CHAR(CAST(l.l_shipdate AS TIMESTAMP), 'YYYYMM'), n.n_name
 ORDER BY period
 """
 
@@ -76,6 +77,8 @@ EVENTS_REPORT = Report(
                          categoryOptionCombo="CocKind", filter=None),
         DataValueMapping(name="broken filter", dataElement="ElBroken", valueColumn="value",
                          filter="no_such_column > 1"),
+        DataValueMapping(name="failing filter", dataElement="ElFails", valueColumn="value",
+                         filter="CAST(event_type AS INT) > 0"),
         DataValueMapping(name="not boolean", dataElement="ElNotBool", valueColumn="value",
                          filter="value + 1"),
     ])

@@ -74,6 +74,9 @@ class Report:
                 pass
         return self.sql
 
+    def to_json(self) -> str:
+        return json.dumps(self.to_row(), sort_keys=True)
+
     def to_row(self) -> dict[str, Any]:
         return {
             "id": self.id, "name": self.name, "description": self.description,
@@ -92,14 +95,25 @@ def reports_frame(spark: SparkSession, reports: list[Report]) -> DataFrame:
 
 
 def read_reports_json(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per file holding ``{"reports": [...]}``; ``pos`` keeps the order."""
+    """One JSON document per file holding ``{"reports": [...]}``; ``pos`` keeps the order.
+
+    A file that is not such a document, or a field of another type, raises; it never reads as no reports.
+    """
     raw = spark.read.option("multiLine", True).text(path, wholetext=True)
-    parsed = raw.select(F.from_json("value", "struct<reports: array<%s>>"
-                                    % schemas.REPORTS.simpleString()).alias("doc"))
+    parsed = raw.select(F.from_json("value", "struct<reports: array<%s>>" % schemas.REPORTS.simpleString(),
+                                    {"mode": "FAILFAST"}).alias("doc"))
+    if not parsed.filter(F.col("doc.reports").isNull()).isEmpty():
+        raise ValueError(f"no list of reports in a definitions file under {path}")
     return (parsed.select(F.posexplode("doc.reports").alias("pos", "r"))
             .select("r.*", "pos"))
 
 
+def to_reports(reports: DataFrame) -> list[Report]:
+    """A ``reports`` table as objects, by position (configuration-sized)."""
+    rows = reports.orderBy("pos").collect() if "pos" in reports.columns else reports.collect()
+    return [Report.from_dict(r.asDict(recursive=True)) for r in rows]
+
+
 def validate_reports(reports: DataFrame) -> DataFrame:
     """Reject null or repeated ids (the original kept the last silently)."""
     bad = (reports.groupBy("id").agg(F.count("*").alias("n"))

@@ -9,10 +9,14 @@ report. Two scopes:
   that batch's partition, so a replayed batch after a lost executor or driver
   restart gives the same tables.
 * ``recompute``: for aggregating reports a micro-batch holds only part of a
-  period (T13). The batch only says which periods changed: its smallest event
-  time is turned into a period-start bound and the SQL re-aggregates those
-  periods from the full source table, then the values are upserted by cell.
-  A replay recomputes the same totals, so this is idempotent too.
+  period (T13). The batch only says which periods changed: the SQL re-aggregates
+  exactly those months from the full source table (their time ranges are pushed
+  into its scan), then the values are upserted by cell. A late file of an old
+  month re-reads that month only. A replay recomputes the same totals, so this
+  is idempotent too.
+
+Run events go to the same log as those of scheduled runs, one append per batch;
+``records`` counts sets as everywhere (T15).
 
 Progress lives in the stream's checkpoint folder, which must be on shared storage.
 """
@@ -29,13 +33,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from reportflow.operators.delivery import run_counts
 from reportflow.operators.dvs import rejected_rows, report_values_long
 from reportflow.operators.state import run_event
-from reportflow.plans.report_run import recompute_start
+from reportflow.plans.report_run import month_rows, restricted_view, touched_months
 from reportflow.session import checkpoint_dir
 from reportflow.sources import state_store
 from reportflow.sources.reports import Report
-from reportflow.sources.tables import DEFAULT_SYNC_START, report_params, run_report_sql
+from reportflow.sources.tables import report_params, run_report_sql
+
+#: A bound that no event time is before.
+BEFORE_ALL = datetime(1, 1, 2, tzinfo=timezone.utc)
 
 
 def stream_root(spark: SparkSession, name: str = "stream") -> str:
@@ -63,31 +71,31 @@ def report_batch_writer(report: Report, view: str, sink: str, time_col: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stats = batch.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"),
-                          F.count(F.lit(1)).alias("n")).first()
-        if stats["n"] == 0:
+        if batch.isEmpty():
             return
+        newest = _as_utc(batch.agg(F.max(time_col)).first()[0])
         if scope == "batch":
-            batch.createOrReplaceTempView(view)
-            bound = DEFAULT_SYNC_START
+            # All rows of the batch count, however old: the bound is before any time.
+            with restricted_view(spark, view, F.lit(True)):
+                batch.createOrReplaceTempView(view)
+                rows = run_report_sql(spark, report.sql, report_params(BEFORE_ALL, report.parameters))
         else:
-            bound = recompute_start(_as_utc(stats["lo"]))
-        rows = run_report_sql(spark, report.sql, report_params(bound, report.parameters)).persist()
+            rows = month_rows(spark, report, view, time_col, touched_months(batch, time_col), BEFORE_ALL)
+        rows = rows.persist()
         now = datetime.now(timezone.utc)
         try:
             long = report_values_long(rows, report, order_by=order_by)
             if scope == "batch":
                 _overwrite_partition(long, os.path.join(sink, "data_values"), batch_id)
             else:
-                values = long.drop("row_order") if "row_order" in long.columns else long
-                state_store.upsert_values(spark, values.withColumn("load_ts", F.lit(now)), sink)
+                state_store.upsert_values(spark, long.withColumn("load_ts", F.lit(now)), sink)
             _overwrite_partition(rejected_rows(rows, report.groupBy, report_id=report.id),
                                  os.path.join(sink, "rejects"), batch_id)
-            ev = spark.range(1).select(*run_event(
+            counts = run_counts(rows.withColumn("report_id", F.lit(report.id)), long).first()
+            state_store.append_run_events(spark.range(1).select(*run_event(
                 F.lit(report.id), F.lit(batch_id), F.lit(now), "SUCCESS",
-                report_name=F.lit(report.name), records=F.lit(int(stats["n"])),
-                checkpoint=F.lit(_as_utc(stats["hi"])).cast("timestamp")))
-            _overwrite_partition(ev, os.path.join(sink, "run_events"), batch_id)
+                report_name=F.lit(report.name), records=F.lit(counts["records_synced"] if counts else 0),
+                checkpoint=F.lit(newest).cast("timestamp"))), sink, name=f"batch-{report.id}-{batch_id:020d}")
         finally:
             rows.unpersist()
     return write

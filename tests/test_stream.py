@@ -2,9 +2,11 @@
 
 import os
 
+from pyspark.sql import functions as F
 
 from reportflow.operators.dvs import report_values_long
 from reportflow.plans import testdata as td
+from reportflow.sources.state_store import read_run_events, snapshot_state
 from reportflow.sources.tables import register_sources, report_params, run_report_sql, table
 from reportflow.streaming.stream import report_batch_writer, stream_report
 
@@ -31,5 +33,19 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_out):
     writer = report_batch_writer(td.EVENTS_REPORT, "events", sink, "ts", td.EVENTS_ORDER)
     writer(table(spark, SF, "events"), 0)
     assert spark.read.parquet(os.path.join(sink, "data_values")).count() == before
-    ev = spark.read.parquet(os.path.join(sink, "run_events")).collect()
-    assert len(ev) == 1 and ev[0]["event"] == "SUCCESS" and ev[0]["records"] == rows.count()
+    ev = read_run_events(spark, sink).collect()
+    sets = batch.select("dataSet", "period", "orgUnit").distinct().count()
+    assert len(ev) == 1 and ev[0]["event"] == "SUCCESS" and ev[0]["records"] == sets
+    assert snapshot_state(spark, sink, td.DEFAULT_START).first()["sync_status"] == "SUCCESS"
+
+
+def test_a_batch_counts_rows_of_any_age(spark, tmp_out):
+    """Rows before the default start are part of a batch, too."""
+    register_sources(spark, SF)
+    ev = table(spark, SF, "events")
+    old = ev.limit(3).withColumn("ts", F.lit("1999-05-01 00:00:00").cast("timestamp_ntz"))
+    sink = os.path.join(tmp_out, "sink")
+    report_batch_writer(td.EVENTS_REPORT, "events", sink, "ts", td.EVENTS_ORDER)(old, 0)
+    kinds = spark.read.parquet(os.path.join(sink, "data_values")).filter("dataElement = 'ElKind'")
+    assert kinds.count() == 3 and kinds.filter("period = '199905'").count() == 3
+    register_sources(spark, SF)
