@@ -72,14 +72,14 @@ def window_entropies(run: str, size: int = WINDOW) -> list[float]:
     total = 0.0
     out = []
     for k, c in enumerate(run):
-        n = counts.get(c, 0)
-        total += _C_LOG_C[n + 1] - _C_LOG_C[n]
-        counts[c] = n + 1
         if k >= size:
             old = run[k - size]
             n = counts[old]
             total += _C_LOG_C[n - 1] - _C_LOG_C[n]
             counts[old] = n - 1
+        n = counts.get(c, 0)
+        total += _C_LOG_C[n + 1] - _C_LOG_C[n]
+        counts[c] = n + 1
         if k >= size - 1:
             out.append(math.log2(size) - total / size)
     return out
