@@ -79,12 +79,12 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op3_exact_topk"] = """
 WITH vecs AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM vecs q JOIN vecs c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 20 = 0
 ), ranked AS (
