@@ -8,7 +8,8 @@ Mentions that the patterns found are observed; loopy sum-product messages carry
 a phone number that is later written without its country sign is found by its earlier form. Base spans always stay;
 the field adds mentions whose kind has a belief over one half and that touch no base span.
 
-The weights are fitted on the mentions of at most ``max_docs`` documents (a documented bound; the first 2,000 mentions
+The weights tell matches from the same mentions without their telling mark, so a shape alone seldom counts. They are
+fitted on the mentions of at most ``max_docs`` documents (a documented bound; the first 2,000 mentions
 of one document in this sample), labelled by the patterns, and drawn back to a prior of "other". Everything else covers all rows and whole texts.
 
 Defined results: null and empty texts have no spans; repeated rows each get a result; an empty table gives no rows.
@@ -45,6 +46,8 @@ _DIGIT = re.compile(r"[0-9]")
 
 FEATURES = ("bias", "at", "written_at", "domain", "no_local", "digits_7_8", "digits_9_12", "digits_13_15", "digits_16",
             "digits_17_19", "plus", "paren", "dash", "space", "dots_3", "octets", "luhn")
+#: Marks that make a mention a match by the patterns, and what it has without them.
+TELLING = {1: 2, 10: None, 15: None, 16: None}
 
 
 def luhn(digits: str) -> bool:
@@ -176,8 +179,11 @@ class Field:
     def fit(cls, rows: list[tuple[list[list[int]], list[int], list[tuple[int, int]], list[tuple[int, int]]]]) -> Field:
         """rows: for each document its mentions' features, weak labels, chain edges and skip edges."""
         labels = OTHER + 1
-        x = np.array([np.isin(np.arange(len(FEATURES)), f) for marks, *_ in rows for f in marks], float).reshape(-1, len(FEATURES))
-        y = np.array([v for _, kinds, *_ in rows for v in kinds], int)
+        seen = [(f, v) for marks, kinds, *_ in rows for f, v in zip(marks, kinds, strict=True)]
+        # The same mention without its telling mark is no match by itself; only its context may say otherwise.
+        seen += [([TELLING.get(k, k) for k in f if TELLING.get(k, k) is not None], OTHER) for f, v in seen if v != OTHER]
+        x = np.array([np.isin(np.arange(len(FEATURES)), f) for f, _ in seen], float).reshape(-1, len(FEATURES))
+        y = np.array([v for _, v in seen], int)
         shape = cls.prior()
         if len(y):
             target = np.eye(labels)[y]
