@@ -33,6 +33,32 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+ORACLES["op10_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+                        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+    FROM d
+), x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+e AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (
+    SELECT doc_id, doc_id AS r FROM s
+    UNION
+    SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r) AS component_id, s.doc_id = min(r) AS kept
+FROM s JOIN reach USING (doc_id) GROUP BY s.doc_id, s.s
+"""
+
+
 @_query
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: pattern spans and those that the field adds."""
