@@ -141,9 +141,9 @@ class Index:
             F.first("pivot").alias("pivot"), F.min("distance").alias("low"), F.max("distance").alias("high")).checkpoint()
 
     def _scored(self, pairs: DataFrame, k: int) -> DataFrame:
-        """query_id, vec_id, score of the k best of every (query, annulus) pair that reach the query's floor.
+        """query_id, vec_id, score of the k best of every (query, annulus) pair that are better than the query's floor.
 
-        pairs: query_id, qv, block, floor, annulus. Each (annulus, block) group holds one annulus and one query block.
+        pairs: query_id, qv, block, floor, floor_id, annulus; floor_id settles ties of score. Each (annulus, block) group holds one annulus and one query block.
         """
         dims = self.dims
         blocks = pairs.select(F.col("annulus").alias("of"), F.col("block").alias("for")).distinct()
@@ -158,11 +158,12 @@ class Index:
             out_q, out_v, out_s = [], [], []
             queries = right.column("query_id").combine_chunks().to_numpy()
             floors = right.column("floor").combine_chunks().to_numpy()
+            floor_ids = right.column("floor_id").combine_chunks().to_numpy()
             q = _matrix(right.column("qv").combine_chunks(), dims)
             for at in range(0, len(queries), 256):
                 found = np.rint(q[at:at + 256] @ x.T).astype(np.int64)
-                for query, low, scores in zip(queries[at:at + 256], floors[at:at + 256], found, strict=True):
-                    hit = np.flatnonzero((scores >= low) & (ids != query))
+                for query, low, low_id, scores in zip(queries[at:at + 256], floors[at:at + 256], floor_ids[at:at + 256], found, strict=True):
+                    hit = np.flatnonzero(((scores > low) | ((scores == low) & (ids < low_id))) & (ids != query))
                     if len(hit) > k:  # the k best by score, then by smaller id
                         hit = hit[np.lexsort((ids[hit], -scores[hit]))[:k]]
                     out_q.append(np.full(len(hit), query))
@@ -181,11 +182,11 @@ class Index:
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
         # The query's own annulus and its neighbours by distance give a first k-th best score.
-        near = asked.select("query_id", "qv", "block", F.lit(LOWEST).alias("floor"), F.explode(F.array(
+        near = asked.select("query_id", "qv", "block", F.lit(LOWEST).alias("floor"), F.lit(0).cast("long").alias("floor_id"), F.explode(F.array(
             *[F.col("annulus") + step for step in range(-NEAR_ANNULI, NEAR_ANNULI + 1)])).alias("annulus"))
         seeds = self._scored(near, k).checkpoint()
         floors = (seeds.withColumn("n", F.row_number().over(best)).where(F.col("n") == k)
-                  .select("query_id", F.col("score").alias("floor")))
+                  .select("query_id", F.col("score").alias("floor"), F.col("vec_id").alias("floor_id")))
 
         def spread(batches):
             """The distances of each query to the pivots, which are few and fixed."""
@@ -201,14 +202,15 @@ class Index:
                      pa.array((d - reach[:, None]).ravel()), pa.array((d + reach[:, None]).ravel())],
                     ["query_id", "pivot", "from", "to"])
 
-        known = asked.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(LOWEST)))
+        known = asked.join(floors, "query_id", "left").withColumns(
+            {"floor": F.coalesce("floor", F.lit(LOWEST)), "floor_id": F.coalesce("floor_id", F.lit(0).cast("long"))})
         rings = known.select("query_id", "qv", "floor").mapInArrow(spread, "query_id long, pivot int, from double, to double")
         bounds = F.broadcast(self.bounds) if self.bounds.count() <= BROADCAST_ANNULI else self.bounds
         # Annuli that the ring around each pivot touches; all others are ruled out by the triangle inequality.
         rest = (rings.join(bounds, "pivot").where((F.col("high") >= F.col("from")) & (F.col("low") <= F.col("to")))
                 .select("query_id", "annulus")
                 .join(near.select("query_id", "annulus"), ["query_id", "annulus"], "left_anti")
-                .join(known.select("query_id", "qv", "block", "floor"), "query_id").checkpoint())
+                .join(known.select("query_id", "qv", "block", "floor", "floor_id"), "query_id").checkpoint())
         found = seeds.unionByName(self._scored(rest, k))
         return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
                 .select("query_id", "rank", "vec_id", "score"))
