@@ -6,7 +6,7 @@ ever cut. Words are maximal runs of bytes other than space and 0x09-0x0D, with A
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +77,14 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = to
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``limit`` bytes of text, so that what is made of them stays small, too."""
+    for batch in batches:
+        _, offsets = bytes_and_offsets(as_strings(batch.column(column)))
+        for a, b in slices(offsets, limit):
+            yield batch.slice(a, b - a)
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for each text the range of its words (length n + 1)."""
     if not len(data):

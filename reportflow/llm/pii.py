@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportflow.llm.common import small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 MAX_DOCS = 4000
@@ -308,7 +310,7 @@ def detect(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     field = fit(docs, max_docs)
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             found = find_spans(batch.column("text").to_pylist(), field)
             counts = [pa.array([sum(s[0] == kind for s in base) for base, _ in found], pa.int64()) for kind in KINDS]
             yield pa.RecordBatch.from_arrays(
@@ -342,7 +344,7 @@ def mask(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     names = docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column("text").to_pylist()
             changed = {k: masked(texts[k], spans) for k, (_, spans) in enumerate(find_spans(texts, field)) if spans}
             columns = {name: batch.column(name) for name in names}

@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportflow.llm.common import small_batches
+
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-STORE_PARTS = 300_000
+STORE_PARTS = 150_000
 STORE_CHARS = 64
-STORE_JOINS = 1_000_000
+STORE_JOINS = 400_000
 _INFINITE = float("inf")
 
 
@@ -243,7 +245,7 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, column: str = "text
 
     def run(batches):
         machine = transducer(content)
-        for batch in batches:
+        for batch in small_batches(batches, column):
             texts = batch.column(column).to_pylist()
             packed = [b"" if t is None else machine.encode_packed(t) for t in texts]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _id_lists(texts, packed)], [*names, into])
@@ -280,7 +282,7 @@ def tokenised(docs: DataFrame, model_path: str = DEFAULT_MODEL, keep: tuple[str,
 
     def run(batches):
         machine = transducer(content)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column("text").to_pylist()
             packed = [b"" if t is None else machine.encode_packed(t) for t in texts]
             same = [None if t is None else machine.decode(array("i", p)) == t.replace(MARK, " ")
