@@ -6,13 +6,28 @@ ever cut. Words are maximal runs of bytes other than space and 0x09-0x0D, with A
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+
+SLICE_BYTES = 1 << 20
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package when the driver was started in another folder.
+
+    On a cluster the package is installed or sent along (``--py-files``); a path that is not there is passed over.
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
 
-SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
