@@ -8,8 +8,10 @@
 3. Each band of ``rows`` bins gives a bucket key. A bucket of m classes gives m - 1 candidate edges, a star around one
    class, never m^2 pairs. Each candidate that the sizes allow is confirmed on the full sets.
 4. Connected components of the confirmed links by alternating large and small stars. Buckets that still hold classes of
-   several components get stars around ``STARS`` other centres, until a round adds no link: so a pair whose first
-   centre was unlike one of the two is still compared.
+   several components get stars around ``STARS`` other centres, until a round adds no link.
+5. What is left is settled exactly: in every bucket all pairs of classes of different components are compared, in blocks
+   of about ``BLOCK_SHINGLES`` shingles a side. Pairs inside a component need no look, so a bucket costs its classes outside
+   its largest component times all its classes, and the stars only make that small. The result does not depend on them.
 
 No bucket has a cap. A pair at the threshold 0.8 shares no bucket with a probability of (1 - 0.8^5)^36, under 1e-6.
 
@@ -34,6 +36,7 @@ BANDS = 36
 ROWS = 5
 MEMBERS_PER_CHUNK = 256
 STARS = 3
+BLOCK_SHINGLES = 1 << 18
 #: Tables of ids and links of up to this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 PROBES = 64
@@ -154,6 +157,80 @@ def confirmed(candidates: DataFrame, n: int, sets: DataFrame, threshold_pct: int
     return rows.select("center", "doc_id", "role", "words").mapInArrow(run, "a long, b long")
 
 
+class Block:
+    """Sets held together, so that the overlaps of another set with all of them are counted at once."""
+
+    def __init__(self, held: list[tuple[int, int, np.ndarray]]):
+        self.reps, self.components = (np.array([h[k] for h in held], np.int64) for k in (0, 1))
+        self.sizes = np.array([len(s) for *_, s in held])
+        hashes = np.concatenate([s for *_, s in held])
+        order = np.argsort(hashes)
+        self.hashes, self.owner = hashes[order], np.repeat(np.arange(len(held)), self.sizes)[order]
+
+    def links(self, rep: int, component: int, s: np.ndarray, threshold_pct: int) -> list[tuple[int, int]]:
+        """The set's links to the held ones of other components, one a component."""
+        at = np.searchsorted(self.hashes, s)
+        n = np.searchsorted(self.hashes, s, side="right") - at
+        ends = np.cumsum(n)
+        both = np.bincount(self.owner[np.repeat(at - ends + n, n) + np.arange(ends[-1])], minlength=len(self.sizes))
+        hit = np.flatnonzero((100 * both >= threshold_pct * (len(s) + self.sizes - both)) & (self.components != component))
+        return [(rep, int(self.reps[hit[k]])) for k in np.unique(self.components[hit], return_index=True)[1]]
+
+
+def settled(own: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
+    """Links (a, b) between the components of a bucket, all its pairs compared on full sets (own: key, rep, n, component).
+
+    A bucket's classes outside its largest component are dealt to the first ``outer`` cells, those inside to ``inner``
+    further ones. A block is an outer cell with itself or a later cell: it holds the first and streams the second.
+    """
+    weights = own.groupBy("key", "component").agg(F.sum("n").alias("n"))
+    cells = (weights.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts"))
+             .where("parts > 1").select("key", F.col("top.component").alias("largest"),
+                                        F.ceil((F.col("n") - F.col("top.n")) / BLOCK_SHINGLES).cast("long").alias("outer"),
+                                        F.ceil(F.col("top.n") / BLOCK_SHINGLES).cast("long").alias("inner")))
+    outside = F.col("component") != F.col("largest")
+    zero, draw = F.lit(0).cast("long"), F.xxhash64("rep", F.lit(5))
+    placed = own.join(cells, "key").select(
+        "key", F.col("rep").alias("doc_id"), "component",
+        F.when(outside, F.pmod(draw, "outer")).otherwise(F.col("outer") + F.pmod(draw, "inner")).alias("cell"),
+        F.explode(F.sequence(zero, F.col("outer") - 1 + F.when(outside, F.col("inner")).otherwise(zero))).alias("other"))
+    loads, n = _sized(placed.select("key", F.least("cell", "other").alias("first"), F.greatest("cell", "other").alias("second"),
+                                    "cell", "doc_id", "component"), ROWS_PER_TASK)
+    rows = (sets.join(_small(loads, n), "doc_id")
+            .repartition("key", "first", "second").sortWithinPartitions("key", "first", "second", "cell", "doc_id"))
+
+    def run(batches):
+        name, held, block = None, [], None
+
+        def inside() -> list[tuple[int, int]]:
+            """The links inside a block of one cell, when all of it is there."""
+            if name is None or name[1] != name[2] or len(held) < 2:
+                return []
+            own_block = Block(held)
+            return [link for h in held for link in own_block.links(*h, threshold_pct)]
+
+        def table(out):
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in ("key", "first", "second", "cell", "doc_id", "component", "words")]
+            for key, first, second, cell, doc, component, words in zip(*columns, strict=True):
+                if (key, first, second) != name:
+                    out += inside()
+                    name, held, block = (key, first, second), [], None
+                one = doc, component, np.frombuffer(words, np.uint64)
+                if cell == first:
+                    held.append(one)
+                elif held:
+                    block = block or Block(held)
+                    out += block.links(*one, threshold_pct)
+            yield table(out)
+        yield table(inside())
+
+    return rows.select("key", "first", "second", "cell", "doc_id", "component", "words").mapInArrow(run, "a long, b long").distinct()
+
+
 def components(edges: DataFrame, n: int) -> DataFrame:
     """node, component (its smallest node) of every node of the ``n`` undirected edges (a, b), by alternating stars."""
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
@@ -185,7 +262,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
     buckets = classes.select("rep", "n", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low")).where("m > 1")
     # Only buckets of several classes go on: one row for each class and bucket.
-    buckets, _ = _sized(buckets.join(shared.select("key"), "key"), ROWS_PER_TASK)
+    buckets, _ = _sized(buckets.join(shared.select("key", "low"), "key").select(
+        "key", "rep", "n", (F.col("rep") == F.col("low")).alias("first")), ROWS_PER_TASK)
     # The sets of the documents in them are made once, not in every round.
     sets, _ = _sized(full_sets(docs, buckets.select(F.col("rep").alias("doc_id")).distinct(), shingle_words), SETS_PER_TASK)
 
@@ -194,12 +272,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
 
     tested, n_tested, found, n_found = None, 0, None, 0
     round_no = 0
-    while True:
+
+    def with_components() -> DataFrame:
         if found is None:
-            own = buckets.withColumn("component", F.col("rep"))
-        else:
-            own = buckets.join(_small(found.withColumnRenamed("node", "rep"), n_found), "rep", "left").withColumn(
-                "component", F.coalesce("component", "rep"))
+            return buckets.withColumn("component", F.col("rep"))
+        return buckets.join(_small(found.withColumnRenamed("node", "rep"), n_found), "rep", "left").withColumn(
+            "component", F.coalesce("component", "rep"))
+
+    def linked_by(links: DataFrame, n_links: int) -> tuple[DataFrame, int]:
+        # What is known of the components goes on as their stars.
+        known = links if found is None else links.unionByName(found.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        return _sized(components(known, n_links + n_found), ROWS_PER_TASK)
+
+    while True:
+        own = with_components()
         # First a star around the smallest class, then some around drawn ones: m - 1 edges each.
         draws = [F.xxhash64("rep", F.lit(round_no * STARS + k)) for k in range(STARS)] if round_no else [F.col("rep")]
         stars = [F.struct(f"c{k}.rep", f"c{k}.n", f"c{k}.component") for k in range(len(draws))]
@@ -217,10 +303,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
         if not n_fresh:
             break
         tested, n_tested = (candidates if tested is None else tested.unionByName(candidates)), n_tested + n
-        # What is known of the components goes on as their stars.
-        known = fresh if found is None else fresh.unionByName(found.select(F.col("component").alias("a"), F.col("node").alias("b")))
-        found, n_found = _sized(components(known, n_fresh + n_found), ROWS_PER_TASK)
+        found, n_found = linked_by(fresh, n_fresh)
         round_no += 1
+    # The first star has compared each bucket's smallest class with all others; all other pairs are settled here.
+    left, n_left = _sized(settled(with_components().where(~F.col("first")), sets, threshold_pct), ROWS_PER_TASK)
+    if n_left:
+        found, n_found = linked_by(left, n_left)
 
     reps = classes.select("set_key", "rep")
     if found is not None:
