@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 
 import helpers as H
-from reportflow.llm import near_dup
+from reportflow.llm import langid, near_dup
 from reportflow.llm.common import shingle_sets
 
 
@@ -29,3 +29,19 @@ def test_pairs_without_the_first_centre(spark, monkeypatch, block):
     got = near_dup.near_duplicates(docs, shingle_words=2, bands=1, rows=1)
     want = {0: 0, **{k: k - (k + 1) % 2 for k in range(1, 9)}}
     assert dict(H.pairs(got, "doc_id", "component_id")) == H.linked_components(sets) == want
+
+
+def test_language_decision_takes_effect(spark):
+    docs = H.documents(spark)
+    model = langid.fit(docs)
+    foreign = ["日本語のテキストです。これは長い文章であり、学習されていない言語です。", "это русский текст о погоде и городе, который мы не видели",
+               "to jest polski tekst którego nie znamy wcale", "qzxv wkjq zzxq vvkw qxqz jjwq kkzv"]
+    rows = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(foreign)], "doc_id long, text string")
+    known = docs.where("lang is not null and text rlike '[A-Za-z]'").select("doc_id", "text")
+    kept = langid.in_known_language(known.unionByName(rows), model)
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == sorted(r[0] for r in known.select("doc_id").collect())
+
+
+def test_without_a_learned_language(spark):
+    rows = spark.createDataFrame([(1, "a text"), (2, "12 !"), (3, None)], "doc_id long, text string")
+    assert H.pairs(langid.in_known_language(rows, langid.LanguageModel()), "doc_id") == [(1,)]
