@@ -3,10 +3,12 @@
 The patterns give the base spans (email, ip, card, phone). The field looks at every mention of a text: words around an
 ``@`` or a written-out ``[at]``, and digit groups of 7 to 19 digits (longer groups are cut at spaces). Its labels are
 the four kinds and "other". Potentials: the mention's shape (log-linear), neighbouring mentions (chain), and equal
-normalised mentions anywhere in the text (skip edges, each mention to the next with its key, so edges stay linear).
-Mentions that the patterns found are observed; loopy sum-product messages carry their labels along the edges, so that
-a phone number that is later written without its country sign is found by its earlier form. Base spans always stay;
-the field adds mentions whose kind has a belief over one half and that touch no base span.
+normalised mentions anywhere in the text (all mentions of a key meet in one node of that key, so edges stay linear and
+no mention is more than two steps from another). Mentions that the patterns found are observed: what they say of their
+key reaches every other mention of it directly, however many there are, and unobserved ones cannot outvote it. Loopy
+sum-product messages run along the other edges until they change no more. So a phone number that is later written
+without its country sign is found by its earlier form, each time. Base spans always stay; the field adds mentions
+whose kind has a belief over one half and that touch no base span.
 
 The weights tell matches from the same mentions without their telling mark, so a shape alone seldom counts. They are
 fitted on the mentions of at most ``max_docs`` documents (a documented bound; the first 2,000 mentions
@@ -31,7 +33,9 @@ from reportflow.llm.common import small_batches
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 MAX_DOCS = 4000
-ROUNDS = 8
+#: Messages are settled when none changes by more; loops that swing on end after so many rounds.
+SETTLED = 1e-3
+MOST_ROUNDS = 200
 NEAR_CHARS = 80
 Span = tuple[str, int, int]
 
@@ -220,6 +224,23 @@ class Field:
         seen = observed != OTHER
         own[seen] = -30.0
         own[seen, observed[seen]] = 0.0
+        root = np.arange(n)  # the first mention with the same key
+        for i, j in skip:
+            root[j] = root[i]
+        votes = np.zeros((n, labels))
+        np.add.at(votes, (root[seen], observed[seen]), 1.0)
+        told = votes.sum(1) > 0
+        says = np.log(votes[told] / votes[told].sum(1, keepdims=True) @ np.exp(self.skip))
+        of = np.cumsum(told) - 1
+        repeat = ~seen & told[root]
+        own[repeat] += says[of[root[repeat]]]
+        # Keys without an observed mention: two mentions are joined, more of them meet in a node without a shape.
+        size = np.bincount(root, minlength=n)
+        many = ~told & (size > 2)
+        node = n + np.cumsum(many) - 1
+        meet = [(int(i), int(node[root[i]])) for i in np.flatnonzero(many[root])]
+        skip = [(i, j) for i, j in skip if not told[root[i]] and size[root[i]] == 2] + meet
+        own = np.concatenate([own, np.zeros((int(many.sum()), labels))])
         ends = np.array([*chain, *skip], int).reshape(-1, 2)
         if len(ends):
             table = np.concatenate([np.repeat(self.chain[None], len(chain), 0), np.repeat(self.skip[None], len(skip), 0)])
@@ -227,15 +248,19 @@ class Field:
             table = np.concatenate([table, table.transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(ends)) + len(ends), np.arange(len(ends))])
             sent = np.zeros((len(source), labels))
-            for _ in range(ROUNDS):
+            for _ in range(MOST_ROUNDS):
                 total = own.copy()
                 np.add.at(total, target, sent)
                 z = (total[source] - sent[back])[:, :, None] + table
                 top = z.max(1)
                 new = top + np.log(np.exp(z - top[:, None, :]).sum(1))
                 new -= new.max(1, keepdims=True)
+                change = np.abs(new - sent).max()
                 sent = 0.5 * sent + 0.5 * new
+                if change < SETTLED:
+                    break
             np.add.at(own, target, sent)
+        own = own[:n]
         p = np.exp(own - own.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 

@@ -1,10 +1,11 @@
 """Places where an operator once did less than the whole job."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 import helpers as H
-from reportflow.llm import langid, near_dup
+from reportflow.llm import langid, near_dup, pii
 from reportflow.llm.common import shingle_sets
 
 
@@ -31,6 +32,31 @@ def test_pairs_without_the_first_centre(spark, monkeypatch, block):
     assert dict(H.pairs(got, "doc_id", "component_id")) == H.linked_components(sets) == want
 
 
+@pytest.mark.parametrize("repeats", [2, 10, 20, 1000])
+@pytest.mark.parametrize("margin", [0.0, 1.0, 3.0])
+def test_every_repeat_of_an_observed_mention(repeats, margin):
+    """Unmarked repeats that lean to "other" by the margin, after and before the observed mention of their key."""
+    labels = pii.OTHER + 1
+    shape = np.zeros((len(pii.FEATURES), labels))
+    shape[0, pii.OTHER] = margin
+    field = pii.Field(shape, np.zeros((labels, labels)), 4.0 * np.eye(labels))
+    skip = [(k, k + 1) for k in range(repeats)]
+    for at in (0, repeats // 2):
+        observed = np.full(repeats + 1, pii.OTHER)
+        observed[at] = pii.KINDS.index("phone")
+        p = field.beliefs([[0]] * (repeats + 1), observed, [], skip)
+        assert (p.argmax(1) == pii.KINDS.index("phone")).all() and p.max(1).min() > 0.5
+    assert (field.beliefs([[0]] * (repeats + 1), np.full(repeats + 1, pii.OTHER), [], skip).argmax(1) == pii.OTHER).all() or not margin
+
+
+@pytest.mark.parametrize("repeats", [2, 10, 1000])
+def test_every_repeat_in_a_text(spark, repeats):
+    field = pii.fit(H.documents(spark))
+    text = "joe@x.org and later " + "joe [at] x.org, then once more " * repeats
+    assert len(pii.find_spans([text], field)[0][1]) == 1 + repeats
+    assert not pii.find_spans([text[20:]], field)[0][1]
+
+
 def test_language_decision_takes_effect(spark):
     docs = H.documents(spark)
     model = langid.fit(docs)
