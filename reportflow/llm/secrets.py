@@ -4,9 +4,9 @@ Base spans: assign (a credential word, a sign and a value of 12 or more characte
 hex (runs of 16 or more). Added spans: every maximal run of key characters of at least ``WINDOW`` is a candidate; for
 each character class (hexadecimal digits, base-64 characters) a window of ``WINDOW`` characters slides over the class's
 runs in it, and its Shannon entropy follows from counts that each step changes by one character in and one out. Windows
-at or over the class's threshold that mix digits with letters join to a span. The allow-list (placeholders, runs of
-the alphabet or of digits, UUIDs, paths of plain words) suppresses added spans, never base ones; an added span inside a
-base span is left out.
+at or over the class's threshold that mix digits with letters join to a span. The allow-list suppresses added spans,
+never base ones: windows that touch a placeholder, a run of the alphabet or of digits or a UUID are left out, and so are
+spans that are paths of plain words; the rest of the run counts. An added span inside a base span is left out.
 
 Defined results: null and empty texts have no spans; repeated rows each get a result; an empty table gives no rows.
 Texts are taken whole, in time linear in their length. Only doc_id and text are read.
@@ -38,8 +38,9 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _CLASS = {"entropy_hex": re.compile(r"[0-9A-Fa-f]{20,}"), "entropy_base64": re.compile(r"[A-Za-z0-9+/_-]{20,}")}
 
 # Texts that a real key does not hold (compared in lower case).
-_PLACEHOLDERS = ("example", "changeme", "placeholder", "your_", "your-", "xxxx", "0000000", "1234567", "abcdefg")
+_PLACEHOLDERS = re.compile(r"example|changeme|placeholder|your[_-]|x{4,}|0{7,}|1234567|abcdefg")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _PLAIN_PATH = re.compile(r"[A-Za-z]*(?:[/_-][A-Za-z]*|[/_-][0-9]{1,4})*")
 
 _HEX_BYTE = np.zeros(256, bool)
@@ -92,23 +93,39 @@ def _mixed(text: str) -> bool:
     return digits >= (1 if lower and upper else 3) and (lower or upper)
 
 
-def allowed(candidate: str) -> bool:
-    low = candidate.lower()
-    return any(p in low for p in _PLACEHOLDERS) or bool(_UUID.search(candidate)) or bool(_PLAIN_PATH.fullmatch(candidate))
+def allowed_parts(candidate: str) -> list[tuple[int, int]]:
+    """Start and end of every placeholder and UUID, by start; a run of the alphabet or of digits counts as far as it goes."""
+    low = candidate.translate(_LOWER)
+    out = [m.span() for m in _UUID.finditer(candidate)]
+    at = 0
+    while m := _PLACEHOLDERS.search(low, at):
+        a, at = m.span()
+        if m[0] in ("1234567", "abcdefg"):
+            while a > 0 and ord(low[a]) - ord(low[a - 1]) == 1:
+                a -= 1
+            while at < len(low) and ord(low[at]) - ord(low[at - 1]) == 1:
+                at += 1
+        out.append((a, at))
+    return sorted(out)
 
 
 def entropy_spans(text: str) -> list[Span]:
     """Joined windows of high entropy of each class, without the allow-listed ones."""
     out: list[Span] = []
     for m in _CANDIDATE.finditer(text):
-        if allowed(m[0]):
+        if _PLAIN_PATH.fullmatch(m[0]):
             continue
+        parts = allowed_parts(m[0])
         for kind, pattern in _CLASS.items():
+            part = 0
             for run in pattern.finditer(m[0]):
-                body, at = run[0], m.start() + run.start()
+                body, first = run[0], run.start()
+                at = m.start() + first
                 span: list[int] | None = None
                 for k, bits in enumerate(window_entropies(body)):
-                    if bits < THRESHOLD[kind]:
+                    while part < len(parts) and parts[part][1] <= first + k:
+                        part += 1
+                    if bits < THRESHOLD[kind] or (part < len(parts) and parts[part][0] < first + k + WINDOW):
                         continue
                     if span and k <= span[1]:
                         span[1] = k + WINDOW
@@ -118,7 +135,7 @@ def entropy_spans(text: str) -> list[Span]:
                         span = [k, k + WINDOW]
                 if span:
                     out.append((kind, at + span[0], at + span[1]))
-    return [s for s in out if _mixed(text[s[1]:s[2]])]
+    return [s for s in out if _mixed(text[s[1]:s[2]]) and not _PLAIN_PATH.fullmatch(text[s[1]:s[2]])]
 
 
 def all_spans(text: str, base: list[Span]) -> list[Span]:

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 import helpers as H
-from reportflow.llm import langid, near_dup, pii
+from reportflow.llm import langid, near_dup, pii, secrets
 from reportflow.llm.common import shingle_sets
 
 
@@ -71,3 +71,19 @@ def test_language_decision_takes_effect(spark):
 def test_without_a_learned_language(spark):
     rows = spark.createDataFrame([(1, "a text"), (2, "12 !"), (3, None)], "doc_id long, text string")
     assert H.pairs(langid.in_known_language(rows, langid.LanguageModel()), "doc_id") == [(1,)]
+
+
+KEY = "aB3dE5gH7jK9mN1pQ3sT5uV7wX9yZ1"
+
+
+def test_keys_beside_allowed_parts():
+    uuid = "550e8400-e29b-41d4-a716-446655440000"
+    for before, after in ((f"/orgs/{uuid}/keys/", ""), ("example_key=", ""), ("", "/xxxxxxxx"), ("your_", ""), ("AbCdEfGhIjKlMnOp0123456789/", "/" + uuid)):
+        text = f"{before}{KEY}{after}"
+        spans = secrets.find_spans(pa.array([text], pa.large_string()))[0][1]
+        assert any(a <= len(before) + 6 and b >= len(before) + len(KEY) - 6 for _, a, b in spans), text
+        allowed = [text.find(p) for p in (uuid, "example", "xxxxxxxx", "your_", "0123456789") if p in text]
+        assert not any(a <= k < b for _, a, b in spans for k in allowed), (text, spans)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for text in (alphabet, "0123456789abcdef" * 3, uuid, f"/orgs/{uuid}/keys/list/of/names"):
+        assert not [s for s in secrets.find_spans(pa.array([text], pa.large_string()))[0][1] if s[0].startswith("entropy")], text
