@@ -14,9 +14,9 @@ to the annuli whose distances can still hold a better one around each pivot. The
 inequality, which loses nothing. Queries meet an annulus in blocks of at most ``QUERY_ROWS``, so no task and no group
 grows with the table. The scores are integers; bounds are widened by a rounding margin.
 
-Defined results: vectors that are null or hold null or non-finite components take no part; vectors of another length
-than most are never like the others, so the length of the smallest vec_id's vector is the table's and others take no
-part; ties go to the smaller vec_id; rows that repeat a vec_id count as one (the first by value); a null vec_id takes no
+Defined results: vectors that are null or hold null or non-finite components take no part; the table's length is the
+most frequent one but 0 (of equally frequent ones the smallest), and vectors of another length take no part; squared
+lengths of 2^62 or more, whose scores are no 64-bit integers, raise an error; ties go to the smaller vec_id; rows that repeat a vec_id count as one (the first by value); a null vec_id takes no
 part; an empty table gives no rows. Only vec_id and embedding are read.
 """
 
@@ -44,7 +44,7 @@ BROADCAST_ANNULI = 500_000
 
 
 def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and v, the floored vector as packed 32-bit integers, of every row that takes part."""
+    """vec_id and v, the floored vector as packed 64-bit integers, of every row that takes part."""
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite).select(
@@ -53,7 +53,7 @@ def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     def pack(batches):
         for batch in batches:
             lists = batch.column("w")
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             sizes = np.diff(lists.offsets.to_numpy())
             ends = np.cumsum(sizes)
             packed = [values[e - n:e].tobytes() for n, e in zip(sizes, ends, strict=True)]
@@ -62,8 +62,12 @@ def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     return rows.mapInArrow(pack, "vec_id long, v binary").groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def _integers(column: pa.Array, dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(-1, dims)
+
+
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, dims).astype(np.float64)
+    return _integers(column, dims).astype(np.float64)
 
 
 def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
@@ -92,13 +96,13 @@ class Index:
     def __init__(self, vectors: DataFrame, pivots: int = PIVOTS, annulus_rows: int = ANNULUS_ROWS):
         checkpoint_dir(vectors.sparkSession)
         rows = scaled(vectors).checkpoint()
-        first = rows.orderBy("vec_id").limit(1).select(F.length("v")).first()
-        self.dims = first[0] // 4 if first else 0
+        most = rows.groupBy(F.length("v").alias("n")).count().where("n > 0").orderBy(F.desc("count"), "n").first()
+        self.dims = most[0] // 8 if most else 0
         self.empty = not self.dims
         if self.empty:
             return
         dims = self.dims
-        rows = rows.where(F.length("v") == dims * 4)
+        rows = rows.where(F.length("v") == dims * 8)
 
         def lengths(batches):
             for batch in batches:
@@ -106,9 +110,11 @@ class Index:
                 yield pa.RecordBatch.from_arrays([pa.array([float((x * x).sum(1).max(initial=0.0))])], ["n"])
 
         self.longest = longest = rows.select("v").mapInArrow(lengths, "n double").agg(F.max("n")).first()[0]
+        if longest >= 2.0**62:
+            raise ValueError("vectors too long: their inner products are no 64-bit integers")
         draw = F.xxhash64("vec_id", F.lit(3))
         sample = rows.select("v").orderBy(draw, "vec_id").limit(SAMPLE_ROWS).collect()
-        x = np.array([np.frombuffer(r[0], np.int32) for r in sample], float)
+        x = np.array([np.frombuffer(r[0], np.int64) for r in sample], float)
         self.pivots = centers = choose_pivots(_lifted(x, longest), pivots)
 
         def key(batches):
@@ -146,6 +152,8 @@ class Index:
         pairs: query_id, qv, block, floor, floor_id, annulus; floor_id settles ties of score. Each (annulus, block) group holds one annulus and one query block.
         """
         dims = self.dims
+        # Sums of products stay under the largest squared length: floats hold them exactly up to 2^53, integers all of them.
+        numbers = _matrix if self.longest < 2.0**53 else _integers
         blocks = pairs.select(F.col("annulus").alias("of"), F.col("block").alias("for")).distinct()
         vectors = self.rows.select("annulus", "vec_id", "v").join(
             blocks, F.col("annulus") == F.col("of")).select("of", "for", "vec_id", "v")
@@ -154,12 +162,12 @@ class Index:
             ids = left.column("vec_id").combine_chunks().to_numpy()
             order = np.argsort(ids)
             ids = ids[order]
-            x = _matrix(left.column("v").combine_chunks(), dims)[order]
+            x = numbers(left.column("v").combine_chunks(), dims)[order]
             out_q, out_v, out_s = [], [], []
             queries = right.column("query_id").combine_chunks().to_numpy()
             floors = right.column("floor").combine_chunks().to_numpy()
             floor_ids = right.column("floor_id").combine_chunks().to_numpy()
-            q = _matrix(right.column("qv").combine_chunks(), dims)
+            q = numbers(right.column("qv").combine_chunks(), dims)
             for at in range(0, len(queries), 256):
                 found = np.rint(q[at:at + 256] @ x.T).astype(np.int64)
                 for query, low, low_id, scores in zip(queries[at:at + 256], floors[at:at + 256], floor_ids[at:at + 256], found, strict=True):
@@ -196,7 +204,7 @@ class Index:
                 n, m = d.shape
                 # A vector that scores at least the floor is no farther from the query than this.
                 floor = batch.column("floor").to_numpy(zero_copy_only=False)
-                reach = np.sqrt(np.maximum(0.0, (q * q).sum(1) + longest - 2.0 * floor)) * (1 + MARGIN) + MARGIN
+                reach = np.sqrt(np.maximum(0.0, (q * q).sum(1) + longest - 2.0 * floor)) * (1 + MARGIN) + MARGIN * (1 + np.sqrt(longest))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(batch.column("query_id").to_numpy(), m)), pa.array(np.tile(np.arange(m), n), pa.int32()),
                      pa.array((d - reach[:, None]).ravel()), pa.array((d + reach[:, None]).ravel())],

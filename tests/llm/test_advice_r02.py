@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 import helpers as H
-from reportflow.llm import langid, near_dup, pii, secrets
+from reportflow.llm import langid, near_dup, pii, secrets, topk
 from reportflow.llm.common import shingle_sets
 
 
@@ -87,3 +87,24 @@ def test_keys_beside_allowed_parts():
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     for text in (alphabet, "0123456789abcdef" * 3, uuid, f"/orgs/{uuid}/keys/list/of/names"):
         assert not [s for s in secrets.find_spans(pa.array([text], pa.large_string()))[0][1] if s[0].startswith("entropy")], text
+
+
+@pytest.mark.parametrize("odd", [[], [1.0, 0.0, 0.0]])
+def test_length_of_the_table(spark, odd):
+    rows = [(0, odd), (20, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [-1.0, 0.2])]
+    got = topk.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert sorted(H.pairs(got, "query_id", "rank", "vec_id", "score")) == [(20, 1, 1, 2048), (20, 2, 2, -4096)]
+
+
+def test_large_components(spark):
+    rows = [(0, [2.0**24 + 1, 3.0]), (1, [2.0**24, 5.0]), (2, [2.0**24 - 1, 7.0]), (3, [2.0**22, -1.0])]
+    want = [sum(int(64 * a) * int(64 * b) for a, b in zip(rows[0][1], v, strict=True)) for _, v in rows[1:]]
+    rows += [(4, [2.0**25, 0.0])]
+    want += [int(64 * rows[0][1][0]) * 2**31]
+    got = topk.nearest(spark.createDataFrame(rows[:-1], "vec_id long, embedding array<double>"))
+    assert [r["score"] for r in got.orderBy("rank").collect()] == want[:3]
+    with pytest.raises(ValueError):
+        topk.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    rows = [(0, [1.0, 0.0]), (1, [2.0**25 - 1, 0.0]), (2, [-(2.0**24), 1.0])]
+    got = topk.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert [r["score"] for r in got.orderBy("rank").collect()] == [64 * 64 * (2**25 - 1), -64 * 64 * 2**24]
