@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: op1 to op10 over the given tables, and the pipeline."""
+"""The registered queries of this subpackage: op1 to op13 over the given tables, and the pipeline."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportflow.llm import fingerprints, langid, lm_mixing, mixing, near_dup, pii, secrets, sentencepiece_fst, token_counts, topk
+from reportflow.llm import (fingerprints, langid, lm_mixing, merkle, mixing, near_dup, periodic_runs, pii, secrets,
+                            sentencepiece_fst, token_counts, topk, url_cascade)
 from reportflow.llm.common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +135,39 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every document under word counts and under the context-mixing model."""
     return lm_mixing.scored(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, some of them with planted repeats, and the texts without them."""
+    return periodic_runs.digests(periodic_runs.runs_of(periodic_runs.with_repeats(_table(spark, sf_dir, "documents"))))
+
+
+@_query
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest fitting rule and verdict of every page's URL."""
+    return url_cascade.judge(_table(spark, sf_dir, "pages"), url_cascade.rules_table(spark, url_cascade.RULES))
+
+
+ORACLES["op12_url_filters"] = r"""
+WITH r(host, path, verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), p AS (
+    SELECT row_number() OVER () AS row_no, page_id,
+           translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), f AS (
+    SELECT p.row_no, max_by(r.host || r.path, length(r.host || r.path)) AS rule, max_by(r.verdict, length(r.host || r.path)) AS verdict
+    FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY p.row_no
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN f USING (row_no)
+"""
+
+
+@_query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether its row, some of them tampered with, gives the root."""
+    return merkle.audit(_table(spark, sf_dir, "documents"))
