@@ -35,6 +35,9 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 DIGIT = 8
 #: Tables of parts and groups of up to this many rows (under 100 bytes each) are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 100_000
+#: Rows of one task: nodes and requests of about 200 bytes, and records, which hold up to 2^DIGIT nodes and those above them.
+NODES_PER_TASK = 20_000
+RECORDS_PER_TASK = 64
 STEP = "struct<left:boolean,digest:string>"
 
 
@@ -56,18 +59,30 @@ def _small(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
-def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with their rank (from 0) in their ``grp`` by ``order``, and the size of that group as ``n``."""
-    rows = rows.withColumn("tie", F.monotonically_increasing_id()).checkpoint()
+def _sized(df: DataFrame, rows_per_task: int) -> tuple[DataFrame, int]:
+    """The table, written to the checkpoint folder, in the partitions that its rows need, and its number of rows.
+
+    The upper rounds work on ever smaller tables: many nearly empty tasks would cost more than the work.
+    """
+    kept = df.checkpoint()
+    n = kept.count()
+    return kept.coalesce(max(1, -(-n // rows_per_task))), n
+
+
+def ranked(rows: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """``rows`` with their rank (from 0) in their ``grp`` by ``order``, and the size of that group as ``n``; and the largest such size."""
+    rows, count = _sized(rows.withColumn("tie", F.monotonically_increasing_id()), NODES_PER_TASK)
     by = ["grp", *order, "tie"]   # equal rows are spread, too
-    dealt = (rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id())
-             .withColumn("part", F.shiftright("at", 33)).checkpoint())
-    parts = dealt.groupBy("grp", "part").agg(F.min("at").alias("low"), F.count("*").alias("held"))
+    if count > NODES_PER_TASK:
+        rows = rows.repartitionByRange(*by)
+    dealt = rows.sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)).checkpoint()
+    parts, _ = _sized(dealt.groupBy("grp", "part").agg(F.min("at").alias("low"), F.count("*").alias("held")), NODES_PER_TASK)
     earlier = Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("grp", "part", "low", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
-                         F.sum("held").over(Window.partitionBy("grp")).alias("n")).checkpoint()
-    return (dealt.join(_small(parts, parts.count()), ["grp", "part"])
-            .withColumn("rank", F.col("before") + F.col("at") - F.col("low")).drop("part", "low", "before", "at", "tie"))
+    parts, n = _sized(parts.select("grp", "part", "low", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
+                                   F.sum("held").over(Window.partitionBy("grp")).alias("n")), NODES_PER_TASK)
+    largest = parts.agg(F.max("n")).first()[0] or 0
+    return (dealt.join(_small(parts, n), ["grp", "part"])
+            .withColumn("rank", F.col("before") + F.col("at") - F.col("low")).drop("part", "low", "before", "at", "tie")), largest
 
 
 def _folded(nodes: Column, levels: Column) -> Column:
@@ -88,28 +103,23 @@ class Tree:
     roots: DataFrame
 
 
-def build(nodes: DataFrame) -> Tree:
-    """The trees of all groups of nodes (grp, rank, n, digest)."""
-    rounds, roots = [], []
+def build(nodes: DataFrame, largest: int) -> Tree:
+    """The trees of all groups of nodes (grp, rank, n, digest); ``largest``: the size of the largest group."""
     now = nodes.select("grp", F.col("rank").alias("at"), F.col("n").alias("m"), "n", "digest")
-    while True:
-        roots.append(now.where("m = 1").select("grp", "n", "digest"))
-        rest = now.where("m > 1")
-        if rest.isEmpty():
-            break
+    rounds, roots = [], now.where("m = 1").select("grp", "n", "digest")
+    while largest > 1:
         # The last round of a group has just the levels that its nodes need.
         levels = F.when(F.col("m") > 1 << DIGIT, F.lit(DIGIT)).otherwise(F.ceil(F.log2("m"))).cast("int")
-        blocks = (rest.groupBy("grp", F.shiftright("at", DIGIT).alias("up"))
+        blocks = (now.where("m > 1").groupBy("grp", F.shiftright("at", DIGIT).alias("up"))
                   .agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("at", "digest"))).alias("x"))
                   .select("grp", "up", "n", "m", _folded(F.col("x.digest"), levels).alias("below")))
-        blocks = blocks.withColumn("digest", F.element_at(F.element_at("below", -1), 1)).checkpoint()
+        blocks, _ = _sized(blocks.withColumn("digest", F.element_at(F.element_at("below", -1), 1)), RECORDS_PER_TASK)
         # Content-addressed: equal subtrees are stored once.
         rounds.append(blocks.select("digest", "below").dropDuplicates(["digest"]))
         now = blocks.select("grp", F.col("up").alias("at"), F.ceil(F.col("m") / (1 << DIGIT)).cast("long").alias("m"), "n", "digest")
-    found = roots[0]
-    for more in roots[1:]:
-        found = found.unionByName(more)
-    return Tree(tuple(rounds), found.checkpoint())
+        roots = roots.unionByName(now.where("m = 1").select("grp", "n", "digest"))
+        largest = -(-largest // (1 << DIGIT))
+    return Tree(tuple(rounds), _sized(roots, NODES_PER_TASK)[0])
 
 
 def _segment(below: Column, digit: Column) -> Column:
@@ -129,13 +139,13 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame) -> DataFrame:
 
     ``start``: grp, path; the segments above each group's root (an empty array at the top).
     """
-    roots = tree.roots.join(start, "grp")
+    roots, _ = _sized(tree.roots.join(start, "grp"), NODES_PER_TASK)
     prefix = lambda k: F.call_function("shiftright", F.col("rank"), F.lit(min(DIGIT * k, 63)))
     top = len(tree.rounds)
     height = F.lit(0)   # rounds of a group: those that leave it more than one node
     for k in range(top):
         height = height + (F.col("n") > F.lit(1 << min(DIGIT * k, 62))).cast("int")
-    roots = roots.withColumn("height", height).checkpoint()
+    roots = roots.withColumn("height", height)
     now = None
     for k in range(top, 0, -1):
         starting = roots.where(F.col("height") == k).select("grp", F.lit(0).cast("long").alias("at"), "digest", "path")
@@ -152,7 +162,7 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame) -> DataFrame:
         digit = F.pmod(F.col("a.child"), F.lit(1 << DIGIT)).cast("int")
         path = F.concat("path", F.array(_segment(F.col("below"), digit))).alias("path")
         if k > 1:
-            now = found.select("grp", F.col("a.child").alias("at"), F.get(F.element_at("below", 1), digit).alias("digest"), path).checkpoint()
+            now, _ = _sized(found.select("grp", F.col("a.child").alias("at"), F.get(F.element_at("below", 1), digit).alias("digest"), path), NODES_PER_TASK)
         else:
             now = found.select("grp", "a.*", path).drop("child")
     alone = requests.join(roots.where("height = 0").select("grp", "path"), "grp")
@@ -178,21 +188,21 @@ class Manifest:
 def manifest(leaves: DataFrame) -> Manifest:
     """The manifest of leaves (grp, doc_id, digest and further columns)."""
     checkpoint_dir(leaves.sparkSession)
-    leaves = ranked(leaves, ["doc_id", "digest"]).checkpoint()
-    trees = build(leaves)
-    subroots = ranked(trees.roots.select(F.lit("").alias("grp"), F.col("grp").alias("own"), "digest"), ["own"]).checkpoint()
-    return Manifest(leaves, trees, build(subroots), subroots)
+    leaves, largest = ranked(leaves, ["doc_id", "digest"])
+    trees = build(leaves, largest)
+    subroots, n_groups = ranked(trees.roots.select(F.lit("").alias("grp"), F.col("grp").alias("own"), "digest"), ["own"])
+    return Manifest(leaves, trees, build(subroots, n_groups), subroots)
 
 
 def proofs(found: Manifest, requests: DataFrame) -> DataFrame:
     """The requested leaves (rows of ``found.leaves``) with subroot, root and ``steps``: their siblings from leaf to root."""
     nothing = F.array().cast(f"array<array<{STEP}>>")
     top = descend(found.top, found.top.roots.select("grp", nothing.alias("path")), found.subroots.select("grp", "rank", "own", "digest"))
-    start = top.select(F.col("own").alias("grp"), "path", F.col("digest").alias("subroot"))
+    start, n = _sized(top.select(F.col("own").alias("grp"), "path", F.col("digest").alias("subroot")), NODES_PER_TASK)
+    root = found.top.roots.select("digest").first()   # one row, none for an empty table
     paths = descend(found.trees, start.select("grp", "path"), requests.drop("n"))
-    ends = start.select("grp", "subroot").join(found.top.roots.select(F.col("digest").alias("root")), F.lit(True))   # the second has one row
-    ends = ends.checkpoint()
-    return paths.join(_small(ends, ends.count()), "grp").withColumn("steps", F.flatten(F.reverse("path"))).drop("path")
+    return (paths.join(_small(start.select("grp", "subroot"), n), "grp").withColumn("root", F.lit(root[0] if root else None).cast("string"))
+            .withColumn("steps", F.flatten(F.reverse("path"))).drop("path"))
 
 
 def audit(docs: DataFrame) -> DataFrame:
