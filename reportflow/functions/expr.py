@@ -53,24 +53,90 @@ def as_text(c: Column) -> Column:
     return c.cast("string")
 
 
-# Date tokens of the source database's TO_CHAR and Spark's letters for them.
-TO_CHAR_TOKENS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DD": "dd", "HH24": "HH", "MI": "mm", "SS": "ss",
-                  "MS": "SSS", "Q": "q"}
-_TO_CHAR = re.compile(r"""
-    '(?:[^']|'')*' | "[^"]*" | --[^\n]* | /\*.*?\*/           # quoted text and comments stay
-    | \bTO_CHAR\s*\( (?P<value>(?:[^()']|\((?:[^()]|\([^()]*\))*\))+?) ,\s*'(?P<format>[^']*)'\s*\)
-    """, re.IGNORECASE | re.DOTALL | re.VERBOSE)
-_TO_CHAR_TOKEN = re.compile("|".join(sorted(TO_CHAR_TOKENS, key=len, reverse=True)), re.IGNORECASE)
+# Date tokens of the source database's TO_CHAR and Spark's letters for them; None: Spark has none.
+TO_CHAR_TOKENS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DDD": "DDD", "DD": "dd", "HH24": "HH", "HH12": "hh", "HH": "hh", "MI": "mm",
+                  "SS": "ss", "MS": "SSS", "US": "SSSSSS", "Q": "q", "AM": "a", "PM": "a", "Y,YYY": None, "YYY": None, "IYYY": None,
+                  "IW": None, "WW": None, "W": None, "J": None, "CC": None, "TZ": None, "OF": None, "FM": None, "TH": None}
+# Quoted text and comments of SQL.
+_QUOTED = r"""'(?:[^']|'')*' | "[^"]*" | --[^\n]* | /\*.*?\*/"""
+_TO_CHAR = re.compile(_QUOTED + r" | (?P<call>\bTO_CHAR\s*\()", re.IGNORECASE | re.DOTALL | re.VERBOSE)
+_ARGUMENT = re.compile(_QUOTED + r" | [(),]", re.DOTALL | re.VERBOSE)
+_FORMAT = re.compile(r'"(?P<text>[^"]*)" | (?P<token>%s) | (?P<word>[A-Za-z]+) | (?P<plain>.)'
+                     % "|".join(sorted(TO_CHAR_TOKENS, key=len, reverse=True)), re.IGNORECASE | re.DOTALL | re.VERBOSE)
+_AT_ZONE = re.compile(r"^(?P<value>.*\S)\s+AT\s+TIME\s+ZONE\s+(?P<zone>'[^']*')$", re.IGNORECASE | re.DOTALL)
+
+
+def _arguments(sql: str, at: int) -> tuple[list[str], int] | None:
+    """The arguments of a call whose ``(`` ends at ``at``, and where it ends; None if it never closes."""
+    depth, out, start = 0, [], at
+    for m in _ARGUMENT.finditer(sql, at):
+        if m[0] == "(":
+            depth += 1
+        elif m[0] == ")" and depth:
+            depth -= 1
+        elif m[0] in (",", ")") and not depth:
+            out.append(sql[start:m.start()].strip())
+            start = m.end()
+            if m[0] == ")":
+                return out, m.end()
+    return None
+
+
+def date_pattern(fmt: str) -> str:
+    """Spark's pattern for a TO_CHAR format; raises for what Spark cannot write."""
+    out, tokens = [], 0
+    for m in _FORMAT.finditer(fmt):
+        if m["token"]:
+            letters = TO_CHAR_TOKENS[m["token"].upper()]
+            if letters is None:
+                raise ValueError(f"TO_CHAR format {fmt!r}: Spark has no {m['token']!r}")
+            out.append(letters)
+            tokens += 1
+        elif m["word"]:
+            raise ValueError(f"TO_CHAR format {fmt!r}: {m['word']!r} is not known")
+        else:
+            text = m["plain"] if m["text"] is None else m["text"]
+            plain = m["text"] is None and (text.isdigit() or text in " -/:.,;_")
+            out.append(text if plain else "'" + text.replace("'", "''") + "'" if text else "")
+    if not tokens:
+        raise ValueError(f"TO_CHAR format {fmt!r} is not one of dates")
+    return "".join(out)
 
 
 def translate_to_char(sql: str) -> str:
-    """``TO_CHAR(x, 'YYYYMM')`` of the reports' own database as ``date_format(x, 'yyyyMM')``."""
-    def one(m: re.Match) -> str:
-        if m["value"] is None:
-            return m[0]
-        fmt = _TO_CHAR_TOKEN.sub(lambda t: TO_CHAR_TOKENS[t[0].upper()], m["format"])
-        return f"date_format({m['value'].strip()}, '{fmt}')"
-    return _TO_CHAR.sub(one, sql)
+    """``TO_CHAR(x, 'YYYYMM')`` of the reports' own database as ``date_format(x, 'yyyyMM')``.
+
+    ``x`` is any expression, other TO_CHAR calls and quoted text included; ``x AT TIME ZONE 'z'`` is the local time of an
+    instant, or the instant (in UTC) of a zone-less time. Calls whose format is not a literal are left to Spark.
+    """
+    out, at = [], 0
+    while (m := _TO_CHAR.search(sql, at)) is not None:
+        call = _arguments(sql, m.end()) if m["call"] else None
+        if call is None or len(call[0]) != 2 or not re.fullmatch(r"'(?:[^']|'')*'", call[0][1]):
+            out.append(sql[at:m.end()])
+            at = m.end()
+            continue
+        (value, fmt), end = call
+        value = translate_to_char(value)
+        if (zone := _AT_ZONE.match(value)) is not None:
+            v, z = zone["value"], zone["zone"]
+            value = f"if(typeof({v}) = 'timestamp_ntz', to_utc_timestamp({v}, {z}), from_utc_timestamp({v}, {z}))"
+        pattern = date_pattern(fmt[1:-1].replace("''", "'")).replace("\\", "\\\\").replace("'", "\\'")
+        out += [sql[at:m.start()], f"date_format({value}, '{pattern}')"]
+        at = end
+    return "".join(out) + sql[at:]
+
+
+# What may stand around a comparison so that it is a condition of its own.
+_ABOVE = re.compile(_QUOTED + r""" | (?P<lead>\b(?:WHERE|AND|OR|NOT|ON|WHEN|HAVING)\b|\()(?P<gap>\s*)
+    (?P<column>[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*)\s*>\s*:\#?lastSyncTimestamp\b
+    (?=\s*(?:\)|;|$|--|/\*|(?:AND|OR|THEN|GROUP|ORDER|HAVING|LIMIT|UNION)\b))""", re.IGNORECASE | re.DOTALL | re.VERBOSE)
+
+
+def bound_above(sql: str) -> str:
+    """``column > :#lastSyncTimestamp`` with the upper bound ``column <= :asOf``."""
+    return _ABOVE.sub(lambda m: m[0] if m["column"] is None else
+                      f"{m['lead']}{m['gap']}({m['column']} > :lastSyncTimestamp AND {m['column']} <= :asOf)", sql)
 
 
 def resolve_column(columns: Sequence[str], key: str | None) -> str | None:

@@ -243,3 +243,66 @@ def verify_total(values: DataFrame, data_set: str, org_units: Sequence[str] | No
         F.when(F.col("_s").isNotNull(), F.to_json(F.struct(F.col("_s.dataElement").alias("dataElement"), F.col("_s.period").alias("period"),
                            F.col("_s.orgUnit").alias("orgUnit"), F.col("_s.value").alias("value"),
                            F.col("_s.categoryOptionCombo").alias("categoryOptionCombo")))).alias("sample"))
+
+
+# ---- A7: reconciliation ---------------------------------------------------------
+
+def set_digests(values: DataFrame) -> DataFrame:
+    """Per set (data set, period, org unit): number of cells and two order-free sums over hashes of their content."""
+    content = [F.col("dataElement"), F.col("categoryOptionCombo").isNull(), F.col("categoryOptionCombo"), F.col("value").isNull(), F.col("value")]
+    hashed = lambda salt: F.xxhash64(F.lit(salt), *content).cast("decimal(38,0)")
+    return values.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum(hashed(1)).alias("sum_1"), F.sum(hashed(2)).alias("sum_2"))
+
+
+def verify_differences(sent: DataFrame, stored: DataFrame) -> DataFrame:
+    """Cells that the stored values hold otherwise than sent: ``lost`` (not stored), ``added`` (never sent) or ``changed``.
+
+    Both sides hold one row per cell. Digests of the sets are compared first; only cells of sets that differ are joined, so the
+    usual check, where all agree, costs one aggregation of each side and a join of their sets.
+    """
+    a, b = set_digests(sent).alias("a"), set_digests(stored).alias("b")
+    same = (F.col("a.n") == F.col("b.n")) & (F.col("a.sum_1") == F.col("b.sum_1")) & (F.col("a.sum_2") == F.col("b.sum_2"))
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in KEYS]
+    differ = (a.join(b, on, "full").filter(~F.coalesce(same, F.lit(False)))
+              .select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in KEYS]))
+
+    def cells(df: DataFrame) -> DataFrame:
+        d = df.alias("v").join(differ.alias("d"), [F.col(f"v.{k}").eqNullSafe(F.col(f"d.{k}")) for k in KEYS], "left_semi")
+        return d.select(*VALUE_KEY, "value", F.lit(True).alias("here"))
+
+    s, t = cells(sent).alias("s"), cells(stored).alias("t")
+    both = s.join(t, [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in VALUE_KEY], "full")
+    kind = (F.when(F.col("t.here").isNull(), F.lit("lost")).when(F.col("s.here").isNull(), F.lit("added"))
+            .when(~F.col("s.value").eqNullSafe(F.col("t.value")), F.lit("changed")))
+    return (both.select(*[F.when(F.col("s.here"), F.col(f"s.{k}")).otherwise(F.col(f"t.{k}")).alias(k) for k in VALUE_KEY],
+                        kind.alias("difference"), F.col("s.value").alias("sent"), F.col("t.value").alias("stored"))
+            .filter(F.col("difference").isNotNull()))
+
+
+# ---- E2, E3, S7: redelivery -------------------------------------------------------
+
+def due_letters(letters: DataFrame, ledger: DataFrame, max_attempts: int) -> DataFrame:
+    """Letters still to be delivered, with the number of the next attempt.
+
+    ``letters``: letter_id and further columns; ``ledger``: letter_id, attempt, ok: every delivery tried so far. A letter
+    is done with its first success, and given up after ``max_attempts``.
+    """
+    tried = ledger.groupBy("letter_id").agg(F.max("attempt").alias("_last"), F.max("ok").alias("_done"))
+    return (letters.join(tried, "letter_id", "left")
+            .filter(~F.coalesce("_done", F.lit(False)) & (F.coalesce("_last", F.lit(0)) < max_attempts))
+            .withColumn("attempt", (F.coalesce("_last", F.lit(0)) + 1).cast("int")).drop("_last", "_done"))
+
+
+def redelivery_events(letters: DataFrame, ledger: DataFrame, started: Column) -> DataFrame:
+    """The ledger as run events: each failed attempt FAILED with the letter's text, each success SUCCESS.
+
+    ``letters``: letter_id, report_id, body; ``ledger``: letter_id, attempt, ok, at. ``started``: the checkpoint that a success
+    confirms. Later attempts have later times, so folding the log gives FAILED until a letter gets through.
+    """
+    from reportflow.operators.state import run_event
+    rows = ledger.join(letters, "letter_id")
+    text = F.format_string(DLQ_FORMAT, F.col("attempt") - 1, F.col("body"))
+    return rows.select(*run_event(F.col("report_id"), F.col("letter_id") * 1000 + F.col("attempt"), F.col("at"),
+                                  F.when(F.col("ok"), F.lit("SUCCESS")).otherwise(F.lit("FAILED")),
+                                  records=F.when(F.col("ok"), F.lit(1)), error=F.when(~F.col("ok"), text),
+                                  checkpoint=F.when(F.col("ok"), started)))

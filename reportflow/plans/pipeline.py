@@ -7,26 +7,27 @@ transform, upserts the values, keeps the rejects and writes the sets as JSON.
 A report that fails leaves its sets (or, before there are any, its definition)
 as dead letters with the chain of causes, and the others go on. All outputs
 carry the run id and overwrite their own (report, run) folder, so a run that is
-started again repeats nothing. The outcomes are appended at the end, and the
-state is a fold of the log.
+started again repeats nothing. The outcomes are appended at the end, every
+attempt as an append of its own, and the state is a fold of the log: a run that
+failed, was mended and is started again at the same ``as_of`` ends in SUCCESS.
 """
 
 from __future__ import annotations
 
 import logging
-import os
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportflow import schemas
+from reportflow.functions.expr import bound_above
 from reportflow.operators import delivery as dl
 from reportflow.operators.dvs import nest_dvs, rejected_rows, report_values_long, values_long
 from reportflow.operators.reshape import Transform, custom_transform, ensure_complete_date
 from reportflow.operators.state import finalize_state
-from reportflow.plans.report_run import Arrivals, recompute_start, report_rows
+from reportflow.plans.outputs import append_events, chain_text, next_seq, write_dead_letters, write_run
+from reportflow.plans.report_run import Arrivals, arrived_since, changed_rows, keep_digests, recompute_start, report_rows
 from reportflow.plans.shared import run_shared_report
 from reportflow.session import checkpoint_dir
 from reportflow.sources import state_store as store
@@ -56,31 +57,18 @@ def _checkpoints(spark: SparkSession, root: str, reports: Sequence[Report],
     return out
 
 
-def _log(spark: SparkSession, root: str, rows: list[tuple], run_id: str, stage: str) -> None:
-    if rows:
-        store.append_run_events(spark.createDataFrame(rows, schemas.RUN_EVENTS).coalesce(1), root, f"{run_id}-{stage}")
+def _run_id(as_of: datetime) -> str:
+    """Names a run's output folders: a run started again at the same snapshot time overwrites them."""
+    return f"{as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S%f}"
 
 
-def _write_run(df: DataFrame, root: str, name: str, run_id: str) -> None:
-    """Rows of one run; a repeated run overwrites its own folders."""
-    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("report_id", "run_id").parquet(os.path.join(root, name)))
-
-
-def _chain(spark: SparkSession, error: BaseException) -> tuple[str, DataFrame]:
-    """The failure text with all causes (E1), and the causes as rows."""
-    rows, e = [], error
-    while e is not None:
-        rows.append((1, len(rows), str(e), type(e).__name__))
-        e = e.__cause__
-    causes = spark.createDataFrame(rows, "failure_id int, depth int, message string, class_name string")
-    return dl.error_chain(causes).first()["chain"], causes
-
-
-def _dead_letters(spark: SparkSession, root: str, run_id: str, bodies: DataFrame, at: datetime) -> None:
-    """bodies: report_id, json."""
-    letters = dl.dead_letters(bodies, F.col("json"), F.col("report_id"), failed_at=F.lit(at))
-    _write_run(letters, root, "dead_letters", run_id)
+def _set_documents(long: DataFrame, max_values_per_set: int | None, complete_date: str | None) -> DataFrame:
+    """The sets as JSON, with a completeDate where one is asked for."""
+    nested = nest_dvs(long, max_values_per_set)
+    if complete_date is None:
+        return dl.dvs_json(nested)
+    nested = ensure_complete_date(nested.withColumn("completeDate", F.lit(None).cast("string")), complete_date)
+    return dl.dvs_json(nested, F.col("completeDate"))
 
 
 def run_reports(spark: SparkSession, reports: Sequence[Report] | DataFrame, root: str, as_of: datetime,
@@ -92,83 +80,98 @@ def run_reports(spark: SparkSession, reports: Sequence[Report] | DataFrame, root
     """Run every report once; ``as_of`` is the source snapshot time, stored as the new checkpoint.
 
     ``transforms`` maps a report id to its reshaping step (D3); ``complete_date`` is set on sets that have none
-    (D1); ``arrivals`` names the arrival column of a report's fact view for exact recomputes of late rows.
+    (D1); ``arrivals`` names a report's fact view, with its arrival column for exact recomputes of late rows, or without one
+    to have the view's months compared with their kept digests: then late, changed and deleted rows are found, too.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     # Reports without SQL are skipped before any state change.
     runnable = [r for r in resolve_reports(spark, reports, variables) if ((r.sql or "").strip() or r.sqlFile)]
     ckpt = _checkpoints(spark, root, runnable, default_start)
-    run_id = f"{as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S%f}"
-    seq = int(as_of.timestamp() * 1000) * 10
-    _log(spark, root, [(r.id, seq, as_of, "IN_PROGRESS", r.name, None, None, None) for r in runnable], run_id, "0")
+    run_id, seq = _run_id(as_of), next_seq()
+    append_events(spark, root, [(r.id, seq, as_of, "IN_PROGRESS", r.name, None, None, None) for r in runnable])
     ended = []
     for r in runnable:
-        sets = None
+        sets, replaced, digests = None, None, None
+        facts = (arrivals or {}).get(r.id)
         try:
             # Values, rejects, sets and counts all read the result: run the SQL once, cut lineage.
-            rows = report_rows(spark, r, ckpt[r.id], mode, base_dir, (arrivals or {}).get(r.id), default_start)
+            if mode == "recompute" and facts is not None and facts.arrived_col is None:
+                rows, replaced, digests = changed_rows(spark, r, facts, root, default_start, base_dir)
+            else:
+                rows = report_rows(spark, r, ckpt[r.id], mode, base_dir, facts, default_start, as_of)
             if transforms and r.id in transforms:
                 rows = custom_transform(rows, transforms[r.id])
             rows = rows.checkpoint(eager=True)
             long = report_values_long(rows, r, order_by=(order_by or {}).get(r.id))
-            nested = nest_dvs(long, max_values_per_set)
-            if complete_date is not None:
-                nested = ensure_complete_date(nested.withColumn("completeDate", F.lit(None).cast("string")), complete_date)
-                sets = dl.dvs_json(nested, F.col("completeDate"))
-            else:
-                sets = dl.dvs_json(nested)
-            _write_run(sets, root, "outbox", run_id)
-            store.upsert_values(spark, long.withColumn("load_ts", F.lit(as_of)), root)
-            _write_run(rejected_rows(rows, r.groupBy, report_id=r.id), root, "rejects", run_id)
+            sets = _set_documents(long, max_values_per_set, complete_date)
+            write_run(sets, root, "outbox", run_id)
+            store.upsert_values(spark, long.withColumn("load_ts", F.lit(as_of)), root,
+                                None if replaced is None else (r.id, replaced))
+            write_run(rejected_rows(rows, r.groupBy, report_id=r.id), root, "rejects", run_id)
+            if digests is not None:
+                keep_digests(spark, r, root, digests, facts)
             counts = dl.run_counts(rows.withColumn("report_id", F.lit(r.id)), long).first()
             ended.append((r.id, seq + 1, as_of, "SUCCESS", r.name, counts["records_synced"] if counts else 0, None, as_of))
         except Exception as e:  # noqa: BLE001 - a failed report is data, the others go on
-            text, _ = _chain(spark, e)
+            text = chain_text(spark, e)
             log.error("report %s failed: %s", r.id, text)
             body = spark.createDataFrame([(r.id, r.to_json())], "report_id string, json string")
-            _dead_letters(spark, root, run_id, body if sets is None else sets.select("report_id", "json"), as_of)
+            write_dead_letters(spark, root, run_id, body if sets is None else sets.select("report_id", "json"), as_of)
             ended.append((r.id, seq + 1, as_of, "FAILED", r.name, None, text, None))
-    _log(spark, root, ended, run_id, "1")
+    append_events(spark, root, ended)
     return store.snapshot_state(spark, root, default_start)
 
 
 def run_report_group(spark: SparkSession, template: Report, facilities: Sequence[tuple[str, str]],
                      root: str, as_of: datetime, mode: str = "recompute",
                      default_start: datetime = DEFAULT_SYNC_START, order_by: list[str] | None = None,
-                     max_values_per_set: int | None = None) -> DataFrame:
+                     max_values_per_set: int | None = None, variables: Mapping[str, str] | None = None,
+                     transform: Transform | None = None, complete_date: str | None = None,
+                     arrivals: Arrivals | None = None) -> DataFrame:
     """Run many reports that share one SQL shape as one plan (survey 7.3).
 
     ``facilities`` lists (facility value, report id). The template SQL joins the
     ``report_watermarks`` view (facility, report_id, checkpoint) and filters on
     each report's own checkpoint, so all reports share one scan. Each report
-    still gets its own run events, values partitions and sets; if the plan
-    fails, all of them fail with its causes.
+    still gets its own run events, values and sets; if the plan
+    fails, all of them fail with its causes. ``arrivals`` names the fact view's arrival column: then the months of the rows
+    that arrived since the members' smallest checkpoint are read whole, for every member.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
+    if arrivals is not None and arrivals.arrived_col is None:
+        raise ValueError("a group needs the arrival column of its fact view")
+    template = resolve_reports(spark, [template], variables)[0]
     members = [Report(id=rid, name=f"{template.name} ({fac})") for fac, rid in facilities]
     ckpt = _checkpoints(spark, root, members, default_start)
-    run_id = f"{as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S%f}"
-    seq = int(as_of.timestamp() * 1000) * 10
-    _log(spark, root, [(m.id, seq, as_of, "IN_PROGRESS", m.name, None, None, None) for m in members], run_id, "0")
+    run_id, seq = _run_id(as_of), next_seq()
+    append_events(spark, root, [(m.id, seq, as_of, "IN_PROGRESS", m.name, None, None, None) for m in members])
     try:
-        bound = {rid: (ckpt[rid] if mode == "delta" else recompute_start(ckpt[rid])) for _, rid in facilities}
-        wm = spark.createDataFrame([(fac, rid, bound[rid]) for fac, rid in facilities],
-                                   "facility string, report_id string, checkpoint timestamp")
-        rows = run_shared_report(spark, template.resolved_sql(), wm, template.parameters).checkpoint(eager=True)
+        with arrived_since(spark, arrivals, min(ckpt.values(), default=default_start)):
+            if arrivals is not None:   # the view is cut to the touched months, which count whole
+                bound = dict.fromkeys(ckpt, default_start)
+            else:
+                bound = {rid: (ckpt[rid] if mode == "delta" else recompute_start(ckpt[rid])) for _, rid in facilities}
+            wm = spark.createDataFrame([(fac, rid, bound[rid]) for fac, rid in facilities],
+                                       "facility string, report_id string, checkpoint timestamp")
+            sql = template.resolved_sql()
+            rows = run_shared_report(spark, bound_above(sql) if mode == "delta" else sql, wm, {"asOf": as_of, **(template.parameters or {})})
+        if transform is not None:
+            rows = custom_transform(rows, transform)
+        rows = rows.checkpoint(eager=True)
         long = values_long(rows, template.groupBy, template.dataValueMappings, order_by=order_by, report_id=F.col("report_id"))
-        _write_run(dl.dvs_json(nest_dvs(long, max_values_per_set)), root, "outbox", run_id)
+        write_run(_set_documents(long, max_values_per_set, complete_date), root, "outbox", run_id)
         store.upsert_values(spark, long.withColumn("load_ts", F.lit(as_of)), root)
-        _write_run(rejected_rows(rows, template.groupBy, report_id=F.col("report_id")), root, "rejects", run_id)
+        write_run(rejected_rows(rows, template.groupBy, report_id=F.col("report_id")), root, "rejects", run_id)
         # One row per report: config-sized.
         sets = {r["report_id"]: r["records_synced"] for r in dl.run_counts(rows, long).collect()}
         ended = [(m.id, seq + 1, as_of, "SUCCESS", m.name, sets.get(m.id, 0), None, as_of) for m in members]
     except Exception as e:  # noqa: BLE001 - the failure is recorded for every member
-        text, _ = _chain(spark, e)
+        text = chain_text(spark, e)
         log.error("report group %s failed: %s", template.id, text)
         bodies = spark.createDataFrame([(m.id, template.to_json()) for m in members], "report_id string, json string")
-        _dead_letters(spark, root, run_id, bodies, as_of)
+        write_dead_letters(spark, root, run_id, bodies, as_of)
         ended = [(m.id, seq + 1, as_of, "FAILED", m.name, None, text, None) for m in members]
-    _log(spark, root, ended, run_id, "1")
+    append_events(spark, root, ended)
     return store.snapshot_state(spark, root, default_start)

@@ -13,7 +13,7 @@ from reportflow.plans.q_state import duck_rollup_values
 from reportflow.plans.registry import query
 from reportflow.sources.state_store import read_values
 from reportflow.sources.tables import table
-from reportflow.streaming.stream import stream_report, stream_root
+from reportflow.streaming.stream import finish, stream_report, stream_root
 
 
 @query("stream_values", oracle=f"""
@@ -26,10 +26,8 @@ def stream_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = stream_root(spark, "events-report")
     q = stream_report(spark, sf_dir, schema, td.EVENTS_REPORT, view="events", sink=sink,
                       time_col="ts", glob="events.parquet", order_by=td.EVENTS_ORDER)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    vals = spark.read.parquet(os.path.join(sink, "data_values"))
+    finish(q)
+    vals = spark.read.parquet(os.path.join(sink, "sent_values"))
     return vals.select("report_id", "dataSet", "period", "orgUnit", "dataElement", "value",
                        "categoryOptionCombo", "mapping_idx", F.col("row_order.event_id").alias("event_id"))
 
@@ -42,9 +40,7 @@ def stream_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = stream_root(spark, "rollup-report")
     q = stream_report(spark, sf_dir, schema, td.ROLLUP_REPORT, view="lineitem", sink=sink,
                       time_col="l_shipdate", glob="lineitem.parquet", scope="recompute")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    finish(q)
     return read_values(spark, sink).select("report_id", "dataSet", "period", "orgUnit", "dataElement",
                                            "value", "categoryOptionCombo", "mapping_idx")
 
@@ -68,9 +64,7 @@ def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.read.option("recursiveFileLookup", True).parquet(files).createOrReplaceTempView("lineitem")
             q = stream_report(spark, f"{files}/*", whole.schema, report, view="lineitem", sink=sink,
                               time_col="l_shipdate", glob="part-*.parquet", scope="recompute", max_files_per_trigger=4)
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise RuntimeError(str(q.exception()))
+            finish(q)
     finally:
         td.sources(spark, sf_dir)
     return read_values(spark, sink).select("report_id", "dataSet", "period", "orgUnit", "dataElement",

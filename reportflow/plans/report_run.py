@@ -10,13 +10,21 @@ upsert then replaces the cells with full totals. Which periods are touched:
   a row arrived) they are exactly the periods of the rows that arrived after the
   checkpoint, so a row of an old period that lands late is counted too. The view
   is cut to those periods' time ranges, which are pushed into the scan.
-* Without an arrival column no table can tell a late row from an old one. Then
-  the bound is the start of the checkpoint's period: exact as long as rows land
-  in the period they happened in or later.
+* With a fact view but no arrival column, the view's digests per month are compared with those kept at the last
+  success (``operators.digests``): months with new, changed or deleted rows are read again whole, and what the report no
+  longer gives in them is removed. The digests cost one narrow pass over the view; the SQL reads the changed months only.
+* Without either no table can tell a late row from an old one. Then the bound is the start of the checkpoint's
+  period: exact as long as rows land in the period they happened in or later.
+
+A delta run does not read beyond its snapshot time ``as_of``, which becomes the checkpoint: rows dated after it are the next
+run's, and no row is sent twice (T14). A comparison ``column > :#lastSyncTimestamp`` gets that upper bound; a report that compares
+anything else with its checkpoint can name ``:#asOf`` itself, or its fact view, which is then cut. The other modes read whole
+periods, so a row dated after ``as_of`` is counted, and its period is read again by the next run.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -27,18 +35,25 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportflow.functions.expr import qcol
+from reportflow.functions.expr import PERIOD_FORMAT, bound_above, qcol
+from reportflow.operators import digests as dg
+from reportflow.session import checkpoint_dir
+from reportflow.sources import files
 from reportflow.sources.reports import Report
 from reportflow.sources.tables import DEFAULT_SYNC_START, report_params, run_report_sql
 
 
 @dataclass(frozen=True)
 class Arrivals:
-    """The fact view of a report, its event time, and the column saying when a row arrived."""
+    """The fact view of a report, its event time, and the column saying when a row arrived, if there is one."""
 
     view: str
     time_col: str
-    arrived_col: str
+    arrived_col: str | None = None
+    #: Columns that the report reads, for digests; all if not given.
+    columns: tuple[str, ...] | None = None
+    #: The text of a month in the report's period column, for removing what a changed month no longer gives.
+    period_format: str = PERIOD_FORMAT
 
 
 def touched_months(rows: DataFrame, time_col: str) -> list[datetime]:
@@ -95,14 +110,67 @@ def _sql(report: Report, base_dir: str | None) -> str:
     return sql
 
 
+def _time_literal(at: datetime) -> F.Column:
+    """The instant for comparing with event times, which are instants or zone-less UTC."""
+    return F.lit(at if at.tzinfo else at.replace(tzinfo=timezone.utc))
+
+
+@contextmanager
+def arrived_since(spark: SparkSession, facts: Arrivals | None, since: datetime) -> Iterator[None]:
+    """The fact view cut to the months of the rows that arrived after ``since``; without a fact view, nothing is cut."""
+    if facts is None:
+        yield
+        return
+    new = spark.table(facts.view).filter(qcol(facts.arrived_col) > _time_literal(since))
+    with restricted_view(spark, facts.view, in_months(facts.time_col, touched_months(new, facts.time_col))):
+        yield
+
+
 def report_rows(spark: SparkSession, report: Report, checkpoint: datetime,
                 mode: str = "recompute", base_dir: str | None = None, arrivals: Arrivals | None = None,
-                default_start: datetime = DEFAULT_SYNC_START) -> DataFrame:
+                default_start: datetime = DEFAULT_SYNC_START, as_of: datetime | None = None) -> DataFrame:
     if mode not in ("delta", "recompute"):
         raise ValueError(f"mode must be 'delta' or 'recompute', got {mode!r}")
-    if mode == "recompute" and arrivals is not None:
-        new = spark.table(arrivals.view).filter(qcol(arrivals.arrived_col) > F.lit(checkpoint))
+    if mode == "recompute" and arrivals is not None and arrivals.arrived_col is not None:
+        new = spark.table(arrivals.view).filter(qcol(arrivals.arrived_col) > _time_literal(checkpoint))
         return month_rows(spark, report, arrivals.view, arrivals.time_col, touched_months(new, arrivals.time_col),
                           default_start, base_dir)
     bound = checkpoint if mode == "delta" else recompute_start(checkpoint)
-    return run_report_sql(spark, _sql(report, base_dir), report_params(bound, report.parameters))
+    sql = _sql(report, base_dir)
+    if mode != "delta" or as_of is None:
+        return run_report_sql(spark, sql, report_params(bound, report.parameters))
+    params = {"asOf": as_of, **report_params(bound, report.parameters)}
+    if arrivals is None:
+        return run_report_sql(spark, bound_above(sql), params)
+    with restricted_view(spark, arrivals.view, qcol(arrivals.time_col) <= _time_literal(as_of)):
+        return run_report_sql(spark, sql, params)
+
+
+def _digest_folder(report: Report, facts: Arrivals, root: str) -> str:
+    return os.path.join(root, "digests", f"{report.id}-{facts.view}")
+
+
+def changed_rows(spark: SparkSession, report: Report, facts: Arrivals, root: str,
+                 default_start: datetime = DEFAULT_SYNC_START, base_dir: str | None = None) -> tuple[DataFrame, list[str], DataFrame]:
+    """The report over the months that differ from their kept digests, these months' period texts, and the digests to keep."""
+    checkpoint_dir(spark)
+    folder = _digest_folder(report, facts, root)
+    # Digests first: a row that lands before the SQL reads its month makes the month differ again next time.
+    now = dg.period_digests(spark.table(facts.view), facts.time_col, facts.columns).checkpoint()
+    version = files.read_pointer(spark, folder)[1]
+    kept = spark.read.parquet(os.path.join(folder, version["digests"])) if version else spark.createDataFrame([], dg.SCHEMA)
+    months = dg.months(dg.changed_periods(kept, now))
+    rows = month_rows(spark, report, facts.view, facts.time_col, months, default_start, base_dir)
+    texts = spark.createDataFrame([(m,) for m in months], "m timestamp_ntz").select(F.date_format("m", facts.period_format).alias("p"))
+    return rows, [r["p"] for r in texts.collect()], now
+
+
+def keep_digests(spark: SparkSession, report: Report, root: str, digests: DataFrame, facts: Arrivals) -> None:
+    """Publish the digests that the stored values now agree with."""
+    folder = _digest_folder(report, facts, root)
+    number, before = files.read_pointer(spark, folder)
+    name = f"v-{files.fresh_name()}"
+    digests.coalesce(1).write.parquet(os.path.join(folder, name))
+    files.write_pointer(spark, folder, number, {"digests": name})
+    if before:
+        files.delete(spark, os.path.join(folder, before["digests"]))

@@ -139,7 +139,7 @@ def test_runs_out_of_time_order_lose_no_event(spark, tmp_out):
     store.reset_report(spark, tmp_out, "r", ts(11))
     st = {r["report_id"]: r for r in store.snapshot_state(spark, tmp_out, T0).collect()}
     assert st["r"]["sync_status"] == "PENDING" and st["r"]["records_synced"] == 0
-    assert len(store._folders(spark, tmp_out + "/sync_state", "v=", "appends/_SUCCESS")) == 2   # old versions go
+    assert len(store.files.finished_folders(spark, tmp_out + "/sync_state", "v=", "appends/_SUCCESS")) == 2   # old versions go
 
 
 def test_first_load_merges_and_the_last_row_sent_wins(spark, tmp_out):

@@ -23,7 +23,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_out):
     assert q.exception() is None
     cols = ["report_id", "dataSet", "period", "orgUnit", "dataElement", "value", "categoryOptionCombo",
             "mapping_idx"]
-    streamed = spark.read.parquet(os.path.join(sink, "data_values")).select(*cols)
+    streamed = spark.read.parquet(os.path.join(sink, "sent_values")).select(*cols)
     register_sources(spark, SF)
     rows = run_report_sql(spark, td.EVENTS_SQL, report_params(td.DEFAULT_START))
     batch = report_values_long(rows, td.EVENTS_REPORT).select(*cols)
@@ -32,7 +32,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_out):
     # replay batch 0 through the same writer: the batch partition is overwritten, not appended
     writer = report_batch_writer(td.EVENTS_REPORT, "events", sink, "ts", td.EVENTS_ORDER)
     writer(table(spark, SF, "events"), 0)
-    assert spark.read.parquet(os.path.join(sink, "data_values")).count() == before
+    assert spark.read.parquet(os.path.join(sink, "sent_values")).count() == before
     ev = read_run_events(spark, sink).collect()
     sets = batch.select("dataSet", "period", "orgUnit").distinct().count()
     assert len(ev) == 1 and ev[0]["event"] == "SUCCESS" and ev[0]["records"] == sets
@@ -46,6 +46,6 @@ def test_a_batch_counts_rows_of_any_age(spark, tmp_out):
     old = ev.limit(3).withColumn("ts", F.lit("1999-05-01 00:00:00").cast("timestamp_ntz"))
     sink = os.path.join(tmp_out, "sink")
     report_batch_writer(td.EVENTS_REPORT, "events", sink, "ts", td.EVENTS_ORDER)(old, 0)
-    kinds = spark.read.parquet(os.path.join(sink, "data_values")).filter("dataElement = 'ElKind'")
+    kinds = spark.read.parquet(os.path.join(sink, "sent_values")).filter("dataElement = 'ElKind'")
     assert kinds.count() == 3 and kinds.filter("period = '199905'").count() == 3
     register_sources(spark, SF)
