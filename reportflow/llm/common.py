@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 1 << 20
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -33,9 +33,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -49,20 +47,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table, dtype=np.uint64)
-    return _powers[0], _powers[1]
-
-
 def as_strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """The column as one string array; null becomes the empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -93,13 +77,21 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of about ``limit`` bytes of text, so that what is made of them stays small, too."""
+    """The rows in batches of about ``limit`` bytes of a text or binary column, so that what is made of them stays small, too."""
     for batch in batches:
-        _, offsets = bytes_and_offsets(as_strings(batch.column(column)))
-        for a, b in slices(offsets, limit):
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, b in slices(np.concatenate(([0], np.cumsum(sizes))), limit):
             yield batch.slice(a, b - a)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for each text the range of its words (length n + 1)."""
     if not len(data):
@@ -117,13 +109,21 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each lower-cased word: a polynomial in an odd base, taken from one running sum."""
+    """64-bit hash of each lower-cased word, eight bytes at a time, mixed after each step: no pattern of bytes cancels out."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[_LOWER[data]] * power[:len(data)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    padded = np.concatenate((_LOWER[data], np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(data) + 1, "<u8", buffer=padded, strides=(1,))
+    lengths = ends - starts
+    found = mix64(lengths.astype(np.uint64) * _STEP)
+    at, left, own = starts, lengths, np.arange(len(starts))
+    while len(own):
+        bits = np.minimum(left, 8).astype(np.uint64) * np.uint64(8)
+        part = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - bits))
+        found[own] = mix64((found[own] ^ part) + _STEP)
+        more = left > 8
+        at, left, own = at[more] + 8, left[more] - 8, own[more]
+    return found
 
 
 def shingle_sets(strings: pa.Array, size: int) -> Iterator[np.ndarray]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportflow.llm.common import as_strings, bytes_and_offsets
+from reportflow.llm.common import as_strings, bytes_and_offsets, small_batches
 
 DIMENSIONS = 4096
 MAX_DOCS_PER_LANG = 400
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> Language
     sample = near.withColumn("rank", F.row_number().over(keep)).where(F.col("rank") <= max_docs_per_lang)
 
     def vectors(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             data, offsets = bytes_and_offsets(as_strings(batch.column("text")))
             langs = batch.column("lang").to_pylist()
             out = [(lang, features(part).astype(np.float32).tobytes()) for k, lang in enumerate(langs)
@@ -222,7 +222,7 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc
     kept_fields = [f for f in source.schema.fields if f.name in keep]
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             strings = as_strings(batch.column("text"))
             data, offsets = bytes_and_offsets(strings)
             langs, scores = [], []
@@ -255,7 +255,7 @@ def in_known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     names = docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             strings = as_strings(batch.column("text"))
             data, offsets = bytes_and_offsets(strings)
             keep = []

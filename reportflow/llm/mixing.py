@@ -13,7 +13,7 @@ tree, until one is left of each source, which is drawn. All draws are hashes of
 partitionings agree.
 
 Defined results: a null or empty text has size 0 and nothing is taken; null is a source; rows that repeat doc_id, source
-and text are one unit, each taken as often as the others; an empty table gives no rows. Only doc_id, text and source are
+and text are numbered and rounded one by one, like different ones; an empty table gives no rows. Only doc_id, text and source are
 read; ``mixed`` keeps all columns as they are.
 """
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportflow.llm.merkle import ranked
 from reportflow.session import checkpoint_dir
 
 WEIGHTS = (5, 2, 1)
@@ -33,6 +34,9 @@ FAN_IN = 64
 #: A table of sources up to this many rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_SOURCES = 100_000
 
+#: Likewise the table of keys that several rows have.
+BROADCAST_KEYS = 200_000
+
 _WORD = r"[^\x20\x09-\x0D]+"
 _KEY = ("doc_id", "source", "key")
 
@@ -44,6 +48,26 @@ def _rows(docs: DataFrame) -> DataFrame:
         F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
 
 
+def _repeated(rows: DataFrame) -> DataFrame | None:
+    """The keys that several rows have; None without any."""
+    repeated = rows.groupBy("key").count().where("count > 1").select("key").checkpoint()
+    n = repeated.count()
+    return (F.broadcast(repeated) if n <= BROADCAST_KEYS else repeated) if n else None
+
+
+def _numbered(rows: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """The rows with a key of their own each: of rows with one key, all but the first get new ones by their number.
+
+    Which of several equal rows has which number makes no difference. They are numbered over a range sort, so a row repeated any
+    number of times is spread.
+    """
+    if repeated is None:
+        return rows
+    numbered, _ = ranked(rows.join(repeated, "key", "left_semi").withColumn("grp", F.col("key")), ["doc_id"])
+    own = F.when(F.col("rank") == 0, F.col("key")).otherwise(F.xxhash64("key", "rank"))
+    return rows.join(repeated, "key", "left_anti").unionByName(numbered.withColumn("key", own).select(*rows.columns))
+
+
 def _joined(left: DataFrame, right: DataFrame, names: tuple[str, ...], how: str = "inner") -> DataFrame:
     """Equi-join on ``names`` where null equals null; the right copies of the names go."""
     renamed = right.select(*[F.col(c).alias(f"__{c}") if c in names else F.col(c) for c in right.columns])
@@ -154,11 +178,11 @@ def _pair_off(rows: DataFrame) -> DataFrame:
 
 
 def copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id, source, key and copies of every unit of (doc_id, source, key, size) rows, and the table of sources."""
+    """doc_id, source, key and copies of every one of (doc_id, source, key, size) rows with different keys, and the table of sources."""
     checkpoint_dir(rows.sparkSession)
     by_source = targets(rows).checkpoint()
     few = by_source.count() <= BROADCAST_SOURCES
-    units = rows.groupBy(*_KEY).agg(F.sum("size").alias("unit_size"))
+    units = rows.withColumnRenamed("size", "unit_size")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + 1e-12)
     p = F.when((F.col("unit_size") > 0) & (ratio - whole > 1e-12), ratio - whole).otherwise(F.lit(0.0))
@@ -187,6 +211,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, copies and taken words of every row."""
     checkpoint_dir(docs.sparkSession)
     rows = _rows(docs).checkpoint()
+    rows = _numbered(rows, _repeated(rows))
     done, by_source = copies(rows)
     few = by_source.count() <= BROADCAST_SOURCES
     told = _joined(_joined(rows, done, _KEY), F.broadcast(by_source) if few else by_source, ("source",))
@@ -198,9 +223,10 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The rows themselves, each repeated as often as the mix takes it, with all columns of the input."""
     checkpoint_dir(docs.sparkSession)
     rows = _rows(docs).checkpoint()
-    done, _ = copies(rows)
+    repeated = _repeated(rows)
+    done, _ = copies(_numbered(rows, repeated))
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text")
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("source").cast("string").alias("source"), key.alias("key"))
-    told = _joined(whole, done.where("copies > 0"), _KEY)
+    told = _joined(_numbered(whole, repeated), done.where("copies > 0"), _KEY)
     return told.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

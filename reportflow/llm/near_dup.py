@@ -9,9 +9,10 @@
    class, never m^2 pairs. Each candidate that the sizes allow is confirmed on the full sets.
 4. Connected components of the confirmed links by alternating large and small stars. Buckets that still hold classes of
    several components get stars around ``STARS`` other centres, until a round adds no link.
-5. What is left is settled exactly: in every bucket all pairs of classes of different components are compared, in blocks
-   of about ``BLOCK_SHINGLES`` shingles a side. Pairs inside a component need no look, so a bucket costs its classes outside
-   its largest component times all its classes, and the stars only make that small. The result does not depend on them.
+5. What is left is settled exactly: all pairs of classes of different components that share a bucket are compared. Buckets
+   with the same largest component are settled together, so a class that meets a family in many buckets is loaded and compared
+   once; blocks hold about ``BLOCK_SHINGLES`` shingles a side. Pairs inside a component need no look, so this costs the classes
+   outside a family times those around it, and the stars only make that small. The result does not depend on them.
 
 No bucket has a cap. A pair at the threshold 0.8 shares no bucket with a probability of (1 - 0.8^5)^36, under 1e-6.
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportflow.llm.common import as_strings, binary_column, mix64, shingle_sets
+from reportflow.llm.common import as_strings, binary_column, mix64, shingle_sets, small_batches, unused
 from reportflow.session import checkpoint_dir
 
 SHINGLE_WORDS = 5
@@ -38,7 +39,9 @@ MEMBERS_PER_CHUNK = 256
 STARS = 3
 BLOCK_SHINGLES = 1 << 18
 #: Tables of ids and links of up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 200_000
+#: Copies of one set above this number are dealt over several tasks where rows meet their class.
+COPIES_PER_TASK = 1000
 PROBES = 64
 ROWS_PER_TASK = 250_000
 SETS_PER_TASK = 2000
@@ -80,7 +83,7 @@ def signatures(docs: DataFrame, shingle_words: int, bands: int, rows: int) -> Da
     def run(batches):
         signature = Signature(bands, rows)
         none = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, keys, found = [], [], []
             for s in shingle_sets(as_strings(batch.column("text")), shingle_words):
                 sizes.append(len(s))
@@ -117,7 +120,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFra
     wanted, n = _sized(wanted, ROWS_PER_TASK)
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             sets = [s.tobytes() for s in shingle_sets(as_strings(batch.column("text")), shingle_words)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary_column(sets)], ["doc_id", "words"])
 
@@ -141,7 +144,7 @@ def confirmed(candidates: DataFrame, n: int, sets: DataFrame, threshold_pct: int
 
     def run(batches):
         center, known = None, None
-        for batch in batches:
+        for batch in small_batches(batches, "words"):
             out: list[tuple[int, int]] = []
             columns = [batch.column(c).to_pylist() for c in ("center", "doc_id", "role", "words")]
             for own, doc, role, words in zip(*columns, strict=True):
@@ -180,24 +183,27 @@ class Block:
 def settled(own: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
     """Links (a, b) between the components of a bucket, all its pairs compared on full sets (own: key, rep, n, component).
 
-    A bucket's classes outside its largest component are dealt to the first ``outer`` cells, those inside to ``inner``
-    further ones. A block is an outer cell with itself or a later cell: it holds the first and streams the second.
+    Home: the largest component of a bucket. The classes of all buckets of one home outside of it are dealt to the first
+    ``outer`` cells, those inside to ``inner`` further ones. A block is an outer cell with itself or a later cell: it holds the
+    first and streams the second.
     """
-    weights = own.groupBy("key", "component").agg(F.sum("n").alias("n"))
-    cells = (weights.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts"))
-             .where("parts > 1").select("key", F.col("top.component").alias("largest"),
-                                        F.ceil((F.col("n") - F.col("top.n")) / BLOCK_SHINGLES).cast("long").alias("outer"),
-                                        F.ceil(F.col("top.n") / BLOCK_SHINGLES).cast("long").alias("inner")))
-    outside = F.col("component") != F.col("largest")
+    homes = (own.groupBy("key", "component").agg(F.sum("n").alias("n")).groupBy("key")
+             .agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
+             .where("parts > 1").select("key", F.col("top.component").alias("home")))
+    members = own.join(homes, "key").select("home", "rep", "n", "component").distinct().checkpoint()
+    outside = F.col("component") != F.col("home")
+    cells = members.groupBy("home").agg(
+        F.ceil(F.sum(F.when(outside, F.col("n")).otherwise(0)) / BLOCK_SHINGLES).cast("long").alias("outer"),
+        F.ceil(F.sum(F.when(outside, 0).otherwise(F.col("n"))) / BLOCK_SHINGLES).cast("long").alias("inner"))
     zero, draw = F.lit(0).cast("long"), F.xxhash64("rep", F.lit(5))
-    placed = own.join(cells, "key").select(
-        "key", F.col("rep").alias("doc_id"), "component",
+    placed = members.join(cells, "home").select(
+        "home", F.col("rep").alias("doc_id"), "component",
         F.when(outside, F.pmod(draw, "outer")).otherwise(F.col("outer") + F.pmod(draw, "inner")).alias("cell"),
         F.explode(F.sequence(zero, F.col("outer") - 1 + F.when(outside, F.col("inner")).otherwise(zero))).alias("other"))
-    loads, n = _sized(placed.select("key", F.least("cell", "other").alias("first"), F.greatest("cell", "other").alias("second"),
+    loads, n = _sized(placed.select("home", F.least("cell", "other").alias("first"), F.greatest("cell", "other").alias("second"),
                                     "cell", "doc_id", "component"), ROWS_PER_TASK)
     rows = (sets.join(_small(loads, n), "doc_id")
-            .repartition("key", "first", "second").sortWithinPartitions("key", "first", "second", "cell", "doc_id"))
+            .repartition("home", "first", "second").sortWithinPartitions("home", "first", "second", "cell", "doc_id"))
 
     def run(batches):
         name, held, block = None, [], None
@@ -212,13 +218,13 @@ def settled(own: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
         def table(out):
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-        for batch in batches:
+        for batch in small_batches(batches, "words"):
             out: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("key", "first", "second", "cell", "doc_id", "component", "words")]
-            for key, first, second, cell, doc, component, words in zip(*columns, strict=True):
-                if (key, first, second) != name:
+            columns = [batch.column(c).to_pylist() for c in ("home", "first", "second", "cell", "doc_id", "component", "words")]
+            for home, first, second, cell, doc, component, words in zip(*columns, strict=True):
+                if (home, first, second) != name:
                     out += inside()
-                    name, held, block = (key, first, second), [], None
+                    name, held, block = (home, first, second), [], None
                 one = doc, component, np.frombuffer(words, np.uint64)
                 if cell == first:
                     held.append(one)
@@ -228,7 +234,7 @@ def settled(own: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
             yield table(out)
         yield table(inside())
 
-    return rows.select("key", "first", "second", "cell", "doc_id", "component", "words").mapInArrow(run, "a long, b long").distinct()
+    return rows.select("home", "first", "second", "cell", "doc_id", "component", "words").mapInArrow(run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, n: int) -> DataFrame:
@@ -258,7 +264,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
     checkpoint_dir(docs.sparkSession)
     signed = signatures(docs, shingle_words, bands, rows).checkpoint()
     classes = (signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key")
-               .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+               .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("copies")))
     buckets = classes.select("rep", "n", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low")).where("m > 1")
     # Only buckets of several classes go on: one row for each class and bucket.
@@ -310,16 +316,23 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
     if n_left:
         found, n_found = linked_by(left, n_left)
 
-    reps = classes.select("set_key", "rep")
+    reps = classes.select("set_key", "rep", "copies")
     if found is not None:
         reps = reps.join(_small(found.withColumnRenamed("node", "rep"), n_found), "rep", "left").select(
-            "set_key", F.coalesce("component", "rep").alias("class_id"))
+            "set_key", "copies", F.coalesce("component", "rep").alias("class_id"))
     else:
         reps = reps.withColumnRenamed("rep", "class_id")
-    linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_id"))
-    return signed.select("doc_id", "n_shingles", "set_key").join(reps, "set_key", "left").select(
-        "doc_id", "n_shingles", F.coalesce(linked, "doc_id").alias("component_id"),
-        F.coalesce(linked == F.col("doc_id"), F.lit(True)).alias("kept"))
+    rows = signed.select("doc_id", "n_shingles", "set_key")
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()   # of no class
+    # The rows of a class with many copies are dealt over several tasks, and its row goes to each of them.
+    parts = F.ceil(F.col("copies") / COPIES_PER_TASK).cast("long")
+    many, n_many = _sized(reps.where(F.col("copies") > COPIES_PER_TASK).select("set_key", parts.alias("parts")), ROWS_PER_TASK)
+    dealt = rows.where(~alone).join(_small(many, n_many), "set_key", "left").withColumn(
+        "part", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.coalesce("parts", F.lit(1).cast("long"))))
+    spread = reps.select("set_key", "class_id", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    told = dealt.join(spread, ["set_key", "part"]).select(
+        "doc_id", "n_shingles", F.col("class_id").alias("component_id"), (F.col("class_id") == F.col("doc_id")).alias("kept"))
+    return told.unionByName(rows.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def deduplicated(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
@@ -331,11 +344,13 @@ def deduplicated(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, threshold_
     dropped = found.where(~F.col("kept")).select("doc_id").distinct().checkpoint()
     repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id").checkpoint()
 
+    name = unused(docs, "own_id")
+
     def side(ids: DataFrame) -> DataFrame:
-        ids = ids.withColumnRenamed("doc_id", "__id")
+        ids = ids.withColumnRenamed("doc_id", name)
         return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    own = docs["doc_id"].cast("long") == F.col("__id")
+    own = docs["doc_id"].cast("long") == F.col(name)
     if repeated.isEmpty():
         return docs.join(side(dropped), own, "left_anti")
     once = docs.join(side(repeated), own, "left_semi").dropDuplicates(["doc_id"])
