@@ -156,8 +156,8 @@ def _sort_fields(long: DataFrame) -> list[str]:
     return ["mapping_idx", *(["row_order"] if "row_order" in long.columns else []), *LEAF]
 
 
-def with_chunks(long: DataFrame, key: list[str], max_values: int) -> DataFrame:
-    """Add ``chunk``: the leaf's position in its set, divided by ``max_values``.
+def with_positions(long: DataFrame, key: list[str]) -> DataFrame:
+    """Add ``position``, the leaf's place in its set (from 0), and ``set_size``.
 
     Positions come from a range sort over all sets, so a set of any size is
     spread over tasks and equal leaves are told apart by a row number; the
@@ -170,14 +170,21 @@ def with_chunks(long: DataFrame, key: list[str], max_values: int) -> DataFrame:
     sizes = ranged.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*[F.col(k).alias("_k_" + k) for k in key], F.col("_part").alias("_p"),
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(Window.partitionBy(*key)).alias("set_size"))
     same = [ranged[k].eqNullSafe(offsets["_k_" + k]) for k in key]   # a key part may be null
     position = F.row_number().over(Window.partitionBy("_part", *key).orderBy(*order)) - 1 + F.col("_before")
     return (ranged.join(offsets, [ranged["_part"] == offsets["_p"], *same])
-            .withColumn("chunk", F.floor(position / F.lit(max_values)).cast("int"))
+            .withColumn("position", position)
             .drop("_row", "_part", "_p", "_before", *["_k_" + k for k in key]))
 
 
+def with_chunks(long: DataFrame, key: list[str], max_values: int) -> DataFrame:
+    """Add ``chunk``: the leaf's position in its set, divided by ``max_values``."""
+    return (with_positions(long, key).withColumn("chunk", F.floor(F.col("position") / F.lit(max_values)).cast("int"))
+            .drop("position", "set_size"))
+
+
 def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUES_PER_SET) -> DataFrame:
     """Nest leaves into sets ``(report_id, dataSet, period, orgUnit, chunk, dataValues)``.
 

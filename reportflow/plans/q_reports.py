@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow.functions.expr import coc_expr, column_or_const, filter_flag, jtrim, with_filter_flags
+from reportflow.operators.delivery import write_documents
 from reportflow.operators.dvs import (aggregate_dvs, merge_duplicate_leaves, nest_dvs, rejected_rows, report_values_long,
                                       values_text)
 from reportflow.operators.paging import paged_extract
 from reportflow.plans import testdata as td
 from reportflow.plans.registry import query
+from reportflow.session import checkpoint_dir
 from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report, explode_mappings, runnable_reports
 from reportflow.sources.tables import register_period_function, report_params, run_report_sql, table
 
@@ -366,3 +371,21 @@ def dvs_hot_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = nest_dvs(hot_long(spark, sf_dir), HOT_PART)
     return sets.select("orgUnit", "chunk", F.size("dataValues").cast("long").alias("n_values"),
                        F.md5(values_text(F.col("dataValues"))).alias("values_md5"))
+
+
+@query("dvs_streamed_document", oracle="""
+WITH l AS (
+  SELECT l_returnflag AS orgUnit, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS value,
+         row_number() OVER (PARTITION BY l_returnflag
+                            ORDER BY l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)) AS n,
+         count(*) OVER (PARTITION BY l_returnflag) AS all_n
+  FROM lineitem)
+SELECT orgUnit, CASE WHEN n = 1 THEN '{"dataSet":"DsHot","period":"all","orgUnit":"' || orgUnit || '","dataValues":[' ELSE ',' END
+       || '{"dataElement":"ElQuantity","value":"' || value || '"}' || CASE WHEN n = all_n THEN ']}' ELSE '' END AS text
+FROM l
+""")
+def dvs_streamed_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets larger than memory as one document each, written piece by piece in leaf order; no set is collected."""
+    path = os.path.join(checkpoint_dir(spark), "documents-" + uuid.uuid4().hex)
+    write_documents(hot_long(spark, sf_dir), path)
+    return spark.read.text(path).select("orgUnit", F.col("value").alias("text"))
