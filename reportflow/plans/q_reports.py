@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from reportflow.operators.paging import paged_extract
 from reportflow.plans import testdata as td
 from reportflow.plans.registry import query
 from reportflow.session import checkpoint_dir
-from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report, explode_mappings, runnable_reports
+from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report, explode_mappings, report_by_id, runnable_reports
 from reportflow.sources.tables import register_period_function, report_params, run_report_sql, table
 
 # DuckDB twins of the test-data report SQL (same rows; strftime for date_format).
@@ -389,3 +390,36 @@ def dvs_streamed_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(checkpoint_dir(spark), "documents-" + uuid.uuid4().hex)
     write_documents(hot_long(spark, sf_dir), path)
     return spark.read.text(path).select("orgUnit", F.col("value").alias("text"))
+
+
+@query("report_lookup", oracle="""
+WITH r AS (SELECT 'rpt-' || c_custkey AS id, c_name AS name, c_custkey FROM customer),
+asked AS (SELECT 'rpt-7' AS asked UNION ALL SELECT 'none such' UNION ALL SELECT NULL)
+SELECT asked, id, name FROM asked JOIN r ON id = asked
+UNION ALL SELECT NULL, id, name FROM (SELECT * FROM r ORDER BY c_custkey LIMIT 1)
+""")
+def report_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A definition by id; an unknown id gives none, no id the first one."""
+    reports = td.customer_reports(spark, sf_dir)
+    found = None
+    for asked in ("rpt-7", "none such", None):
+        one = report_by_id(reports, asked).select(F.lit(asked).cast("string").alias("asked"), "id", "name")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query("empty_result", oracle="""
+SELECT 'values' AS kind, 0 AS n UNION ALL SELECT 'sets', 0 UNION ALL SELECT 'rejects', 0
+UNION ALL SELECT 'default_values', 0 UNION ALL SELECT 'rows_read', COUNT(*) FROM lineitem
+""")
+def empty_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL that gives no row gives no value, set or reject, with and without a mapping."""
+    rows = rollup_rows(spark, sf_dir, datetime(2999, 1, 1, tzinfo=timezone.utc))
+    long = report_values_long(rows, td.ROLLUP_REPORT)
+    parts = {"values": long, "sets": nest_dvs(long), "rejects": rejected_rows(rows, td.ROLLUP_REPORT.groupBy, report_id="r"),
+             "default_values": nest_dvs(report_values_long(rows, Report(id="plain"))), "rows_read": table(spark, sf_dir, "lineitem")}
+    out = None
+    for kind, df in parts.items():
+        one = df.agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit(kind).alias("kind"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
