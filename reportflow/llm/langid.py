@@ -27,10 +27,13 @@ from reportflow.llm.common import as_strings, bytes_and_offsets, small_batches
 DIMENSIONS = 4096
 MAX_DOCS_PER_LANG = 400
 UNKNOWN = "und"
-#: A text is in no learned language if the decisions taken for it (family, language in it) have a lower score than this
-#: (geometric mean; a decision without evidence has 0.5) and its features are less like the mean of every learned language
-#: (cosine). Of 256,410 labelled documents, a third held out, four have the lower score, and those have 0.47 to 0.89.
-DECIDED, ALIKE = 0.6, 0.43
+#: A text is in no learned language if both the decisions taken for it (family, language in it) and its likeness to the mean of every
+#: learned language (cosine) are far below what held-out labelled rows have. Of a sample of those, at most ``MAX_DOCS_PER_LANG`` a
+#: language, the value that this share of rows lies under is taken; the bound for a decision's score (geometric mean) is
+#: half way from there to 0.5, which is no evidence, and that for the likeness ``LIKENESS_KEPT`` of it, so that clean texts stay.
+LOW_SHARE, LIKENESS_KEPT = 0.005, 0.75
+#: Texts of fewer bytes with a letter stay: a word or two are too little to tell.
+SHORT_BYTES = 32
 
 # Language families by ISO 639-1 code. A language not listed is a family of its own.
 FAMILIES = {
@@ -115,6 +118,22 @@ class LanguageModel:
     family_b: np.ndarray | None = None
     pairs: dict[str, list[tuple[int, int, np.ndarray, float]]] = field(default_factory=dict)
     means: np.ndarray | None = None
+    #: Least score a decision and least likeness of texts in a learned language; 0 and -1 keep all.
+    decided: float = 0.0
+    alike: float = -1.0
+
+    def evidence(self, x: np.ndarray) -> tuple[float, float]:
+        """Score a decision and likeness of a text."""
+        lang, score = self.predict(x)
+        decisions = (len(self.families) > 1) + (len(self.langs[family_of(lang)]) > 1)
+        return score ** (1.0 / max(1, decisions)), float((self.means @ x).max())
+
+    def calibrate(self, xs: list[np.ndarray]) -> None:
+        """Set the bounds of ``knows`` by texts that are in learned languages."""
+        if self.families and xs:
+            found = np.array([self.evidence(x) for x in xs])
+            score, likeness = np.quantile(found, LOW_SHARE, axis=0, method="lower")
+            self.decided, self.alike = float(min(score, (score + 0.5) / 2)), float(LIKENESS_KEPT * likeness)
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         if not self.families:
@@ -146,9 +165,8 @@ class LanguageModel:
         """False if neither the machines tell the text's language nor the text is like one; without languages True."""
         if not self.families:
             return True
-        lang, score = self.predict(x)
-        decisions = (len(self.families) > 1) + (len(self.langs[family_of(lang)]) > 1)
-        return score >= DECIDED ** decisions or float((self.means @ x).max()) >= ALIKE
+        decided, alike = self.evidence(x)
+        return decided >= self.decided or alike >= self.alike
 
 
 def _squash(margin: float) -> float:
@@ -187,20 +205,18 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> LanguageModel:
-    """Train on a bounded sample of the training rows; the sample does not depend on how rows are dealt out."""
-    rows = docs.select("doc_id", "text", "lang").where(
-        ~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN))
+def _sample(rows: DataFrame, limit: int) -> list[tuple[str, np.ndarray]]:
+    """lang and features of at most ``limit`` rows (lang, text, doc_id) of each language, whatever way rows are dealt out."""
     draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30))
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
-        return LanguageModel()
+        return []
     # About twice the bound a language goes on to the ranking below, which then keeps exactly the bound.
-    share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(int(min(1.0, 2 * max_docs_per_lang / n) * (1 << 30))))
+    share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(int(min(1.0, 2 * limit / n) * (1 << 30))))
                          for lang, n in sorted(counts.items())])
     near = rows.withColumn("draw", draw).where(F.col("draw") <= share)
     keep = Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("text"))
-    sample = near.withColumn("rank", F.row_number().over(keep)).where(F.col("rank") <= max_docs_per_lang)
+    sample = near.withColumn("rank", F.row_number().over(keep)).where(F.col("rank") <= limit)
 
     def vectors(batches):
         for batch in small_batches(batches):
@@ -212,8 +228,22 @@ def fit(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> Language
                                               pa.array([v for _, v in out], pa.binary())], ["lang", "v"])
 
     found = sample.mapInArrow(vectors, "lang string, v binary").collect()
-    return train(sorted(((r[0], np.frombuffer(r[1], np.float32).astype(float)) for r in found),
-                        key=lambda r: (r[0], r[1].tobytes())))
+    return sorted(((r[0], np.frombuffer(r[1], np.float32).astype(float)) for r in found), key=lambda r: (r[0], r[1].tobytes()))
+
+
+def fit(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> LanguageModel:
+    """Train on a bounded sample of the training rows."""
+    rows = docs.select("doc_id", "text", "lang").where(
+        ~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN))
+    return train(_sample(rows, max_docs_per_lang))
+
+
+def calibrated(model: LanguageModel, docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> LanguageModel:
+    """The model with its bounds for known languages, by a sample of the held-out rows labelled with a learned language."""
+    learned = [lang for langs in model.langs.values() for lang in langs]
+    rows = docs.select("doc_id", "text", "lang").where(held_out() & F.col("text").isNotNull() & F.col("lang").isin(learned))
+    model.calibrate([x for _, x in _sample(rows, max_docs_per_lang)] if learned else [])
+    return model
 
 
 def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -249,8 +279,8 @@ def identify(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> Dat
 def in_known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The rows whose text is in a learned language, as they are; rows without text or without a letter go.
 
-    A text goes if its score is under ``DECIDED`` a decision and its likeness under ``ALIKE``. Without a learned language, or with one alone (nothing to
-    tell it from), every text with a letter stays.
+    A text goes if its score a decision and its likeness are both under the model's bounds (``calibrated``); a model without them, or
+    without a learned language, keeps every text with a letter.
     """
     names = docs.columns
 
@@ -261,7 +291,7 @@ def in_known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
             keep = []
             for k in range(len(strings)):
                 part = data[offsets[k]:offsets[k + 1]]
-                keep.append(has_letter(part, lambda k=k: strings[k].as_py()) and model.knows(features(part)))
+                keep.append(has_letter(part, lambda k=k: strings[k].as_py()) and (len(part) < SHORT_BYTES or model.knows(features(part))))
             yield batch.filter(pa.array(keep, pa.bool_())).select(names)
 
     return docs.mapInArrow(run, docs.schema)

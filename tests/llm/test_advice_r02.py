@@ -59,7 +59,7 @@ def test_every_repeat_in_a_text(spark, repeats):
 
 def test_language_decision_takes_effect(spark):
     docs = H.documents(spark)
-    model = langid.fit(docs)
+    model = langid.calibrated(langid.fit(docs), docs)
     foreign = ["日本語のテキストです。これは長い文章であり、学習されていない言語です。", "это русский текст о погоде и городе, который мы не видели",
                "to jest polski tekst którego nie znamy wcale", "qzxv wkjq zzxq vvkw qxqz jjwq kkzv"]
     rows = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(foreign)], "doc_id long, text string")
