@@ -38,8 +38,8 @@ ROWS = 5
 MEMBERS_PER_CHUNK = 256
 STARS = 3
 BLOCK_SHINGLES = 1 << 18
-#: Tables of ids and links of up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_IDS = 200_000
+#: Tables of ids and links, eight bytes a value, are broadcast up to this size; larger ones are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 #: Copies of one set above this number are dealt over several tasks where rows meet their class.
 COPIES_PER_TASK = 1000
 PROBES = 64
@@ -111,7 +111,7 @@ def _sized(df: DataFrame, rows_per_task: int) -> tuple[DataFrame, int]:
 
 
 def _small(df: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(df) if n <= BROADCAST_IDS else df
+    return F.broadcast(df) if 8 * n * len(df.columns) <= BROADCAST_BYTES else df
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
@@ -347,8 +347,7 @@ def deduplicated(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, threshold_
     name = unused(docs, "own_id")
 
     def side(ids: DataFrame) -> DataFrame:
-        ids = ids.withColumnRenamed("doc_id", name)
-        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        return _small(ids.withColumnRenamed("doc_id", name), ids.count())
 
     own = docs["doc_id"].cast("long") == F.col(name)
     if repeated.isEmpty():
