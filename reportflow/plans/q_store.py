@@ -151,8 +151,8 @@ def state_log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log in many appends, merged into segments and these into larger ones: the state and the log stay whole,
     and few folders are left."""
     root, events = stream_root(spark, "compact"), run_log(spark, sf_dir)
-    for n in range(24):
-        store.append_run_events(events.filter(F.pmod(F.hash("seq"), F.lit(24)) == n).coalesce(1), root)
+    for n in range(16):
+        store.append_run_events(events.filter(F.pmod(F.hash("seq"), F.lit(16)) == n).coalesce(1), root)
         if n % 2:
             state = store.snapshot_state(spark, root, td.DEFAULT_START, max_live_appends=1)
     folders = len(store.run_appends(spark, root)) + len(store.files.read_pointer(spark, f"{root}/run_events")[1]["segments"])
