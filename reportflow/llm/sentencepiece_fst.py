@@ -39,9 +39,9 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-STORE_PARTS = 60_000
+STORE_PARTS = 100_000
 STORE_CHARS = 64
-STORE_JOINS = 200_000
+STORE_JOINS = 300_000
 _INFINITE = float("inf")
 
 
