@@ -20,7 +20,7 @@ from reportflow.plans.report_run import Arrivals, report_rows
 from reportflow.sources import state_store as store
 from reportflow.sources.polled import PolledTable
 from reportflow.sources.reports import Report
-from reportflow.sources.tables import table
+from reportflow.sources.tables import table, streamed_path
 from reportflow.streaming import state_stream as ss
 from reportflow.streaming.stream import finish, report_batch_writer, report_checkpoint, run_stream, stream_report, stream_root
 
@@ -218,9 +218,10 @@ UNION ALL SELECT 'mended', 'SUCCESS', false, false, 1, true
 """)
 def stream_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that fails leaves FAILED and a dead letter and stops the stream; mended, the stream takes the same batch again."""
+    td.sources(spark, sf_dir)
     schema, sink, seen = table(spark, sf_dir, "events").schema, stream_root(spark, "stream-failure"), []
     for phase, report in (("failed", broken_events_report()), ("mended", td.EVENTS_REPORT)):
-        q = stream_report(spark, sf_dir, schema, report, view="events", sink=sink, time_col="ts", glob="events.parquet", order_by=td.EVENTS_ORDER)
+        q = stream_report(spark, streamed_path(sf_dir, "events"), schema, report, view="events", sink=sink, time_col="ts", order_by=td.EVENTS_ORDER)
         try:
             finish(q)
             raised = False

@@ -12,7 +12,7 @@ from reportflow.plans.q_reports import DUCK_EVENT_LEAVES
 from reportflow.plans.q_state import duck_rollup_values
 from reportflow.plans.registry import query
 from reportflow.sources.state_store import read_values
-from reportflow.sources.tables import table
+from reportflow.sources.tables import table, streamed_path
 from reportflow.streaming.stream import finish, stream_report, stream_root
 
 
@@ -22,10 +22,11 @@ FROM ({DUCK_EVENT_LEAVES})
 """)
 def stream_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events report as a micro-batch stream; its values equal the batch run's."""
+    td.sources(spark, sf_dir)
     schema = table(spark, sf_dir, "events").schema
     sink = stream_root(spark, "events-report")
-    q = stream_report(spark, sf_dir, schema, td.EVENTS_REPORT, view="events", sink=sink,
-                      time_col="ts", glob="events.parquet", order_by=td.EVENTS_ORDER)
+    q = stream_report(spark, streamed_path(sf_dir, "events"), schema, td.EVENTS_REPORT, view="events", sink=sink,
+                      time_col="ts", order_by=td.EVENTS_ORDER)
     finish(q)
     vals = spark.read.parquet(os.path.join(sink, "sent_values"))
     return vals.select("report_id", "dataSet", "period", "orgUnit", "dataElement", "value",
@@ -38,8 +39,8 @@ def stream_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     td.sources(spark, sf_dir)
     schema = table(spark, sf_dir, "lineitem").schema
     sink = stream_root(spark, "rollup-report")
-    q = stream_report(spark, sf_dir, schema, td.ROLLUP_REPORT, view="lineitem", sink=sink,
-                      time_col="l_shipdate", glob="lineitem.parquet", scope="recompute")
+    q = stream_report(spark, streamed_path(sf_dir, "lineitem"), schema, td.ROLLUP_REPORT, view="lineitem", sink=sink,
+                      time_col="l_shipdate", scope="recompute")
     finish(q)
     return read_values(spark, sink).select("report_id", "dataSet", "period", "orgUnit", "dataElement",
                                            "value", "categoryOptionCombo", "mapping_idx")

@@ -30,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def streamed_path(sf_dir: str, name: str) -> str:
+    """A table's path for a file stream, whether the table is one file or a folder of files: Spark streams a path
+    without a pattern from folders only."""
+    return os.path.join(sf_dir, f"{name}.parque[t]")
+
+
 def register_sources(spark: SparkSession, sf_dir: str,
                      names: Iterable[str] = TEST_TABLES) -> dict[str, DataFrame]:
     """Register the named parquet tables under ``sf_dir`` as temp views; a missing one raises."""

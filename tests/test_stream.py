@@ -5,9 +5,10 @@ import os
 from pyspark.sql import functions as F
 
 from reportflow.operators.dvs import report_values_long
+from reportflow.plans import q_store, q_stream
 from reportflow.plans import testdata as td
 from reportflow.sources.state_store import read_run_events, snapshot_state
-from reportflow.sources.tables import register_sources, report_params, run_report_sql, table
+from reportflow.sources.tables import TEST_TABLES, register_sources, report_params, run_report_sql, table
 from reportflow.streaming.stream import report_batch_writer, stream_report
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +50,22 @@ def test_a_batch_counts_rows_of_any_age(spark, tmp_out):
     kinds = spark.read.parquet(os.path.join(sink, "sent_values")).filter("dataElement = 'ElKind'")
     assert kinds.count() == 3 and kinds.filter("period = '199905'").count() == 3
     register_sources(spark, SF)
+
+
+def test_stream_queries_read_tables_of_several_files(spark, tmp_out):
+    """A table that is a folder of files streams like one that is a file."""
+    queries = [q_stream.stream_values, q_stream.stream_recompute, q_store.stream_failure]
+    folder = os.path.join(tmp_out, "tables")
+    os.makedirs(folder)
+    for name in TEST_TABLES:
+        if name in ("events", "lineitem"):
+            table(spark, SF, name).repartition(3).write.parquet(os.path.join(folder, f"{name}.parquet"))
+        else:
+            os.symlink(os.path.join(SF, f"{name}.parquet"), os.path.join(folder, f"{name}.parquet"))
+    for name in ("events", "lineitem"):   # the queries register what they read
+        spark.catalog.dropTempView(name)
+    for query in queries:
+        one, several = (query(spark, where).checkpoint() for where in (SF, folder))
+        assert one.count() == several.count() > 0
+        assert one.exceptAll(several).isEmpty()
+    register_sources(spark, SF)
