@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportflow.functions.expr import jtrim
-from reportflow.operators.dvs import KEYS, with_positions
+from reportflow.operators.dvs import KEYS, counted_positions, sort_parts
 
 VALUE_KEY = ["dataSet", "period", "orgUnit", "dataElement", "categoryOptionCombo"]
 
@@ -64,20 +64,26 @@ def document_pieces(long: DataFrame) -> DataFrame:
 
     The first piece has the document's head, the last its tail. Nothing collects a set, so it may be larger than any memory.
     """
+    return _counted_pieces(long)[0]
+
+
+def _counted_pieces(long: DataFrame) -> tuple[DataFrame, int]:
     key = ["report_id", *KEYS]
     leaf = F.to_json(F.struct("dataElement", "value", "categoryOptionCombo"))
     # The head is the set's JSON without leaves, but for its closing braces.
     head = F.expr("regexp_replace(to_json(named_struct('dataSet', dataSet, 'period', period, 'orgUnit', orgUnit, 'dataValues', array())), '\\\\]\\\\}$', '')")
     text = F.concat(F.when(F.col("position") == 0, head).otherwise(F.lit(",")), leaf,
                     F.when(F.col("position") == F.col("set_size") - 1, F.lit("]}")).otherwise(F.lit("")))
-    return with_positions(long, key).select(*key, "position", text.alias("text"))
+    placed, n = counted_positions(long, key)
+    return placed.select(*key, "position", text.alias("text")), n
 
 
 def write_documents(long: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Each set as a folder (report, data set, period, org unit) of text files: put together in order of their names, they are
     the set's JSON document, whatever its size. Sets that fit in memory are cheaper as rows (``dvs_json``)."""
     key = ["report_id", *KEYS]
-    (document_pieces(long).repartitionByRange(*key, "position").sortWithinPartitions(*key, "position")
+    pieces, n = _counted_pieces(long)
+    (pieces.repartitionByRange(sort_parts(n), *key, "position").sortWithinPartitions(*key, "position")
      .select(*key, F.col("text").alias("value")).write.mode(mode).partitionBy(*key).text(path))
 
 

@@ -41,6 +41,8 @@ DEFAULT_ALIASES = {
 
 # One document per set; a number splits larger sets into ordered parts with the same keys.
 DEFAULT_MAX_VALUES_PER_SET = None
+# Leaves that one task sorts where positions are counted.
+LEAVES_PER_SORT = 250_000
 
 
 def _order_struct(df: DataFrame, order_by: Sequence[str] | None) -> Column | None:
@@ -156,27 +158,42 @@ def _sort_fields(long: DataFrame) -> list[str]:
     return ["mapping_idx", *(["row_order"] if "row_order" in long.columns else []), *LEAF]
 
 
+def sort_parts(n: int) -> int:
+    """Partitions for a range sort of ``n`` leaves: what one task sorts does not grow with them."""
+    return max(1, -(-n // LEAVES_PER_SORT))
+
+
 def with_positions(long: DataFrame, key: list[str]) -> DataFrame:
-    """Add ``position``, the leaf's place in its set (from 0), and ``set_size``.
+    """Add ``position``, the leaf's place in its set (from 0), and ``set_size``."""
+    return counted_positions(long, key)[0]
+
+
+def counted_positions(long: DataFrame, key: list[str]) -> tuple[DataFrame, int]:
+    """``with_positions`` and the number of leaves.
 
     Positions come from a range sort over all sets, so a set of any size is
     spread over tasks and equal leaves are told apart by a row number; the
-    offsets of a set's parts are sums over the few parts it spans.
+    offsets of a set's parts are sums over the few parts it spans. Leaves are
+    numbered where they were sorted and meet only those sums, so parts never
+    gather in one task.
     """
     checkpoint_dir(long.sparkSession)
     order = [*key, *_sort_fields(long), "_row"]
-    ranged = (long.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
-              .repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()).checkpoint())
-    sizes = ranged.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = long.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    n = numbered.count()
+    # A part's id goes up by one a row from the part's number times 2^33.
+    part = F.shiftright("_at", 33)
+    ranged = (numbered.repartitionByRange(sort_parts(n), *[F.col(c) for c in order]).sortWithinPartitions(*order).drop("_row")
+              .withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", part).checkpoint())
+    sizes = ranged.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_from"))
     before = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*[F.col(k).alias("_k_" + k) for k in key], F.col("_part").alias("_p"),
+    offsets = sizes.select(*[F.col(k).alias("_k_" + k) for k in key], F.col("_part").alias("_p"), "_from",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
                            F.sum("_n").over(Window.partitionBy(*key)).alias("set_size"))
     same = [ranged[k].eqNullSafe(offsets["_k_" + k]) for k in key]   # a key part may be null
-    position = F.row_number().over(Window.partitionBy("_part", *key).orderBy(*order)) - 1 + F.col("_before")
     return (ranged.join(offsets, [ranged["_part"] == offsets["_p"], *same])
-            .withColumn("position", position)
-            .drop("_row", "_part", "_p", "_before", *["_k_" + k for k in key]))
+            .withColumn("position", F.col("_at") - F.col("_from") + F.col("_before"))
+            .drop("_at", "_part", "_p", "_from", "_before", *["_k_" + k for k in key])), n
 
 
 def with_chunks(long: DataFrame, key: list[str], max_values: int) -> DataFrame:

@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from reportflow.operators import dvs
 from reportflow.operators import delivery as dl
 from reportflow.operators.dvs import (aggregate_dvs, nest_dvs, rejected_rows, report_values_long,
                                       values_long, values_text)
@@ -204,3 +205,19 @@ def test_to_char_is_translated_outside_quotes_and_comments():
     out = translate_to_char(sql)
     assert "date_format(f(a, (b)), 'yyyy-MM-dd HH:mm:ss') x" in out
     assert "'TO_CHAR(a, ''YYYY'')'" in out and "TO_CHAR(c, 'YYYY')" in out and "TO_CHAR(d, 'MM')" in out and "TO_CHAR(e, 'MM')" in out
+
+
+def test_positions_without_a_task_that_gathers_parts(spark, monkeypatch):
+    """One large set in many sorted parts: no window over leaves, no leaf shuffled by its part; positions are those of the order."""
+    monkeypatch.setattr(dvs, "LEAVES_PER_SORT", 100, raising=False)
+    long = spark.range(5000).select(
+        F.lit("r").alias("report_id"), F.lit("ds").alias("dataSet"), F.when(F.col("id") < 4500, "p").alias("period"), F.lit("ou").alias("orgUnit"),
+        F.lit("e").alias("dataElement"), F.lpad(F.pmod(F.col("id") * 7919, F.lit(1000)).cast("string"), 4, "0").alias("value"),
+        F.lit(None).cast("string").alias("categoryOptionCombo"), F.lit(0).alias("mapping_idx"))
+    placed = dvs.with_positions(long, ["report_id", *dvs.KEYS])
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Window" in line and "row_number" in line]
+    for period, n in (("p", 4500), (None, 500)):
+        rows = placed.filter(F.col("period").eqNullSafe(F.lit(period))).orderBy("position").collect()
+        assert [r["position"] for r in rows] == list(range(n)) and {r["set_size"] for r in rows} == {n}
+        assert [r["value"] for r in rows] == sorted(r["value"] for r in rows)
