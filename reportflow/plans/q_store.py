@@ -121,7 +121,7 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds = {"performed": "sum", "positive": "sum"}
     parts = [(F.col("l_shipdate") < cut) & ~late, F.col("l_shipdate") >= cut, late & (F.col("l_orderkey") % 2 == 0), late & (F.col("l_orderkey") % 2 == 1)]
     for n, part in enumerate(parts):
-        whole.filter(part).coalesce(2).write.parquet(os.path.join(files, f"part{n}"))
+        whole.filter(part).write.parquet(os.path.join(files, f"part{n}"))
         finish(stream_report(spark, f"{files}/*", whole.schema, report, view="lineitem", sink=sink, time_col="l_shipdate",
                              glob="part-*.parquet", scope="merge", folds=folds, max_shares=2))
     replay = report_batch_writer(report, "lineitem", sink, "l_shipdate", scope="merge", folds=folds, max_shares=2)

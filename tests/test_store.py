@@ -10,15 +10,18 @@ from reportflow.operators import delivery as dl
 from reportflow.operators import digests as dg
 from reportflow.operators import partials
 from reportflow.operators.state import fold_sync_state
+from reportflow.plans import q_store
 from reportflow.plans.pipeline import run_report_group, run_reports
 from reportflow.plans.report_run import Arrivals, report_rows
 from reportflow.schemas import RUN_EVENTS
 from reportflow.sources import files
 from reportflow.sources import state_store as store
 from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report
+from reportflow.sources.tables import table
 from reportflow.streaming import state_stream as ss
 from reportflow.streaming.stream import finish, report_batch_writer, stream_report
 
+SF = "/root/testdata/sf0.001"
 START = datetime(2020, 1, 1, tzinfo=timezone.utc)
 
 
@@ -269,3 +272,29 @@ def test_to_char_of_nested_and_zoned_values(spark):
     for fmt in ("IYYY-IW", "YYYY-WW", "Month", "999"):
         with pytest.raises(ValueError):
             translate_to_char(f"SELECT TO_CHAR(x, '{fmt}')")
+
+
+def test_files_of_the_merge_query_are_written_by_as_many_tasks_as_read_them(spark, tmp_out, monkeypatch):
+    """What one task reads to make the arriving files is one split, not half of the table."""
+    class Written(Exception):
+        pass
+
+    def stop(*args, **kw):
+        raise Written
+
+    folder, sink = os.path.join(tmp_out, "tables"), os.path.join(tmp_out, "sink")
+    os.makedirs(folder)
+    table(spark, SF, "lineitem").repartition(4).write.parquet(os.path.join(folder, "lineitem.parquet"))
+    monkeypatch.setattr(q_store.td, "sources", lambda *a: None)
+    monkeypatch.setattr(q_store, "stream_root", lambda *a: sink)
+    monkeypatch.setattr(q_store, "stream_report", stop)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        splits = table(spark, folder, "lineitem").rdd.getNumPartitions()
+        with pytest.raises(Written):
+            q_store.incremental_merge(spark, folder)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    written = [f for f in os.listdir(os.path.join(sink, "incoming", "part0")) if f.endswith(".parquet")]
+    assert splits >= 4 and len(written) > 2
