@@ -11,8 +11,8 @@ without its country sign is found by its earlier form, each time. Base spans alw
 whose kind has a belief over one half and that touch no base span.
 
 The weights tell matches from the same mentions without their telling mark, so a shape alone seldom counts. They are
-fitted on the mentions of at most ``max_docs`` documents (a documented bound; the first 2,000 mentions
-of one document in this sample), labelled by the patterns, and drawn back to a prior of "other". Everything else covers all rows and whole texts.
+fitted on all mentions of all rows, labelled by the patterns, and drawn back to a prior of "other". The fit needs only how
+often each set of features has each label, and each pair of labels an edge: Spark counts these, and there are few of them.
 
 Defined results: null and empty texts have no spans; repeated rows each get a result; an empty table gives no rows.
 Only doc_id and text are read; ``mask`` keeps all columns as they are but text and n_chars.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,6 @@ from reportflow.llm.common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
-MAX_DOCS = 4000
 #: Messages are settled when none changes by more; loops that swing on end after so many rounds.
 SETTLED = 1e-3
 MOST_ROUNDS = 200
@@ -182,32 +182,30 @@ class Field:
         return shape
 
     @classmethod
-    def fit(cls, rows: list[tuple[list[list[int]], list[int], list[tuple[int, int]], list[tuple[int, int]]]]) -> Field:
-        """rows: for each document its mentions' features, weak labels, chain edges and skip edges."""
+    def fit(cls, mentions: dict[tuple[tuple[int, ...], int], int], edges: tuple[np.ndarray, np.ndarray]) -> Field:
+        """mentions: number of mentions by features and weak label; edges: numbers of chain and skip edges by label pair."""
         labels = OTHER + 1
-        seen = [(f, v) for marks, kinds, *_ in rows for f, v in zip(marks, kinds, strict=True)]
+        seen = [(f, v, n) for (f, v), n in sorted(mentions.items())]
         # The same mention without its telling mark is no match by itself; only its context may say otherwise.
-        seen += [([TELLING.get(k, k) for k in f if TELLING.get(k, k) is not None], OTHER) for f, v in seen if v != OTHER]
-        x = np.array([np.isin(np.arange(len(FEATURES)), f) for f, _ in seen], float).reshape(-1, len(FEATURES))
-        y = np.array([v for _, v in seen], int)
+        seen += [([TELLING.get(k, k) for k in f if TELLING.get(k, k) is not None], OTHER, n) for f, v, n in seen if v != OTHER]
+        x = np.array([np.isin(np.arange(len(FEATURES)), f) for f, *_ in seen], float).reshape(-1, len(FEATURES))
+        y = np.array([v for _, v, _ in seen], int)
+        count = np.array([n for *_, n in seen], float)
         shape = cls.prior()
         if len(y):
             target = np.eye(labels)[y]
-            weight = 1.0 / np.sqrt(np.bincount(y, minlength=labels)[y])  # rare kinds count too
-            weight /= weight.mean()
+            weight = 1.0 / np.sqrt(np.bincount(y, count, minlength=labels)[y])  # rare kinds count too
+            weight *= count / np.average(weight, weights=count)
             prior, pull = shape.copy(), 0.02
             for _ in range(400):
                 z = x @ shape
                 p = np.exp(z - z.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
-                shape -= 0.5 * (x.T @ ((p - target) * weight[:, None]) / len(y) + pull * (shape - prior))
+                shape -= 0.5 * (x.T @ ((p - target) * weight[:, None]) / count.sum() + pull * (shape - prior))
 
         def agreement(which: int, limit: float) -> np.ndarray:
             """Log-odds of label pairs on edges against independence, smoothed and bounded."""
-            pairs = np.full((labels, labels), 0.5)
-            for _, kinds, *edges in rows:
-                for i, j in edges[which]:
-                    pairs[kinds[i], kinds[j]] += 1
+            pairs = edges[which] + 0.5
             pairs = pairs + pairs.T
             share = pairs / pairs.sum()
             alone = share.sum(1)
@@ -301,38 +299,40 @@ def find_spans(texts: list[str | None], field: Field) -> list[tuple[list[Span],
     return out
 
 
-def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
-    """Fit the field on the mentions of at most ``max_docs`` documents that hold a digit or ``@``."""
-    rows = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-    count = rows.count()
-    if not count:
-        return Field.fit([])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
-    limit = int(min(1.0, 1.5 * max_docs / count) * (1 << 30))
+def fit(docs: DataFrame) -> Field:
+    """Fit the field on all mentions of all rows."""
 
     def run(batches):
-        for batch in batches:
-            out = []
-            for d, text in zip(batch.column("draw").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                mentions = _mentions(text)[:2000]
-                if mentions:
-                    c, s = _edges(mentions)
-                    out.append((d, repr(([m[3] for m in mentions], _observed(mentions, base_spans(text)).tolist(), c, s))))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string())], ["draw", "found"])
-
-    from ast import literal_eval
-
-    got = rows.select(draw.alias("draw"), "text").where(F.col("draw") <= limit).mapInArrow(run, "draw long, found string").collect()
-    return Field.fit([literal_eval(r[1]) for r in sorted(got, key=lambda r: (r[0], r[1]))[:max_docs]])
+        found: Counter[tuple[int, str, int]] = Counter()  # statistic, features or first label, (second) label
+        for batch in small_batches(batches):
+            for text in batch.column("text").to_pylist():
+                mentions = _mentions(text)
+                kinds = _observed(mentions, base_spans(text)).tolist()
+                found.update((0, ",".join(map(str, m[3])), v) for m, v in zip(mentions, kinds, strict=True))
+                for which, pairs in enumerate(_edges(mentions), 1):
+                    found.update((which, str(kinds[i]), kinds[j]) for i, j in pairs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in found], pa.int32()), pa.array([k[1] for k in found], pa.string()),
+             pa.array([k[2] for k in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["which", "key", "label", "n"])
+
+    counts = (docs.select("text").where(F.col("text").rlike("[0-9@]")).mapInArrow(run, "which int, key string, label int, n long")
+              .groupBy("which", "key", "label").agg(F.sum("n").alias("n")).collect())
+    mentions, edges = {}, np.zeros((2, OTHER + 1, OTHER + 1))
+    for which, key, label, n in counts:
+        if which:
+            edges[which - 1, int(key), label] = n
+        else:
+            mentions[tuple(map(int, key.split(","))), label] = n
+    return Field.fit(mentions, (edges[0], edges[1]))
 
 
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind, a, b in spans)
 
 
-def detect(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+def detect(docs: DataFrame) -> DataFrame:
     """doc_id, counts of base spans by kind, base_sha256 of the base spans and all spans of every row."""
-    field = fit(docs, max_docs)
+    field = fit(docs)
 
     def run(batches):
         for batch in small_batches(batches):
@@ -363,9 +363,9 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def mask(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+def mask(docs: DataFrame) -> DataFrame:
     """All rows and columns, with every span of text masked and n_chars recounted where a text changes."""
-    field = fit(docs, max_docs)
+    field = fit(docs)
     names = docs.columns
 
     def run(batches):

@@ -3,13 +3,14 @@
 import itertools
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from reportflow.llm import langid, pii, secrets
+from reportflow.llm import langid, lm_mixing, pii, secrets
 
 LABELS = pii.OTHER + 1
 
@@ -138,3 +139,31 @@ def test_added_secret_spans_by_definition():
         assert sorted(every) == sorted(base + fresh)
         added += len(fresh)
     assert added > 200
+
+
+def test_weights_of_the_field_come_from_all_mentions(spark):
+    """Beyond 4,000 documents, and beyond 2,000 mentions of one: the statistics are those of all of them."""
+    def rows(n):
+        return spark.range(n).selectExpr("id as doc_id", "case when id % 97 = 0 then concat('mail x', id, '@y.org') else concat('call ', 1000000 + id) end as text")
+    seen, given = [], pii.Field.fit
+    try:
+        pii.Field.fit = lambda mentions, edges: seen.append((mentions, edges)) or given(mentions, edges)
+        pii.fit(rows(7000))
+        pii.fit(spark.createDataFrame([(1, "1234567 , " * 3000)], "doc_id long, text string"))
+    finally:
+        pii.Field.fit = given
+    assert sum(seen[0][0].values()) == 7000 and sum(n for (_, v), n in seen[0][0].items() if v != pii.OTHER) == 73
+    assert sum(seen[1][0].values()) == 3000 and [e.sum() for e in seen[1][1]] == [2999, 2999]
+
+
+def test_start_weights_of_the_mixer_come_from_all_training_texts(spark):
+    """Over 512 texts: every one has its part in the start weights, wherever it lies."""
+    texts = [(k, " ".join(f"w{zlib.crc32(f'{k} {j}'.encode()) % 997}" for j in range(150))) for k in range(900)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model, start = lm_mixing.fit(docs), np.full((lm_mixing.PREDICTORS, lm_mixing.GATES), lm_mixing.START_WEIGHT, np.float32)
+    training = [t for k, t in texts if zlib.crc32(str(k).encode()) % 7 != 2]
+    fresh = lm_mixing.Model(model.code, model.bits, model.order0, model.table, start, 0.1)
+    data = np.frombuffer("".join(training).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in training])))
+    summed, n = fresh.bit_costs(*lm_mixing.stream(data, offsets, model.code.symbol))[2]
+    assert n > 512 and np.allclose(model.weights, summed / n, atol=1e-6)
