@@ -127,6 +127,23 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFra
     return texts.join(_small(wanted, n), "doc_id", "left_semi").mapInArrow(run, "doc_id long, words binary")
 
 
+def met_pairs(own: DataFrame, centers: DataFrame, threshold_pct: int) -> DataFrame:
+    """The pairs (center, member) of each class and the centres of its buckets that lie in other components and whose sizes allow
+    a link (own: key, rep, n, component; centers: key, centers).
+
+    Members of a family share many buckets and meet the same centres there, so a class gathers its centres, at most those of
+    its bands, before its pairs are made.
+    """
+
+    def allowed(c: F.Column) -> F.Column:
+        return (F.col("component") != c["component"]) & (100 * F.least(F.col("n"), c["n"]) >= threshold_pct * F.greatest(F.col("n"), c["n"]))
+
+    met = (own.join(centers, "key").select("rep", F.transform(F.filter("centers", allowed), lambda c: c["rep"]).alias("met"))
+           .where(F.size("met") > 0).groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met")))
+    return (met.select("rep", F.explode("met").alias("other"))
+            .select(F.least("rep", "other").alias("center"), F.greatest("rep", "other").alias("member")).distinct())
+
+
 def confirmed(candidates: DataFrame, n: int, sets: DataFrame, threshold_pct: int) -> DataFrame:
     """The ``n`` candidate edges (center, member) whose full shingle sets reach the threshold.
 
@@ -273,9 +290,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
     # The sets of the documents in them are made once, not in every round.
     sets, _ = _sized(full_sets(docs, buckets.select(F.col("rep").alias("doc_id")).distinct(), shingle_words), SETS_PER_TASK)
 
-    def sizes_allow(a: str, b: str) -> F.Column:
-        return 100 * F.least(a, b) >= threshold_pct * F.greatest(a, b)
-
     tested, n_tested, found, n_found = None, 0, None, 0
     round_no = 0
 
@@ -299,9 +313,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, thresho
                    .agg(*[F.min(F.struct(d.alias("draw"), "rep", "n", "component")).alias(f"c{k}") for k, d in enumerate(draws)],
                         F.min("component").alias("low"), F.max("component").alias("high"))
                    .where("low < high").select("key", F.array_distinct(F.array(*stars)).alias("centers")))
-        candidates = (own.join(centers, "key").select("rep", "n", "component", F.explode("centers").alias("c"))
-                      .where((F.col("component") != F.col("c.component")) & sizes_allow("n", "c.n"))
-                      .select(F.least("rep", "c.rep").alias("center"), F.greatest("rep", "c.rep").alias("member")).distinct())
+        candidates = met_pairs(own, centers, threshold_pct)
         if tested is not None:
             candidates = candidates.join(_small(tested, n_tested), ["center", "member"], "left_anti")
         candidates, n = _sized(candidates, ROWS_PER_TASK)

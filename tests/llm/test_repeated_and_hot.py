@@ -88,3 +88,27 @@ def test_topk_counts_repeated_ids_once(spark):
     df = spark.createDataFrame([(20, [1.0]), (20, [1.0]), (1, [1.0]), (2, [1.0])], "vec_id long, embedding array<double>")
     got = topk.nearest(df).where(F.col("query_id") == 20)
     assert sorted(r["vec_id"] for r in got.collect()) == [1, 2]
+
+
+def test_a_class_meets_a_centre_once_however_many_buckets_they_share(spark):
+    """60 classes of 20 shared buckets with three centres: the rows made on the way are the pairs, not pairs times buckets."""
+    own = spark.createDataFrame([(key, rep, 10 if rep < 50 else 100, rep) for key in range(20) for rep in range(60)],
+                                "key long, rep long, n long, component long")
+    centers = spark.createDataFrame([(key, [(0, 10, 0), (1, 10, 1), (2, 10, 2)]) for key in range(20)],
+                                    "key long, centers array<struct<rep:long,n:long,component:long>>")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        met = near_dup.met_pairs(own, centers, 80)
+        got = sorted((r["center"], r["member"]) for r in met.collect())
+        made, nodes = [], [met._jdf.queryExecution().executedPlan()]
+        while nodes:
+            node = nodes.pop()
+            children = node.children()
+            nodes += [children.apply(k) for k in range(children.size())]
+            if node.nodeName() == "Generate":
+                made.append(node.metrics().apply("numOutputRows").value())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert got == sorted({(c, m) for c in range(3) for m in range(c + 1, 50)})
+    assert made and max(made) <= 2 * len(got)
