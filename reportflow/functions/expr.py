@@ -53,6 +53,19 @@ def as_text(c: Column) -> Column:
     return c.cast("string")
 
 
+_NOTHING_TO_TRIM = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def trimmed_text(df: DataFrame, name: str) -> Column:
+    """``jtrim`` of a column's text. ``btrim`` looks every end up in its character set, so only text that begins or ends
+    with a byte up to 0x20 goes through it; numbers and times never do."""
+    c = as_text(qcol(name))
+    if isinstance(df.schema[name].dataType, _NOTHING_TO_TRIM):
+        return c
+    end = lambda at: F.substring(c.cast("binary"), at, 1) > F.lit(bytes([0x20]))
+    return F.when(end(1) & end(-1), c).otherwise(jtrim(c))
+
+
 # Date tokens of the source database's TO_CHAR and Spark's letters for them; None: Spark has none.
 TO_CHAR_TOKENS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DDD": "DDD", "DD": "dd", "HH24": "HH", "HH12": "hh", "HH": "hh", "MI": "mm",
                   "SS": "ss", "MS": "SSS", "US": "SSSSSS", "Q": "q", "AM": "a", "PM": "a", "Y,YYY": None, "YYY": None, "IYYY": None,
@@ -185,7 +198,7 @@ def column_or_const(df: DataFrame, key: str | None, null_key: str = "reject") ->
     const = F.lit(java_trim_str(key))
     if name is None:
         return const
-    v = jtrim(as_text(qcol(name)))
+    v = trimmed_text(df, name)
     if null_key == "name":
         return F.coalesce(v, const)
     if null_key != "reject":
@@ -207,7 +220,7 @@ def coc_expr(df: DataFrame, cfg: str | None, legacy_fallback: bool = False) -> C
     name = resolve_column(df.columns, cfg)
     if name is None:
         return const
-    cv = jtrim(as_text(qcol(name)))
+    cv = trimmed_text(df, name)
     good = cv.isNotNull() & (cv != "") & (F.lower(cv) != "default")
     return F.when(good, cv).otherwise(const if legacy_fallback else null)
 

@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportflow.functions.expr import (as_text, coalesce_aliases, coc_expr, column_or_const, filter_flag, jtrim,
-                                       qcol, resolve_column, with_filter_flags)
+from reportflow.functions.expr import (coalesce_aliases, coc_expr, column_or_const, filter_flag, qcol, resolve_column,
+                                       trimmed_text, with_filter_flags)
 from reportflow.session import checkpoint_dir
 from reportflow.sources.reports import DataValueMapping, GroupBySpec, Report
 
@@ -81,7 +81,7 @@ def values_long(rows: DataFrame, group_by: GroupBySpec | None,
     for i, m in enumerate(mappings):
         keep = F.col(filter_flag(i))
         vname = resolve_column(rows.columns, m.valueColumn)
-        v = jtrim(as_text(qcol(vname))) if vname else F.lit(None).cast("string")
+        v = trimmed_text(rows, vname) if vname else F.lit(None).cast("string")
         leaf = F.struct(F.lit(i).alias("mapping_idx"), F.lit(m.dataElement).alias("dataElement"),
                         v.alias("value"),
                         coc_expr(rows, m.categoryOptionCombo, legacy_coc).alias("categoryOptionCombo"))
@@ -93,12 +93,14 @@ def values_long(rows: DataFrame, group_by: GroupBySpec | None,
             ou.alias("orgUnit")]
     if order is not None:
         proj.append(order.alias("row_order"))
-    proj.append(F.array_compact(F.array(*leaves)).alias("_leaves"))
+    proj.append(F.array(*leaves).alias("_leaves"))
     out = (src.select(*proj)
            .filter(_key_ok(F.col("dataSet")) & _key_ok(F.col("period")) & _key_ok(F.col("orgUnit")))
            .select("report_id", *KEYS,
                    *(["row_order"] if order is not None else []),
-                   F.explode("_leaves").alias("_leaf"))
+                   # Outer: for a plain explode Spark adds a filter on the array, which makes all leaves twice.
+                   F.explode_outer("_leaves").alias("_leaf"))
+           .filter(F.col("_leaf").isNotNull())
            .select("report_id", *KEYS, "_leaf.dataElement", "_leaf.value",
                    "_leaf.categoryOptionCombo", "_leaf.mapping_idx",
                    *(["row_order"] if order is not None else [])))
@@ -213,7 +215,8 @@ def nest_dvs(long: DataFrame, max_values_per_set: int | None = DEFAULT_MAX_VALUE
     key = [c for c in ["report_id", *KEYS] if c in long.columns]
     long = with_chunks(long, key, max_values_per_set) if max_values_per_set else long.withColumn("chunk", F.lit(0))
     packed = F.struct(*[F.col(c) for c in _sort_fields(long)])
-    aggs = [F.array_sort(F.collect_list(packed)).alias("_vals")]
+    # Not array_sort: that compares by a lambda.
+    aggs = [F.sort_array(F.collect_list(packed)).alias("_vals")]
     has_order = "row_order" in long.columns
     if has_order:
         # O3: sets were emitted in order of first appearance; keep that as a sort key.

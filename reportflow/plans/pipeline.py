@@ -92,7 +92,7 @@ def run_reports(spark: SparkSession, reports: Sequence[Report] | DataFrame, root
     append_events(spark, root, [(r.id, seq, as_of, "IN_PROGRESS", r.name, None, None, None) for r in runnable])
     ended = []
     for r in runnable:
-        sets, replaced, digests = None, None, None
+        sets, long, replaced, digests = None, None, None, None
         facts = (arrivals or {}).get(r.id)
         try:
             # Values, rejects, sets and counts all read the result: run the SQL once, cut lineage.
@@ -103,7 +103,8 @@ def run_reports(spark: SparkSession, reports: Sequence[Report] | DataFrame, root
             if transforms and r.id in transforms:
                 rows = custom_transform(rows, transforms[r.id])
             rows = rows.checkpoint(eager=True)
-            long = report_values_long(rows, r, order_by=(order_by or {}).get(r.id))
+            # Sets, cells and counts all read the leaves.
+            long = report_values_long(rows, r, order_by=(order_by or {}).get(r.id)).persist()
             sets = _set_documents(long, max_values_per_set, complete_date)
             write_run(sets, root, "outbox", run_id)
             store.upsert_values(spark, long.withColumn("load_ts", F.lit(as_of)), root,
@@ -119,6 +120,9 @@ def run_reports(spark: SparkSession, reports: Sequence[Report] | DataFrame, root
             body = spark.createDataFrame([(r.id, r.to_json())], "report_id string, json string")
             write_dead_letters(spark, root, run_id, body if sets is None else sets.select("report_id", "json"), as_of)
             ended.append((r.id, seq + 1, as_of, "FAILED", r.name, None, text, None))
+        finally:
+            if long is not None:
+                long.unpersist()
     append_events(spark, root, ended)
     return store.snapshot_state(spark, root, default_start)
 

@@ -223,12 +223,12 @@ def _manifest(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
     return number, spark.read.schema(MANIFEST).parquet(os.path.join(_values(root), content["manifest"]))
 
 
-def _in_folders(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
-    """The values in the manifest's folders: read by name, or by a join if there are very many."""
+def _in_folders(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame | None:
+    """The values in the manifest's folders: read by name, or by a join if there are very many; None without folders."""
     base = _values(root)
     pairs = manifest.limit(MAX_PRUNED_PARTITIONS + 1).collect()
     if not pairs:
-        return spark.createDataFrame([], schemas.DATA_VALUES)
+        return None
     reader = spark.read.schema(STORED).option("basePath", base)
     if len(pairs) <= MAX_PRUNED_PARTITIONS:
         return reader.parquet(*[os.path.join(base, files.partition_path(spark, v=r["v"], dataSet=r["dataSet"], period=r["period"]))
@@ -266,11 +266,13 @@ def stage_values(spark: SparkSession, incoming: DataFrame, root: str,
     if touched.isEmpty():
         return None
     existing = _in_folders(spark, root, manifest.join(touched, PAIR, "left_semi"))
-    if replaced is not None:
-        existing = existing.filter((F.col("report_id") != replaced[0]) | ~F.col("period").isin(list(replaced[1])))
-    both = existing.select(*cols, F.lit(0).alias("_side")).unionByName(inc.withColumn("_side", F.lit(1)))
-    merged = (both.groupBy(*VALUE_KEY).agg(F.max_by(F.struct(*rest), F.col("_side")).alias("_r"))
-              .select(*VALUE_KEY, *[F.col("_r")[c].alias(c) for c in rest]).select(*cols))
+    merged = inc   # one row per cell already; a grouping is needed only where values are stored
+    if existing is not None:
+        if replaced is not None:
+            existing = existing.filter((F.col("report_id") != replaced[0]) | ~F.col("period").isin(list(replaced[1])))
+        both = existing.select(*cols, F.lit(0).alias("_side")).unionByName(inc.withColumn("_side", F.lit(1)))
+        merged = (both.groupBy(*VALUE_KEY).agg(F.max_by(F.struct(*rest), F.col("_side")).alias("_r"))
+                  .select(*VALUE_KEY, *[F.col("_r")[c].alias(c) for c in rest]).select(*cols))
     v = fresh_name()
     # Few files per pair; AQE splits a hot pair over several tasks.
     merged.hint("rebalance", *PAIR).write.partitionBy(*PAIR).parquet(os.path.join(_values(root), f"v={v}"))
@@ -311,4 +313,5 @@ def upsert_values(spark: SparkSession, incoming: DataFrame, root: str,
 
 def read_values(spark: SparkSession, root: str) -> DataFrame:
     """The published values, one per cell."""
-    return _in_folders(spark, root, _manifest(spark, root)[1]).select(*schemas.DATA_VALUES.names)
+    stored = _in_folders(spark, root, _manifest(spark, root)[1])
+    return spark.createDataFrame([], schemas.DATA_VALUES) if stored is None else stored.select(*schemas.DATA_VALUES.names)

@@ -92,3 +92,11 @@ def test_boolean_filter_errors_become_false(spark):
     got = [tuple(r) for r in df.select(*cols).collect()]
     assert got == [(False, False, False, False, True, True, True, False),
                    (True, True, False, False, False, True, True, False)]
+
+
+def test_trimmed_text_is_jtrim(spark):
+    texts = ["", " ", "a", " a", "a ", "\ta\n", "é", "é ", "\x00x", "x\x1f", "x ", " x", " !", "! ", "\x7f", None]
+    df = spark.createDataFrame([(t, 1.5, True) for t in texts], "v string, n double, b boolean")
+    for name in df.columns:
+        for r in df.select(X.trimmed_text(df, name).alias("got"), X.jtrim(F.col(name).cast("string")).alias("want")).collect():
+            assert r["got"] == r["want"]

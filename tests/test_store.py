@@ -298,3 +298,32 @@ def test_files_of_the_merge_query_are_written_by_as_many_tasks_as_read_them(spar
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     written = [f for f in os.listdir(os.path.join(sink, "incoming", "part0")) if f.endswith(".parquet")]
     assert splits >= 4 and len(written) > 2
+
+
+def test_a_run_makes_its_leaves_once(spark, tmp_out):
+    """Sets, cells and counts read the leaves that the mappings' filters gave; they do not run the filters again."""
+    facts(spark, [("2026-01-03", "a"), ("2026-01-04", "b"), ("2026-02-05", "a")])
+    seen = spark.sparkContext.accumulator(0)
+
+    def kept(place):
+        seen.add(1)
+        return True
+
+    spark.udf.register("kept", kept, "boolean")
+    report = Report(id="tallied", name="tallied", sql="SELECT 'DS' AS ds, date_format(ts, 'yyyyMM') AS p, place, '1' AS v FROM facts",
+                    groupBy=GroupBySpec(dataSet="ds", period="p", orgUnit="place"),
+                    dataValueMappings=[DataValueMapping(name="m", dataElement="E", valueColumn="v", filter="kept(place)")])
+    state = run_reports(spark, [report], tmp_out, at(1))
+    assert [(r["sync_status"], r["records_synced"]) for r in state.collect()] == [("SUCCESS", 3)]
+    assert seen.value == 3
+
+
+def test_a_first_load_is_not_grouped_twice(spark, tmp_out, monkeypatch):
+    """One row per cell already: only what meets stored values is merged with them."""
+    read = []
+    monkeypatch.setattr(store, "_in_folders", lambda s, root, m, inner=store._in_folders: read.append(inner(s, root, m)) or read[-1])
+    store.upsert_values(spark, long(spark, [("202601", "E", "1"), ("202601", "E", "2")]), tmp_out)
+    store.upsert_values(spark, long(spark, [("202602", "E", "3")]), tmp_out)
+    assert read == [None, None]
+    monkeypatch.undo()
+    assert [v[3] for v in stored(spark, tmp_out)] == ["2", "3"]
