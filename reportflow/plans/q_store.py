@@ -26,6 +26,7 @@ from reportflow.streaming.stream import finish, report_batch_writer, report_chec
 
 VALUE_COLUMNS = ["report_id", "dataSet", "period", "orgUnit", "dataElement", "value", "categoryOptionCombo", "mapping_idx"]
 ALL_TIME = "TIMESTAMP '1990-01-01 00:00:00'"
+POLLED_FILE_ROWS = 100_000
 AS_OF = datetime(2002, 1, 1, tzinfo=timezone.utc)
 
 
@@ -204,7 +205,8 @@ def stream_polled(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, events = stream_root(spark, "polled"), table(spark, sf_dir, "events")
     grown, middle = os.path.join(sink, "table"), F.lit("2024-01-15").cast("timestamp_ntz")
     for part in (F.col("ts") <= middle, F.col("ts") > middle):
-        events.filter(part).write.mode("append").parquet(grown)
+        # A poll reads a file's row groups in parallel, so files are bounded by rows.
+        events.filter(part).write.mode("append").option("maxRecordsPerFile", POLLED_FILE_ROWS).parquet(grown)
         source = spark.readStream.format("polled_table").option("path", grown).option("time_col", "ts").load()
         finish(run_stream(source, report_batch_writer(td.EVENTS_REPORT, "events", sink, "ts", td.EVENTS_ORDER), report_checkpoint(sink, td.EVENTS_REPORT)))
     vals = spark.read.parquet(os.path.join(sink, "sent_values"))

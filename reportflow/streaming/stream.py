@@ -98,17 +98,20 @@ def report_batch_writer(report: Report, view: str, sink: str, time_col: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty():
-            return
         checkpoint_dir(spark)
         run_id, now, seq = f"batch-{batch_id:012d}", datetime.now(timezone.utc), outputs.next_seq()
-        sets = None
+        sets, long = None, None
+        # Every action on a batch reads its source again, so its rows are kept: emptiness, newest time and SQL share one read.
+        batch = batch.persist()
         try:
+            if not batch.count():
+                return
             # Times before the checkpoint come with late files; they do not move it back.
             times = [_as_utc(batch.agg(F.max(time_col)).first()[0]), _checkpoint(spark, sink, report.id)]
             newest = max([t for t in times if t is not None], default=None)
             rows = result(spark, batch, batch_id).checkpoint()
-            long = report_values_long(rows, report, order_by=order_by)
+            # Sent values, sets, cells and counts all read the leaves.
+            long = report_values_long(rows, report, order_by=order_by).persist()
             sets = dvs_json(nest_dvs(long))
             outputs.write_run(long, sink, "sent_values", run_id)
             outputs.write_run(sets, sink, "outbox", run_id)
@@ -125,6 +128,10 @@ def report_batch_writer(report: Report, view: str, sink: str, time_col: str,
             outputs.write_dead_letters(spark, sink, run_id, body if sets is None else sets.select("report_id", "json"), now)
             outputs.append_events(spark, sink, [(report.id, seq, now, "FAILED", report.name, None, text, None)])
             raise
+        finally:
+            batch.unpersist()
+            if long is not None:
+                long.unpersist()
         if scope == "merge":
             partials.Shares(spark, os.path.join(sink, "partials", report.id), folds, period_col, max_shares).compact(batch_id)
     return write

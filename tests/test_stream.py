@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from reportflow.operators.dvs import report_values_long
@@ -69,3 +70,38 @@ def test_stream_queries_read_tables_of_several_files(spark, tmp_out):
         assert one.count() == several.count() > 0
         assert one.exceptAll(several).isEmpty()
     register_sources(spark, SF)
+
+
+def test_a_batch_reads_its_source_once(spark, tmp_out):
+    register_sources(spark, SF)
+    events, read = table(spark, SF, "events"), spark.sparkContext.accumulator(0)
+
+    def tally(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    batch = events.mapInArrow(tally, events.schema)
+    report_batch_writer(td.EVENTS_REPORT, "events", os.path.join(tmp_out, "sink"), "ts", td.EVENTS_ORDER)(batch, 0)
+    assert read.value == events.count()
+    register_sources(spark, SF)
+
+
+def test_a_polled_table_is_written_in_files_of_bounded_rows(spark, monkeypatch):
+    """A file's row groups are the pieces of a poll: one large file would be one task."""
+    class Written(Exception):
+        pass
+
+    def stop(source, *args, **kw):
+        raise Written
+
+    roots = []
+    make = q_store.stream_root
+    monkeypatch.setattr(q_store, "POLLED_FILE_ROWS", 50, raising=False)
+    monkeypatch.setattr(q_store, "stream_root", lambda *a: roots.append(make(*a)) or roots[-1])
+    monkeypatch.setattr(q_store, "run_stream", stop)
+    with pytest.raises(Written):
+        q_store.stream_polled(spark, SF)
+    grown = os.path.join(roots[0].removeprefix("file:"), "table")
+    rows = [spark.read.parquet(os.path.join(grown, f)).count() for f in os.listdir(grown) if f.endswith(".parquet")]
+    assert len(rows) > 1 and max(rows) <= 50
