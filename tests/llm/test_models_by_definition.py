@@ -167,3 +167,52 @@ def test_start_weights_of_the_mixer_come_from_all_training_texts(spark):
     offsets = np.concatenate(([0], np.cumsum([len(t) for t in training])))
     summed, n = fresh.bit_costs(*lm_mixing.stream(data, offsets, model.code.symbol))[2]
     assert n > 512 and np.allclose(model.weights, summed / n, atol=1e-6)
+
+
+def test_mixer_by_definition_and_its_learning_pass_makes_no_costs():
+    """Bit by bit: costs and last weights; the pass for the start weights learns the same without an array of costs."""
+    rng = np.random.default_rng(7)
+    code = lm_mixing.Code(np.bincount(rng.integers(97, 105, 500), minlength=256), 10, 100)
+    table = code.stored_odds(rng.integers(0, 9, (sum(lm_mixing.table_rows(10)), lm_mixing.SYMBOLS)) ** 3).ravel()
+    order0 = code.log_odds(rng.integers(0, 50, (1, lm_mixing.SYMBOLS)))[0]
+    model = lm_mixing.Model(code, 10, order0, table, np.full((lm_mixing.PREDICTORS, lm_mixing.GATES), 0.4, np.float32), 0.1)
+    texts = ["", "a", " ", "abc  hg", *(" ".join("".join(chr(97 + k) for k in rng.integers(0, 8, n)) for n in rng.integers(1, 9, words))
+                                       for words in (3, 60, 150))]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    s, begin = lm_mixing.stream(data, np.concatenate(([0], np.cumsum([len(t) for t in texts]))), code.symbol)
+    costs, _, (summed, n) = model.bit_costs(s, begin)
+    rows, place = lm_mixing.contexts(s, begin, 10)
+    expected, last, agreed = [], [], 0
+    for a, b in zip(begin, begin[1:], strict=False):
+        for start in range(a, b, lm_mixing.SEGMENT):
+            weights, change, n_open = model.weights.astype(float), np.zeros((lm_mixing.PREDICTORS, lm_mixing.GATES)), 0
+            for i in range(start, min(start + lm_mixing.SEGMENT, b)):
+                for step in code.steps[code.begin[s[i]]:code.begin[s[i]] + code.length[s[i]]].tolist():
+                    node, bit = step >> 1, step & 1
+                    x = np.array([*(table[(int(r[i]) + f) * lm_mixing.SYMBOLS + node] / lm_mixing.ODDS_STEPS
+                                    for r, f in zip(rows, model.first_row, strict=True)), order0[node]])
+                    if min(x[:3]) >= lm_mixing.AGREED or max(x[:3]) <= -lm_mixing.AGREED:
+                        mixed, agreed = x[:3].mean(), agreed + 1
+                    else:
+                        gate = 2 * place[i] + (code.depth[node] > 2)
+                        mixed = x @ weights[:, gate]
+                        change[:, gate] += x * (bit - 1 / (1 + np.exp(-mixed))) * lm_mixing.RATE
+                        n_open += 1
+                        if n_open % lm_mixing.TOGETHER == 0:
+                            weights, change = weights + change, np.zeros_like(change)
+                    expected.append(np.log1p(np.exp((1 - 2 * bit) * np.clip(mixed, -14, 14))))
+            if n_open >= lm_mixing.SEGMENT:
+                last.append(weights + change)
+    assert agreed > 20 and n == len(last) > 1 and np.allclose(costs, expected, atol=2e-4) and np.allclose(summed, np.sum(last, 0), atol=1e-3)
+    learned, n_learned = model.learn(s, begin)
+    assert n_learned == n and np.array_equal(learned, summed)
+
+
+def test_counts_of_hashes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 5000):
+        h = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        there = dict(zip(h.tolist(), rng.integers(1, 99, len(h)).tolist(), strict=True))
+        asked = np.concatenate([h, rng.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        got = lm_mixing.Counts(h[::-1], np.array([there[x] for x in h[::-1].tolist()], np.int64)).of(asked)
+        assert got.tolist() == [there.get(x, 0) for x in asked.tolist()]
